@@ -30,7 +30,7 @@ def exact_quantiles(counts: DataFrame, probs: list[float], by: list[str] | None
     (by..., column, prob, value).
     """
     group = [*(by or []), "column"]
-    ranked = stage(running_totals(counts, [*group, "value"], {"_upto": "n"}))
+    ranked = running_totals(counts, [*group, "value"], {"_upto": "n"})
     bounds = ranked.groupBy(*group).agg(F.min(F.col("_upto") - F.col("n")).alias("_start"), F.sum("n").alias("_total"))
     position = (F.col("_total") - 1) * F.col("prob")
     targets = bounds.select(*group, "_start", "_total", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
@@ -140,7 +140,7 @@ def pearson_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
 def average_ranks(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, value, n, rank): average rank of every distinct value."""
     counts = value_counts(df, columns)
-    ranked = stage(running_totals(counts, ["column", "value"], {"_upto": "n"}))
+    ranked = running_totals(counts, ["column", "value"], {"_upto": "n"})
     starts = ranked.groupBy("column").agg(F.min(F.col("_upto") - F.col("n")).alias("_start"))
     below = F.col("_upto") - F.col("n") - F.col("_start")
     return ranked.join(F.broadcast(starts), on="column").select(
