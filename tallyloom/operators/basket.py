@@ -102,7 +102,7 @@ def nonredundant(rules: DataFrame) -> DataFrame:
     size = F.size("antecedent")
     masks = F.when(size >= 2, F.sequence(F.lit(1), (F.pow(F.lit(2), size) - 2).cast("int"))).otherwise(F.array().cast("array<int>"))
     subsets = keyed.select("consequent", "_key", F.col("confidence").alias("_conf"), "antecedent", F.explode(masks).alias("_m"))
-    subset_key = F.concat_ws("\u0001", F.filter(F.array_sort("antecedent"), lambda x, i: F.get_bit(F.col("_m"), i) == 1))
+    subset_key = F.concat_ws("\u0001", F.filter(F.array_sort("antecedent"), lambda x, i: F.getbit(F.col("_m"), i) == 1))
     subsets = subsets.select("consequent", F.col("_key").alias("_full"), "_conf", subset_key.alias("_key"))
     beaten = subsets.join(keyed.select("consequent", "_key", F.col("confidence").alias("_sub")), on=["consequent", "_key"]).filter(
         F.col("_sub") >= F.col("_conf")).select("consequent", F.col("_full").alias("_key")).distinct()

@@ -195,14 +195,14 @@ def readability(t):
     return rounded(X.readability(t.documents.select("doc_id", "text"), "text").select("doc_id", *SCORES), 9, *SCORES)
 
 
-def _sentiment_sql(lexicon: str) -> str:
+def _sentiment_sql(lexicon: str, digits: int = 10) -> str:
     return rf"""
     WITH lex AS ({lexicon}),
     pr AS (SELECT doc_id, unnest(list_zip(list_concat([''], w[:-2]), w)) AS p FROM (SELECT doc_id, {WORDS} AS w FROM documents) WHERE len(w) > 0),
     sc AS (SELECT doc_id, greatest(-1.0, least(1.0, polarity * CASE WHEN p[1] IN {_in(W.NEGATIONS)} THEN {W.NEGATION_FACTOR}
                   WHEN p[1] IN {_in(W.INTENSIFIERS)} THEN {W.INTENSIFIER_FACTOR} ELSE 1.0 END)) AS v, subjectivity
            FROM pr JOIN lex ON p[2] = word)
-    SELECT doc_id, round(coalesce(avg(v), 0.0), 10) AS polarity, round(coalesce(avg(subjectivity), 0.0), 10) AS subjectivity,
+    SELECT doc_id, round(coalesce(avg(v), 0.0), {digits}) AS polarity, round(coalesce(avg(subjectivity), 0.0), {digits}) AS subjectivity,
            count(v) AS hits FROM documents LEFT JOIN sc USING (doc_id) GROUP BY doc_id"""
 
 
@@ -216,7 +216,7 @@ def sentiment_by_document(t):
 @query("T10", _sentiment_sql(f"""
     SELECT word, round(2 * avg(quality) - 1, 8) AS polarity, round(avg(toxic), 8) AS subjectivity FROM (
         SELECT DISTINCT doc_id, unnest({WORDS}) AS word FROM documents) JOIN labels USING (doc_id)
-    GROUP BY word HAVING count(*) >= 30"""))
+    GROUP BY word HAVING count(*) >= 30""", 5))
 def sentiment_learned_lexicon(t):
     """Scores with a lexicon learned from the labelled documents."""
     from tallyloom.runtime import stage
@@ -225,7 +225,7 @@ def sentiment_learned_lexicon(t):
     lexicon = words.groupBy("word").agg(F.round(2 * F.avg("quality") - 1, 8).alias("polarity"),
                                         F.round(F.avg("toxic"), 8).alias("subjectivity"), F.count(F.lit(1)).alias("_n"))
     lexicon = stage(lexicon.filter("_n >= 30").drop("_n"))
-    return rounded(O.sentiment(t.documents.select("doc_id", "text"), "doc_id", "text", lexicon), 10, "polarity", "subjectivity")
+    return rounded(O.sentiment(t.documents.select("doc_id", "text"), "doc_id", "text", lexicon), 5, "polarity", "subjectivity")
 
 
 @query("F02", f"""
