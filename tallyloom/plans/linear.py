@@ -35,11 +35,11 @@ TERMS = COLUMNS[1:]
 
 
 @query("M01", f"WITH f AS ({ROWS_SQL}) " + " UNION ALL ".join(
-    f"SELECT '{a}' AS a, '{b}' AS b, round(avg({a}), 6) AS mean_a, round(avg({b}), 6) AS mean_b, round(covar_pop({a}, {b}), 6) AS value FROM f"
+    f"SELECT '{a}' AS a, '{b}' AS b, round(avg({a}), 10) AS mean_a, round(avg({b}), 10) AS mean_b, round(covar_pop({a}, {b}), 6) AS value FROM f"
     for i, a in enumerate(COLUMNS) for b in COLUMNS[i:]))
 def gram_matrix(t):
     g = linear.gram(regression_rows(t), COLUMNS)
-    return rounded(g.table(t.spark).withColumn("value", F.col("value") / g.n), 6, "mean_a", "mean_b", "value")
+    return rounded(rounded(g.table(t.spark).withColumn("value", F.col("value") / g.n), 10, "mean_a", "mean_b"), 6, "value")
 
 
 @query("M01", f"WITH f AS ({ROWS_SQL}) " + " UNION ALL ".join(
@@ -171,7 +171,7 @@ def pooled_fits(t):
 @query("F11 M01", f"""
     WITH f AS (SELECT qty, tax, y, CASE WHEN l_returnflag = 'N' THEN 1.0 ELSE 0.0 END AS flag_N,
                       CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END AS flag_R, qty * tax AS qty_tax FROM ({ROWS_SQL}))
-    SELECT round(sum(flag_N), 1) AS n_flag, round(sum(flag_R), 1) AS r_flag, round(sum(qty_tax), 4) AS qty_tax,
+    SELECT round(sum(flag_N)::DOUBLE, 1) AS n_flag, round(sum(flag_R)::DOUBLE, 1) AS r_flag, round(sum(qty_tax), 4) AS qty_tax,
            round(covar_pop(qty_tax, y), 6) AS cross FROM f""")
 def formula_columns(t):
     """Factor contrasts and an interaction as columns."""
