@@ -122,11 +122,11 @@ def _impute_sql(c: str) -> str:
 
 
 @query("F08", f"WITH f AS ({GAP_SQL}), " + ", ".join(f"fill_{c} AS ({_impute_sql(c)})" for c in GAPPY if c != "n_orders") + """
-    SELECT c_custkey, round(coalesce(f.balance, fill_balance.v), 6) AS balance, n_orders, round(coalesce(f.avg_price, fill_avg_price.v), 6) AS avg_price,
-           round(coalesce(f.max_price, fill_max_price.v), 6) AS max_price
+    SELECT c_custkey, round(coalesce(f.balance, fill_balance.v), 10) AS balance, n_orders, round(coalesce(f.avg_price, fill_avg_price.v), 10) AS avg_price,
+           round(coalesce(f.max_price, fill_max_price.v), 10) AS max_price
     FROM f """ + " ".join(f"LEFT JOIN fill_{c} USING (c_custkey)" for c in GAPPY if c != "n_orders"))
 def knn_imputed(t):
-    return rounded(N.knn_impute(gappy_customers(t), "c_custkey", GAPPY, 5), 6, "balance", "avg_price", "max_price")
+    return rounded(N.knn_impute(gappy_customers(t), "c_custkey", GAPPY, 5), 10, "balance", "avg_price", "max_price")
 
 
 _HOP = ["balance", "n_orders", "avg_price"]
