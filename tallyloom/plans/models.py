@@ -1 +1,206 @@
-"""Pending."""
+"""Queries over classifiers, searches and topic models."""
+
+from __future__ import annotations
+
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from tallyloom.functions import text as X
+from tallyloom.operators import classify as K
+from tallyloom.operators import evaluate as E
+from tallyloom.operators import linear
+from tallyloom.operators.features import as_vector, standardise
+from tallyloom.operators.sampling import hash_fold, hash_split
+from tallyloom.operators.topics import fit_topics, top_terms
+from tallyloom.plans.common import rounded
+from tallyloom.plans.linear import ROWS_SQL, logit_rows
+from tallyloom.plans.registry import query
+
+COLUMNS = ["qty", "disc", "tax", "price"]
+
+
+def keyed_rows(t):
+    return logit_rows(t).withColumn("key", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey")).select("key", "label", *COLUMNS)
+
+
+def split_rows(t):
+    """(train, test) with scaled features; the test rows are scaled with the training statistics."""
+    from tallyloom.operators.features import apply_scaling, scaling_params
+    parts = hash_split(keyed_rows(t), "key", {"train": 0.7, "test": 0.3}, "models")
+    train, test = parts.filter("split = 'train'"), parts.filter("split = 'test'")
+    params = scaling_params(train, COLUMNS)
+    return [as_vector(apply_scaling(d, params), COLUMNS) for d in (train, test)]
+
+
+def report(t, estimator):
+    train, test = split_rows(t)
+    scored = estimator.fit(train).transform(test)
+    return E.classification_report(scored.select("label", "prediction"), "label", "prediction")
+
+
+@query("M03 M18 F05")
+def logistic_classifier_auc(t):
+    train, test = split_rows(t)
+    scored = K.logistic().fit(train).transform(test)
+    auc = BinaryClassificationEvaluator(metricName="areaUnderROC").evaluate(scored)
+    exact = E.auc_rank(scored.select("label", vector_to_array("probability")[1].alias("score")), "label", "score")
+    return exact.withColumn("auc_ml", F.lit(float(auc)))
+
+
+@query("M04 M20")
+def decision_tree_report(t):
+    return report(t, K.tree())
+
+
+@query("M05 M37 L03")
+def forest_importance(t):
+    train, _ = split_rows(t)
+    model = K.forest(numTrees=20, maxDepth=6).fit(train)
+    return E.feature_importance(t.spark, model, COLUMNS, 15)
+
+
+@query("M06 M19")
+def boosted_trees_confusion(t):
+    train, test = split_rows(t)
+    scored = K.boosted(maxIter=10).fit(train).transform(test)
+    return E.confusion(scored, "label", "prediction")
+
+
+@query("M07 M20")
+def adaboost_report(t):
+    return report(t, K.AdaBoost(rounds=8))
+
+
+LABELLED_SQL = f"""
+    f0 AS (SELECT *, CASE WHEN y > 58 THEN 1.0 ELSE 0.0 END::DOUBLE AS l0 FROM ({ROWS_SQL})),
+    f AS (SELECT *, CASE WHEN (l_partkey * 31 + l_orderkey * 17) % 10 < 2 THEN 1.0 - l0 ELSE l0 END AS label FROM f0)"""
+
+
+@query("M08", f"WITH {LABELLED_SQL}" + " UNION ALL ".join(f"""
+    SELECT label, count(*) AS n, '{c}' AS feature, round(avg({c}), 8) AS mean,
+           round(var_pop({c}) + 1e-9 * (SELECT greatest(var_pop(qty), var_pop(disc), var_pop(tax), var_pop(price)) FROM f), 6) AS variance
+    FROM f GROUP BY label""" for c in COLUMNS))
+def naive_bayes_moments(t):
+    table = K.bayes_table(keyed_rows(t), "label", COLUMNS)
+    return rounded(rounded(table, 8, "mean"), 6, "variance")
+
+
+_NB = " - ".join(["ln(n / (SELECT sum(n) FROM m))"] + [
+    f"0.5 * ln(2 * pi() * v_{c}) - (f.{c} - m_{c}) ** 2 / (2 * v_{c})" for c in ("qty", "disc")])
+
+
+@query("M08 M19", f"""
+    WITH {LABELLED_SQL.replace("f AS (SELECT *,", "f1 AS (SELECT *,")},
+    f AS (SELECT row_number() OVER () AS rid, qty, disc, label FROM f1),
+    t AS (SELECT 1e-9 * greatest(var_pop(qty), var_pop(disc)) AS e FROM f),
+    m AS (SELECT label AS cls, count(*) AS n, avg(qty) AS m_qty, avg(disc) AS m_disc, var_pop(qty) + max(e) AS v_qty, var_pop(disc) + max(e) AS v_disc
+          FROM f, t GROUP BY label),
+    s AS (SELECT rid, label, cls, {_NB} AS score FROM f, m),
+    p AS (SELECT label, arg_max(cls, score) AS prediction FROM s GROUP BY rid, label)
+    SELECT label, prediction, n, round(n / sum(n) OVER (PARTITION BY label), 8) AS row_share FROM (
+        SELECT label, prediction, count(*) AS n FROM p GROUP BY ALL)""")
+def naive_bayes_confusion(t):
+    rows = keyed_rows(t)
+    scored = K.bayes_predict(rows, K.bayes_table(rows, "label", ["qty", "disc"]), "label", ["qty", "disc"])
+    return rounded(E.confusion(scored, "label", "prediction"), 8, "row_share")
+
+
+@query("M08")
+def naive_bayes_ml_confusion(t):
+    train, test = split_rows(t)
+    return E.confusion(K.gaussian_bayes().fit(train).transform(test), "label", "prediction")
+
+
+@query("M09 M19")
+def discriminant_confusion(t):
+    rows = keyed_rows(t)
+    model = linear.fit_discriminant(rows, "label", COLUMNS)
+    return E.confusion(linear.apply_discriminant(rows, model, COLUMNS), "label", "prediction")
+
+
+@query("M11 M19")
+def kernel_svm_confusion(t):
+    parts = hash_split(standardise(keyed_rows(t), COLUMNS), "key", {"train": 0.7, "test": 0.3}, "models")
+    lifted = K.random_features(parts, COLUMNS, size=50)
+    model = K.kernel_svm(maxIter=20).fit(lifted.filter("split = 'train'"))
+    return E.confusion(model.transform(lifted.filter("split = 'test'")), "label", "prediction")
+
+
+@query("M12 M19")
+def perceptron_confusion(t):
+    train, test = split_rows(t)
+    return E.confusion(K.perceptron(len(COLUMNS), maxIter=20, layers=[4, 10, 2]).fit(train).transform(test), "label", "prediction")
+
+
+@query("M21")
+def model_comparison(t):
+    """Cross-validated AUC of several classifiers, best first."""
+    rows = as_vector(standardise(keyed_rows(t), COLUMNS), COLUMNS).withColumn("fold", hash_fold("key", 3, "cv")).persist()
+    ev = BinaryClassificationEvaluator(metricName="areaUnderROC")
+    out = E.compare_models(t.spark, rows, {"logistic": K.logistic(), "tree": K.tree(), "bayes": K.gaussian_bayes()}, ev, 3, "fold")
+    rows.unpersist()
+    return out
+
+
+@query("M22 M34")
+def searched_tree(t):
+    """Grid search by precision of the positive class; the refitted best model scores the held-out rows."""
+    from pyspark.ml.tuning import ParamGridBuilder
+    train, test = split_rows(t)
+    train = train.withColumn("fold", hash_fold("key", 3, "grid")).persist()
+    est = K.tree()
+    grid = ParamGridBuilder().addGrid(est.maxDepth, [2, 4]).addGrid(est.minInstancesPerNode, [10, 50]).build()
+    ev = MulticlassClassificationEvaluator(metricName="precisionByLabel", metricLabel=1.0)
+    model, table = E.grid_search(train, est, grid, ev, 3, "fold")
+    held_out = float(ev.evaluate(model.transform(test)))
+    train.unpersist()
+    return table.withColumn("held_out_precision", F.lit(held_out))
+
+
+def token_documents(t):
+    return t.documents.select("doc_id", X.ngrams(X.stems(X.clean_tokens("text"))).alias("grams"),
+                              F.transform(X.phrases(X.tokens("text")), lambda p: p["phrase"]).alias("phrases"),
+                              F.col("n_chars").cast("double").alias("n_chars"))
+
+
+@query("F01")
+def hashed_term_buckets(t):
+    """Documents and total count per hash bucket of n-grams and phrases."""
+    from pyspark.ml.feature import HashingTF
+    docs = token_documents(t)
+    parts = []
+    for c in ("grams", "phrases"):
+        tf = HashingTF(numFeatures=2000, inputCol=c, outputCol="tf").transform(docs)
+        cells = tf.select(F.posexplode(vector_to_array("tf")).alias("bucket", "n")).filter("n > 0")
+        parts.append(cells.groupBy("bucket").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("total")).withColumn("source", F.lit(c)))
+    return parts[0].unionByName(parts[1])
+
+
+@query("F02 F03")
+def vocabulary_weights(t):
+    """Vocabulary of the count model with its idf weights."""
+    docs = t.documents.select(X.clean_tokens("text").alias("tk"))
+    model = K.vocabulary_pipeline("tk").fit(docs)
+    vocabulary, idf = model.stages[0].vocabulary, model.stages[1].idf.toArray()
+    return t.spark.createDataFrame([(w, float(v)) for w, v in zip(vocabulary, idf)], "term string, idf double")
+
+
+@query("F13 F05 M03 M18")
+def text_classifier_auc(t):
+    """Hashed n-gram and phrase weights with a length feature, fitted as one pipeline, scored on held-out documents."""
+    docs = token_documents(t).join(t.labels.select("doc_id", F.col("quality").cast("double").alias("label")), on="doc_id")
+    parts = hash_split(docs, "doc_id", {"train": 0.7, "test": 0.3}, "text").persist()
+    prepared = K.text_pipeline(["grams", "phrases"], ["n_chars"]).fit(parts.filter("split = 'train'"))
+    model = K.logistic().fit(prepared.transform(parts.filter("split = 'train'")))
+    scored = model.transform(prepared.transform(parts.filter("split = 'test'")))
+    out = E.auc_rank(scored.select("label", vector_to_array("probability")[1].alias("score")), "label", "score")
+    return out
+
+
+@query("M16 M39 U04")
+def topic_terms(t):
+    """Ten leading terms of every topic, with the fit measures of the model."""
+    docs = t.documents.select(X.clean_tokens("text").alias("tk"))
+    counter, model, (likelihood, perplexity) = fit_topics(docs, "tk", k=10, iterations=4, vocabulary=20000)
+    return top_terms(counter, model, 10).withColumns({"log_likelihood": F.lit(likelihood), "log_perplexity": F.lit(perplexity)})
