@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -43,11 +45,26 @@ def checkpoint_root(spark: SparkSession) -> str:
 def stage(df: DataFrame) -> DataFrame:
     """Cut lineage through a written table: computed once, and readable after executors are lost."""
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "stage")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def persisted(df: DataFrame):
+    """Keep an intermediate that several actions read, and let it go afterwards."""
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield held
+    finally:
+        held.unpersist()
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder."""
+    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -20,11 +20,17 @@ def scan_table(spark: SparkSession, table: str, tag_value: str | None = None) ->
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True,
-             corrupt_column: str = "_corrupt") -> DataFrame:
-    """CSV with a declared schema; lines that do not fit it are kept with their text in `corrupt_column`."""
-    full = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType())])
-    return (spark.read.schema(full).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", corrupt_column).csv(path, header=header))
+             corrupt_column: str | None = None) -> DataFrame:
+    """CSV with a declared schema; fields that do not parse are NULL.
+
+    With `corrupt_column`, lines that do not fit are kept with their text in it. Every field is then parsed, since
+    a pruned column cannot tell a bad line; without it, only the columns a query needs are.
+    """
+    reader = spark.read.option("mode", "PERMISSIVE")
+    if corrupt_column:
+        schema = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_column).option("columnPruning", "false")
+    return reader.schema(schema).csv(path, header=header)
 
 
 def register_sheets(spark: SparkSession, sheets: dict[str, str], schemas: dict[str, T.StructType] | None = None) -> list[str]:
@@ -33,15 +39,17 @@ def register_sheets(spark: SparkSession, sheets: dict[str, str], schemas: dict[s
         if path.rstrip("/").endswith(".csv"):
             if not schemas or name not in schemas:
                 raise ValueError(f"sheet {name}: a CSV sheet needs a declared schema")
-            df = scan_csv(spark, path, schemas[name]).drop("_corrupt")
+            df = scan_csv(spark, path, schemas[name])
         else:
             df = spark.read.parquet(path)
         df.createOrReplaceTempView(name)
     return list(sheets)
 
 
-def save_table(df: DataFrame, table: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).format("parquet").saveAsTable(table)
+def save_table(df: DataFrame, table: str, mode: str = "overwrite", path: str | None = None) -> None:
+    """Parquet table in the catalog; with a path the files stay there instead of in the warehouse."""
+    writer = df.write.mode(mode).format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
 def save_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> None:
