@@ -114,23 +114,23 @@ def unit_hash(*cols) -> "F.Column":
     return key_hash(*cols) / F.lit(4294967296.0)
 
 
-def hot_split_join(facts: DataFrame, keyed: DataFrame, on: list[str], weight: str, how: str = "inner",
-                   share: float = 0.001) -> DataFrame:
-    """Join facts to a table with one row per key, where `weight` counts the fact rows behind each key.
+def hot_split_join(facts: DataFrame, keyed: DataFrame, on: list[str], weight: str, share: float = 0.001,
+                   hot_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Inner join of facts to a materialised table with one row per key, where `weight` counts the fact rows per key.
 
-    Keys holding more than `share` of all fact rows (so at most 1/share of them) are broadcast; the rest are
-    spread by the ordinary shuffle join. No row is lost and no hot key lands in one task.
+    If no key has more than `hot_rows` fact rows, an ordinary join cannot overload a task. Otherwise keys holding
+    more than `share` of all fact rows (so at most 1/share of them) are broadcast and the rest shuffled, which keeps
+    a hot key out of any single task and loses no row.
     """
-    total = keyed.agg(F.sum(weight)).first()[0] or 0
-    floor = max(total * share, 1.0)
-    lookup = keyed.withColumn("_hot", F.col(weight) > F.lit(floor))
+    stats = keyed.agg(F.sum(weight).alias("total"), F.max(weight).alias("top")).first()
+    if (stats["top"] or 0) <= hot_rows:
+        return facts.join(keyed, on=on)
+    lookup = keyed.withColumn("_hot", F.col(weight) > F.lit(max(stats["total"] * share, 1.0)))
     hot = lookup.filter("_hot").drop("_hot")
     cold = lookup.filter("NOT _hot").drop("_hot")
     payload = [c for c in keyed.columns if c not in on]
-    marked = facts.join(
-        F.broadcast(hot.select(*on, F.struct(*payload).alias("_pay"))), on, "left"
-    )
+    marked = facts.join(F.broadcast(hot.select(*on, F.struct(*payload).alias("_pay"))), on, "left")
     hot_part = marked.filter(F.col("_pay").isNotNull())
     hot_part = hot_part.select(*facts.columns, *[F.col(f"_pay.{c}").alias(c) for c in payload])
-    cold_part = marked.filter(F.col("_pay").isNull()).drop("_pay").join(cold, on, how)
+    cold_part = marked.filter(F.col("_pay").isNull()).drop("_pay").join(cold, on=on)
     return hot_part.unionByName(cold_part.select(*hot_part.columns))
