@@ -6,7 +6,7 @@ Short word lists become hash-set membership tests.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import wordlists as W
@@ -28,22 +28,28 @@ def without_words(col, words: list[str] = W.STOP_WORDS) -> Column:
     return F.filter(_c(col), lambda x: ~F.lower(x).isin(*words))
 
 
+def _pieces(text: Column) -> Column:
+    return F.filter(F.split(text, " "), lambda x: x != "")
+
+
 def letters_only(col, lower: bool = True) -> Column:
-    """Keep ASCII letters of every token and drop tokens left empty."""
-    strip = lambda x: F.regexp_replace(x, "[^A-Za-z]", "")
-    out = F.transform(_c(col), (lambda x: F.lower(strip(x))) if lower else strip)
-    return F.filter(out, lambda x: x != "")
+    """Keep ASCII letters of every token and drop tokens left empty.
+
+    Tokens hold no white space, so the whole list is cleaned as one text: one pattern pass per row, not per token.
+    """
+    text = F.regexp_replace(F.array_join(_c(col), " "), "[^A-Za-z ]", "")
+    return _pieces(F.lower(text) if lower else text)
 
 
-def stem(word: Column, rules: list[tuple[str, str]] = W.SUFFIX_RULES) -> Column:
-    """Apply ordered suffix rules to one token."""
+def stem(text: Column, rules: list[tuple[str, str]] = W.SUFFIX_RULES) -> Column:
+    """Apply ordered suffix rules to every word of a text of lower-case letters and single spaces."""
     for pattern, replacement in rules:
-        word = F.regexp_replace(word, pattern, replacement.replace("\\", "$"))
-    return word
+        text = F.regexp_replace(text, pattern[:-1] + "(?= |$)" if pattern.endswith("$") else pattern, replacement.replace("\\", "$"))
+    return text
 
 
 def stems(col, rules: list[tuple[str, str]] = W.SUFFIX_RULES) -> Column:
-    return F.transform(_c(col), lambda x: stem(x, rules))
+    return _pieces(stem(F.array_join(_c(col), " "), rules))
 
 
 def clean_tokens(col, words: list[str] = W.STOP_WORDS, lower: bool = True) -> Column:
@@ -51,33 +57,43 @@ def clean_tokens(col, words: list[str] = W.STOP_WORDS, lower: bool = True) -> Co
 
 
 def ngrams(col, joiner: str = "_") -> Column:
-    """Single tokens followed by pairs of neighbours."""
+    """Single tokens followed by pairs of neighbours. Give it a column rather than an expression: it is read often."""
     tk = _c(col)
-    pairs = F.zip_with(F.slice(tk, 1, F.greatest(F.size(tk) - 1, F.lit(0))), F.slice(tk, 2, F.greatest(F.size(tk) - 1, F.lit(0))),
-                       lambda a, b: F.concat(a, F.lit(joiner), b))
+    rest = F.greatest(F.size(tk) - 1, F.lit(0))
+    pairs = F.zip_with(F.slice(tk, 1, rest), F.slice(tk, 2, rest), lambda a, b: F.concat(a, F.lit(joiner), b))
     return F.when(F.size(tk) >= 2, F.concat(tk, pairs)).otherwise(tk)
 
 
+def with_ngrams(df: DataFrame, text: str, name: str = "grams", stemmed: bool = False) -> DataFrame:
+    """Add the n-grams of the cleaned tokens; the tokens are computed once per row and then dropped."""
+    clean = clean_tokens(text)
+    return df.withColumn("_tk", stems(clean) if stemmed else clean).withColumn(name, ngrams("_tk")).drop("_tk")
+
+
+def ending(endings: list[str]) -> str:
+    return f"({'|'.join(endings)})$"
+
+
 def tag_letter(word: Column) -> Column:
     """J, N or O for adjective, noun, other: listed words first, then endings."""
     return (F.when(word.isin(*W.ADJECTIVES), "J").when(word.isin(*W.NOUNS), "N")
-            .when(word.rlike(W.ADJECTIVE_ENDING), "J").when(word.rlike(W.NOUN_ENDING), "N").otherwise("O"))
+            .when(word.rlike(ending(W.ADJECTIVE_ENDINGS)), "J").when(word.rlike(ending(W.NOUN_ENDINGS)), "N").otherwise("O"))
 
 
 # The two phrase grammars over tagged tokens, adjectives + noun and nouns + noun.
 GRAMMARS = {"JN": r"(?:J:\d+:\S+ )+N:\d+:\S+", "NN": r"(?:N:\d+:\S+ )+N:\d+:\S+"}
 
 
-def phrases(raw_tokens, words: list[str] = W.STOP_WORDS) -> Column:
-    """array<struct<grammar, phrase, span>> of leftmost, longest, non-overlapping matches of each grammar.
+def with_phrases(df: DataFrame, tokens_col: str, name: str = "phrases", words: list[str] = W.STOP_WORDS) -> DataFrame:
+    """Add array<struct<grammar, phrase, span>>: leftmost, longest, non-overlapping matches of each grammar.
 
     Tokens are normalised and stop words dropped before matching; `span` is the stretch of source tokens the
-    phrase was built from. Each document is written as one tagged string, so a grammar is one linear match.
+    phrase was built from. Each row is written as one tagged string, so a grammar is one linear match.
     """
-    raw = _c(raw_tokens)
-    entries = F.transform(raw, lambda x, i: F.struct(
-        i.alias("i"), F.lower(F.regexp_replace(x, "[^A-Za-z]", "")).alias("w")))
-    entries = F.filter(entries, lambda e: (e["w"] != "") & ~e["w"].isin(*words))
+    raw = F.col(tokens_col)
+    normal = F.split(F.lower(F.regexp_replace(F.array_join(raw, " "), "[^A-Za-z ]", "")), " ")
+    entries = F.filter(F.transform(normal, lambda w, i: F.struct(i.alias("i"), w.alias("w"))),
+                       lambda e: (e["w"] != "") & ~e["w"].isin(*words))
     tagged = F.array_join(F.transform(entries, lambda e: F.concat(
         tag_letter(e["w"]), F.lit(":"), e["i"].cast("string"), F.lit(":"), e["w"])), " ")
 
@@ -88,9 +104,9 @@ def phrases(raw_tokens, words: list[str] = W.STOP_WORDS) -> Column:
             return F.struct(F.lit(grammar).alias("grammar"),
                             F.regexp_replace(match, r"[JN]:\d+:", "").alias("phrase"),
                             F.array_join(F.slice(raw, first + 1, last - first + 1), " ").alias("span"))
-        return F.transform(F.regexp_extract_all(tagged, F.lit(GRAMMARS[grammar]), F.lit(0)), one)
+        return F.transform(F.regexp_extract_all("_tagged", F.lit(GRAMMARS[grammar]), F.lit(0)), one)
 
-    return F.concat(*[build(g) for g in GRAMMARS])
+    return df.withColumn("_tagged", tagged).withColumn(name, F.concat(*[build(g) for g in GRAMMARS])).drop("_tagged")
 
 
 # --- readability -------------------------------------------------------------------------------------------------

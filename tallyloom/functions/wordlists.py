@@ -12,25 +12,26 @@ aren aren't couldn couldn't didn didn't doesn doesn't hadn hadn't hasn hasn't ha
 mustn mustn't needn needn't shan shan't shouldn shouldn't wasn wasn't weren weren't won won't wouldn wouldn't
 """.split()
 
-# Ordered suffix rules (pattern, replacement with \1 for the kept group).
+# Ordered suffix rules (pattern, replacement with \1 for the kept group). Negated classes exclude the
+# space, so that a rule means the same on one token and on a text of tokens.
 SUFFIX_RULES = [
     ("sses$", "ss"),
     ("ies$", "i"),
-    ("([^su])s$", r"\1"),
-    ("([a-z]*[aeiouy][a-z]*)(ed|ing)$", r"\1"),
+    ("([^su ])s$", r"\1"),
+    ("([aeiouy][a-z]*)(ed|ing)$", r"\1"),
     ("(at|bl|iz)$", r"\1e"),
-    ("([a-z]*[aeiouy][a-z]*[^aeiou])y$", r"\1i"),
+    ("([aeiouy][a-z]*[^aeiou ])y$", r"\1i"),
     ("ational$", "ate"),
     ("ization$", "ize"),
     ("(ful|ous|ive)ness$", r"\1"),
-    ("([a-z]{3,})(ment|ness|ance|ence|able|ible)$", r"\1"),
+    ("([a-z]{3})(ment|ness|ance|ence|able|ible)$", r"\1"),
 ]
 
 # Adjective and noun word lists and endings for tagging.
 ADJECTIVES = "good great bad new old big small easy hard fun nice fine long short high low free real whole main".split()
 NOUNS = "game book story time way thing people home kitchen product price page level character music work year day life".split()
-ADJECTIVE_ENDING = "(ble|ous|ive|ful|less|ish|ic|al)$"
-NOUN_ENDING = "(tion|ment|ness|ity|ance|ence|ship|ing|er|or)$"
+ADJECTIVE_ENDINGS = "ble ous ive ful less ish ic al".split()
+NOUN_ENDINGS = "tion ment ness ity ance ence ship ing er or".split()
 
 # Polarity and subjectivity of common opinion words.
 SENTIMENT = """

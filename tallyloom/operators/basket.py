@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.profile import baskets
-from tallyloom.runtime import stage
+from tallyloom.runtime import hot_split_join, stage
 
 MEASURES = ["support", "confidence", "lift"]
 
@@ -64,7 +64,7 @@ def grouped_rules(df: DataFrame, group: str, basket: str, item: str, min_support
     pairs = df.select(group, basket, item).na.drop("any").distinct()
     sizes = pairs.groupBy(group).agg(F.count_distinct(basket).alias("_n"))
     sizes = stage(sizes.withColumn("_class", F.floor(F.log2("_n")).cast("int")))
-    tagged = pairs.join(sizes, on=group)
+    tagged = hot_split_join(pairs, sizes, [group], "_n")
     sets = stage(tagged.groupBy("_class", group, basket).agg(
         F.collect_list(F.concat(F.col(group).cast("string"), F.lit("\u0001"), F.col(item).cast("string"))).alias("items")))
     parts = []

@@ -38,7 +38,8 @@ def exact_quantiles(counts: DataFrame, probs: list[float], by: list[str] | None
         F.struct(F.lit(0).alias("side"), (F.col("_start") + 1 + F.floor(position)).alias("at")),
         F.struct(F.lit(1).alias("side"), (F.col("_start") + 1 + F.ceil(position)).alias("at")),
     )).alias("t")).select(*group, "prob", "_frac", "t.side", "t.at")
-    hit = ranked.join(targets, on=group).filter((F.col("at") > F.col("_upto") - F.col("n")) & (F.col("at") <= F.col("_upto")))
+    # Without groups there are two rows per column and probability; grouped, Spark chooses the join.
+    hit = ranked.join(targets if by else F.broadcast(targets), on=group).filter((F.col("at") > F.col("_upto") - F.col("n")) & (F.col("at") <= F.col("_upto")))
     ends = hit.groupBy(*group, "prob").agg(
         F.max("_frac").alias("_frac"),
         F.max(F.when(F.col("side") == 0, F.col("value"))).alias("_lo"),

@@ -16,7 +16,7 @@ def pipeline(df: DataFrame, text: str, words: list[str] = W.STOP_WORDS) -> DataF
     staged = staged.withColumn("kept", X.without_words("tokens", words))
     staged = staged.withColumns({"clean": X.letters_only("kept"), "clean_caps": X.letters_only("kept", lower=False)})
     staged = staged.withColumn("stems", X.stems("clean"))
-    return staged.withColumns({"ngrams": X.ngrams("stems"), "phrases": X.phrases("tokens", words)}).drop("kept")
+    return X.with_phrases(staged.withColumn("ngrams", X.ngrams("stems")), "tokens", "phrases", words).drop("kept")
 
 
 def finish(df: DataFrame, outputs: list[str], keep: list[str]) -> DataFrame:
@@ -24,8 +24,17 @@ def finish(df: DataFrame, outputs: list[str], keep: list[str]) -> DataFrame:
     return df.select(*keep, *[F.col(c).alias(f"finished_{c}") for c in outputs])
 
 
+def unfold(df: DataFrame, keep: list[str], array, name: str) -> DataFrame:
+    """One row per array element.
+
+    The outer form with a later filter: the plain form makes Spark test the array for emptiness below the projection
+    that builds it, which computes costly token expressions a second time.
+    """
+    return df.select(*keep, F.explode_outer(array).alias(name)).filter(F.col(name).isNotNull())
+
+
 def token_rows(df: DataFrame, keep: list[str], tokens: str, name: str = "term") -> DataFrame:
-    return df.select(*keep, F.explode(tokens).alias(name))
+    return unfold(df, keep, tokens, name)
 
 
 def term_counts(df: DataFrame, tokens: str, name: str = "term") -> DataFrame:
@@ -47,7 +56,7 @@ def conflate_by_map(rows: DataFrame, mapping: DataFrame, term: str = "term") ->
 
 
 def phrase_rows(df: DataFrame, keep: list[str], text: str) -> DataFrame:
-    found = df.select(*keep, X.tokens(text).alias("_raw")).select(*keep, F.explode(X.phrases("_raw")).alias("p"))
+    found = unfold(X.with_phrases(df.select(*keep, X.tokens(text).alias("_raw")), "_raw", "_p"), keep, "_p", "p")
     return found.select(*keep, "p.grammar", "p.phrase", "p.span")
 
 
@@ -68,7 +77,7 @@ def sentiment(df: DataFrame, row_id: str, text: str, lexicon: DataFrame) -> Data
     """
     words = df.select(row_id, X.words(text).alias("_w"))
     before = F.concat(F.array(F.lit("")), F.slice("_w", 1, F.greatest(F.size("_w") - 1, F.lit(0))))
-    pairs = words.select(row_id, F.explode(F.arrays_zip(before.alias("prev"), F.col("_w").alias("word"))).alias("p")).select(
+    pairs = unfold(words, [row_id], F.arrays_zip(before.alias("prev"), F.col("_w").alias("word")), "p").select(
         row_id, "p.prev", "p.word").filter(F.col("word").isNotNull())
     if lexicon.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         scored = pairs.join(F.broadcast(lexicon), on="word")

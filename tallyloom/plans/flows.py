@@ -25,7 +25,7 @@ from tallyloom.plans.registry import query
 from tallyloom.plans.relational import duck_hash
 from tallyloom.plans.text import CLEAN, WORDS, _in
 from tallyloom.functions import wordlists as W
-from tallyloom.runtime import stage
+from tallyloom.runtime import spread, stage
 from tallyloom.sources import io
 
 
@@ -46,7 +46,7 @@ _LEX = ", ".join(f"('{w}', {p}::DOUBLE, {s}::DOUBLE)" for w, p, s in W.SENTIMENT
     FROM d LEFT JOIN labels USING (doc_id) LEFT JOIN sc USING (doc_id)""")
 def review_table(t):
     """Sample, one row per (source, text), counts, sentiment, labels, published names."""
-    docs = hash_sample(t.documents.select("doc_id", "lang", "source", "text"), "doc_id", 0.4, "eda")
+    docs = hash_sample(spread(t.documents, "doc_id").select("doc_id", "lang", "source", "text"), "doc_id", 0.4, "eda")
     # The text itself is only carried once per surviving row: the first row per key is chosen on digests.
     first = clean.first_per_key(docs.select("doc_id", "source", F.md5("text").alias("digest")), ["source", "digest"], ["doc_id"])
     docs = stage(docs.join(first.select("doc_id"), on="doc_id", how="left_semi"))
@@ -62,7 +62,8 @@ def review_table(t):
 def helpfulness_scores(t):
     """Down-sample the larger class, weigh terms, fit on 70 percent, report AUC, and score the unlabelled documents."""
     labelled = t.labels.select("doc_id", F.col("quality").cast("double").alias("label"))
-    docs = t.documents.select("doc_id", X.ngrams(X.stems(X.clean_tokens("text"))).alias("grams"), F.col("n_chars").cast("double").alias("n_chars"))
+    docs = X.with_ngrams(spread(t.documents, "doc_id"), "text", "grams", stemmed=True).select(
+        "doc_id", "grams", F.col("n_chars").cast("double").alias("n_chars"))
     docs = stage(docs.join(labelled, on="doc_id", how="left"))
     known = downsample_class(docs.filter("label IS NOT NULL"), "label", 1.0, "doc_id", 0.6, "help")
     parts = hash_split(known, "doc_id", {"train": 0.7, "test": 0.3}, "help")

@@ -16,6 +16,7 @@ from tallyloom.operators.topics import fit_topics, top_terms
 from tallyloom.plans.common import rounded
 from tallyloom.plans.linear import ROWS_SQL, logit_rows
 from tallyloom.plans.registry import query
+from tallyloom.runtime import spread, stage
 
 COLUMNS = ["qty", "disc", "tax", "price"]
 
@@ -159,16 +160,16 @@ def searched_tree(t):
 
 
 def token_documents(t):
-    return t.documents.select("doc_id", X.ngrams(X.stems(X.clean_tokens("text"))).alias("grams"),
-                              F.transform(X.phrases(X.tokens("text")), lambda p: p["phrase"]).alias("phrases"),
-                              F.col("n_chars").cast("double").alias("n_chars"))
+    docs = X.with_ngrams(spread(t.documents, "doc_id"), "text", "grams", stemmed=True)
+    docs = X.with_phrases(docs.withColumn("tokens", X.tokens("text")), "tokens")
+    return docs.select("doc_id", "grams", F.transform("phrases", lambda p: p["phrase"]).alias("phrases"), F.col("n_chars").cast("double").alias("n_chars"))
 
 
 @query("F01")
 def hashed_term_buckets(t):
     """Documents and total count per hash bucket of n-grams and phrases."""
     from pyspark.ml.feature import HashingTF
-    docs = token_documents(t)
+    docs = stage(token_documents(t))
     parts = []
     for c in ("grams", "phrases"):
         tf = HashingTF(numFeatures=2000, inputCol=c, outputCol="tf").transform(docs)
@@ -180,7 +181,7 @@ def hashed_term_buckets(t):
 @query("F02 F03")
 def vocabulary_weights(t):
     """Vocabulary of the count model with its idf weights."""
-    docs = t.documents.select(X.clean_tokens("text").alias("tk"))
+    docs = spread(t.documents, "doc_id").select(X.clean_tokens("text").alias("tk"))
     model = K.vocabulary_pipeline("tk").fit(docs)
     vocabulary, idf = model.stages[0].vocabulary, model.stages[1].idf.toArray()
     return t.spark.createDataFrame([(w, float(v)) for w, v in zip(vocabulary, idf)], "term string, idf double")
@@ -189,7 +190,7 @@ def vocabulary_weights(t):
 @query("F13 F05 M03 M18")
 def text_classifier_auc(t):
     """Hashed n-gram and phrase weights with a length feature, fitted as one pipeline, scored on held-out documents."""
-    docs = token_documents(t).join(t.labels.select("doc_id", F.col("quality").cast("double").alias("label")), on="doc_id")
+    docs = stage(token_documents(t)).join(t.labels.select("doc_id", F.col("quality").cast("double").alias("label")), on="doc_id")
     parts = hash_split(docs, "doc_id", {"train": 0.7, "test": 0.3}, "text").persist()
     prepared = K.text_pipeline(["grams", "phrases"], ["n_chars"]).fit(parts.filter("split = 'train'"))
     model = K.logistic().fit(prepared.transform(parts.filter("split = 'train'")))
@@ -201,6 +202,6 @@ def text_classifier_auc(t):
 @query("M16 M39 U04")
 def topic_terms(t):
     """Ten leading terms of every topic, with the fit measures of the model."""
-    docs = t.documents.select(X.clean_tokens("text").alias("tk"))
+    docs = spread(t.documents, "doc_id").select(X.clean_tokens("text").alias("tk"))
     counter, model, (likelihood, perplexity) = fit_topics(docs, "tk", k=10, iterations=4, vocabulary=20000)
     return top_terms(counter, model, 10).withColumns({"log_likelihood": F.lit(likelihood), "log_perplexity": F.lit(perplexity)})

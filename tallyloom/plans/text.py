@@ -9,6 +9,12 @@ from tallyloom.functions import wordlists as W
 from tallyloom.operators import text as O
 from tallyloom.plans.common import rounded
 from tallyloom.plans.registry import query
+from tallyloom.runtime import spread, stage
+
+
+def docs(t):
+    """Documents over all cores, however few files they come in."""
+    return spread(t.documents, "doc_id")
 
 
 def _in(words) -> str:
@@ -41,7 +47,7 @@ def _tokens(expr, spark_expr):
     sql = f"SELECT doc_id, CAST(len(x) AS INTEGER) AS n, md5(array_to_string(x, ' ')) AS digest FROM (SELECT doc_id, {expr} AS x FROM documents)"
 
     def run(t):
-        return t.documents.select("doc_id", spark_expr("text").alias("x")).select(
+        return docs(t).select("doc_id", spark_expr("text").alias("x")).select(
             "doc_id", F.size("x").alias("n"), F.md5(F.array_join("x", " ")).alias("digest"))
     return sql, run
 
@@ -56,26 +62,26 @@ def tokens_split(t):
 
 @query("T02", f"SELECT doc_id, CAST(len(x) AS INTEGER) AS n, md5(array_to_string(x, ' ')) AS digest FROM (SELECT doc_id, {KEPT} AS x FROM documents)")
 def tokens_without_stop_words(t):
-    kept = t.documents.select("doc_id", X.without_words(X.tokens("text")).alias("x"))
+    kept = docs(t).select("doc_id", X.without_words(X.tokens("text")).alias("x"))
     return kept.select("doc_id", F.size("x").alias("n"), F.md5(F.array_join("x", " ")).alias("digest"))
 
 
 @query("T03", f"SELECT doc_id, array_to_string(x, ' ') AS clean, array_to_string(y, ' ') AS caps FROM (SELECT doc_id, {CLEAN} AS x, {CAPS} AS y FROM documents)")
 def tokens_clean(t):
-    return t.documents.select("doc_id", F.array_join(X.clean_tokens("text"), " ").alias("clean"),
+    return docs(t).select("doc_id", F.array_join(X.clean_tokens("text"), " ").alias("clean"),
                               F.array_join(X.clean_tokens("text", lower=False), " ").alias("caps"))
 
 
 @query("T04 U01", f"SELECT doc_id, array_to_string({STEMS}, ' ') AS stems FROM documents")
 def tokens_stemmed(t):
-    return t.documents.select("doc_id", F.array_join(X.stems(X.clean_tokens("text")), " ").alias("stems"))
+    return docs(t).select("doc_id", F.array_join(X.stems(X.clean_tokens("text")), " ").alias("stems"))
 
 
 @query("T04", f"""
     SELECT count(DISTINCT w) AS terms, count(DISTINCT {_stem_sql('w')}) AS bases
     FROM (SELECT DISTINCT unnest({CLEAN}) AS w FROM documents)""")
 def vocabulary_reduction(t):
-    vocabulary = O.term_counts(t.documents.select(X.clean_tokens("text").alias("tk")), "tk")
+    vocabulary = O.term_counts(docs(t).select(X.clean_tokens("text").alias("tk")), "tk")
     return O.vocabulary_reduction(vocabulary)
 
 
@@ -85,8 +91,7 @@ def vocabulary_reduction(t):
     SELECT coalesce(base, w) AS term, count(*) AS n FROM v LEFT JOIN m USING (w) GROUP BY 1""")
 def dictionary_conflation(t):
     """Base forms through a dictionary table derived from the long words of the vocabulary."""
-    from tallyloom.runtime import stage
-    clean = t.documents.select("doc_id", X.clean_tokens("text").alias("tk"))
+    clean = docs(t).select("doc_id", X.clean_tokens("text").alias("tk"))
     vocabulary = stage(O.term_counts(clean, "tk"))
     mapping = vocabulary.filter(F.length("term") > 6).select(F.col("term").alias("token"), X.stem(F.col("term")).alias("base"))
     # One row per distinct term carrying its count: the dictionary meets the vocabulary, not every token.
@@ -97,13 +102,13 @@ def dictionary_conflation(t):
 @query("T05 G05 T09", f"""
     SELECT term, count(*) AS n FROM (SELECT unnest({GRAMS}) AS term FROM (SELECT {CLEAN} AS s FROM documents)) GROUP BY term""")
 def ngram_counts(t):
-    return O.term_counts(t.documents.select(X.ngrams(X.clean_tokens("text")).alias("g")), "g")
+    return O.term_counts(X.with_ngrams(docs(t), "text", "g"), "g")
 
 
 _ENTRIES = rf"""list_filter(list_transform({TOKENS}, lambda x, i: {{'i': i - 1, 'w': lower(regexp_replace(x, '[^A-Za-z]', '', 'g'))}}),
     lambda e: e.w <> '' AND e.w NOT IN {_in(W.STOP_WORDS)})"""
 _TAG = (f"CASE WHEN e.w IN {_in(W.ADJECTIVES)} THEN 'J' WHEN e.w IN {_in(W.NOUNS)} THEN 'N' "
-        f"WHEN regexp_matches(e.w, '{W.ADJECTIVE_ENDING}') THEN 'J' WHEN regexp_matches(e.w, '{W.NOUN_ENDING}') THEN 'N' ELSE 'O' END")
+        f"WHEN regexp_matches(e.w, '({'|'.join(W.ADJECTIVE_ENDINGS)})$') THEN 'J' WHEN regexp_matches(e.w, '({'|'.join(W.NOUN_ENDINGS)})$') THEN 'N' ELSE 'O' END")
 
 
 def _phrase_sql(source: str, key: str) -> str:
@@ -119,12 +124,12 @@ def _phrase_sql(source: str, key: str) -> str:
 
 @query("T06", _phrase_sql("documents", "doc_id") + " SELECT doc_id, grammar, phrase, span FROM p")
 def phrase_chunks(t):
-    return O.phrase_rows(t.documents, ["doc_id"], "text")
+    return O.phrase_rows(docs(t), ["doc_id"], "text")
 
 
 @query("T09", _phrase_sql("documents", "doc_id") + " SELECT phrase, count(*) AS n FROM p GROUP BY phrase")
 def phrase_frequencies(t):
-    return O.phrase_rows(t.documents, ["doc_id"], "text").groupBy("phrase").agg(F.count(F.lit(1)).alias("n"))
+    return O.phrase_rows(docs(t), ["doc_id"], "text").groupBy("phrase").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("T08", _phrase_sql("conversations", "turn") + """
@@ -133,8 +138,7 @@ def phrase_frequencies(t):
 def phrase_mentions(t):
     """The twenty most frequent phrases of the conversations, by turn."""
     from tallyloom.operators.profile import top_groups
-    rows = O.phrase_rows(t.conversations, ["turn"], "text").groupBy("phrase", "turn").agg(F.count(F.lit(1)).alias("n"))
-    from tallyloom.runtime import stage
+    rows = O.phrase_rows(spread(t.conversations, "conv_id", "turn"), ["turn"], "text").groupBy("phrase", "turn").agg(F.count(F.lit(1)).alias("n"))
     rows = stage(rows)
     top = rows.groupBy("phrase").agg(F.sum("n").alias("_all")).orderBy(F.desc("_all"), "phrase").limit(20)
     return rows.join(F.broadcast(top.select("phrase")), on="phrase", how="left_semi")
@@ -146,9 +150,9 @@ def phrase_mentions(t):
     GROUP BY lang""")
 def distinct_token_lists(t):
     """Distinct token lists and distinct words per language (texts without words count in neither)."""
-    caps = t.documents.select("lang", X.clean_tokens("text", lower=False).alias("x")).filter(F.size("x") > 0)
+    caps = docs(t).select("lang", X.clean_tokens("text", lower=False).alias("x")).filter(F.size("x") > 0)
     lists = caps.groupBy("lang").agg(F.count_distinct(F.md5(F.array_join("x", " "))).alias("token_lists"))
-    words = caps.select("lang", F.explode("x").alias("w")).groupBy("lang").agg(F.count_distinct("w").alias("words"))
+    words = O.unfold(caps, ["lang"], "x", "w").groupBy("lang").agg(F.count_distinct("w").alias("words"))
     return lists.join(words, on="lang")
 
 
@@ -167,7 +171,7 @@ COUNTS = ["n_chars_all", "n_letters", "n_words", "n_sentences", "n_syllables", "
 
 @query("T11 U02", f"SELECT doc_id, {', '.join(COUNTS)} FROM ({_BASE})")
 def text_complexity(t):
-    return X.complexity(t.documents.select("doc_id", "text"), "text").select("doc_id", *COUNTS)
+    return X.complexity(docs(t).select("doc_id", "text"), "text").select("doc_id", *COUNTS)
 
 
 SCORES = ["flesch_ease", "kincaid_grade", "fog", "smog", "coleman_liau", "ari", "dale_chall", "linsear", "linsear_whole"]
@@ -192,7 +196,7 @@ SCORES = ["flesch_ease", "kincaid_grade", "fog", "smog", "coleman_liau", "ari",
            round(CASE WHEN n_words > 0 THEN CASE WHEN lw > 20 THEN lw / 2 ELSE (lw - 2) / 2 END END, 9) AS linsear_whole
     FROM l""")
 def readability(t):
-    return rounded(X.readability(t.documents.select("doc_id", "text"), "text").select("doc_id", *SCORES), 9, *SCORES)
+    return rounded(X.readability(docs(t).select("doc_id", "text"), "text").select("doc_id", *SCORES), 9, *SCORES)
 
 
 def _sentiment_sql(lexicon: str, digits: int = 10) -> str:
@@ -209,7 +213,7 @@ def _sentiment_sql(lexicon: str, digits: int = 10) -> str:
 @query("T10", _sentiment_sql("SELECT * FROM (VALUES " + ", ".join(
     f"('{w}', {p}::DOUBLE, {s}::DOUBLE)" for w, p, s in W.SENTIMENT) + ") v(word, polarity, subjectivity)"))
 def sentiment_by_document(t):
-    return rounded(O.sentiment(t.documents.select("doc_id", "text"), "doc_id", "text", O.sentiment_lexicon(t.spark)),
+    return rounded(O.sentiment(docs(t).select("doc_id", "text"), "doc_id", "text", O.sentiment_lexicon(t.spark)),
                    10, "polarity", "subjectivity")
 
 
@@ -219,19 +223,18 @@ def sentiment_by_document(t):
     GROUP BY word HAVING count(*) >= 30""", 5))
 def sentiment_learned_lexicon(t):
     """Scores with a lexicon learned from the labelled documents."""
-    from tallyloom.runtime import stage
-    labelled = t.documents.select("doc_id", "text").join(t.labels, on="doc_id")
-    words = labelled.select("quality", "toxic", F.explode(F.array_distinct(X.words("text"))).alias("word"))
+    labelled = docs(t).select("doc_id", "text").join(t.labels, on="doc_id")
+    words = O.unfold(labelled, ["quality", "toxic"], F.array_distinct(X.words("text")), "word")
     lexicon = words.groupBy("word").agg(F.round(2 * F.avg("quality") - 1, 8).alias("polarity"),
                                         F.round(F.avg("toxic"), 8).alias("subjectivity"), F.count(F.lit(1)).alias("_n"))
     lexicon = stage(lexicon.filter("_n >= 30").drop("_n"))
-    return rounded(O.sentiment(t.documents.select("doc_id", "text"), "doc_id", "text", lexicon), 5, "polarity", "subjectivity")
+    return rounded(O.sentiment(docs(t).select("doc_id", "text"), "doc_id", "text", lexicon), 5, "polarity", "subjectivity")
 
 
 @query("F02", f"""
     SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({CLEAN}) AS term FROM documents) GROUP BY ALL""")
 def term_frequencies(t):
-    return O.term_frequencies(t.documents.select("doc_id", X.clean_tokens("text").alias("tk")), "doc_id", "tk")
+    return O.term_frequencies(docs(t).select("doc_id", X.clean_tokens("text").alias("tk")), "doc_id", "tk")
 
 
 @query("F03", f"""
@@ -240,7 +243,7 @@ def term_frequencies(t):
             FROM tf GROUP BY term)
     SELECT doc_id, term, tf, round(tf * idf, 6) AS weight FROM tf JOIN idf USING (term)""")
 def tfidf_tidy(t):
-    clean = t.documents.select("doc_id", X.clean_tokens("text").alias("tk"))
+    clean = docs(t).select("doc_id", X.clean_tokens("text").alias("tk"))
     return rounded(O.tfidf(clean, "doc_id", "tk", 10), 6, "weight")
 
 
@@ -252,5 +255,5 @@ def tfidf_tidy(t):
     w AS (SELECT doc_id, term, tf * idf AS w FROM tf JOIN v USING (term))
     SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w""")
 def tfidf_l2_top_terms(t):
-    grams = t.documents.select("doc_id", X.ngrams(X.clean_tokens("text")).alias("g"))
+    grams = X.with_ngrams(docs(t), "text", "g")
     return rounded(O.tfidf_top_terms(grams, "doc_id", "g"), 6, "weight")

@@ -69,6 +69,15 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
+    """Give row-heavy work on a scan at least one task per core.
+
+    Only a scan with fewer splits than cores is repartitioned; a large one already has more and is left alone.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, *keys) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def running_totals(df: DataFrame, order_by: list, sums: dict[str, str]) -> DataFrame:
     """Inclusive running total of each source column in global order, without a single-partition window.
 
