@@ -26,16 +26,12 @@ def segment_lines(t):
 
 BI = "bi AS (SELECT DISTINCT l_orderkey AS o, p_brand AS i FROM lineitem JOIN part ON l_partkey = p_partkey)"
 
-# Frequent sets of up to four items by joining baskets with themselves, then one rule per item on the right.
+# All item sets of every basket, grown one item at a time, then one rule per item on the right.
 RULES_SQL = f"""
-    WITH {BI}, n AS (SELECT count(DISTINCT o) AS n FROM bi),
-    sets AS (
-        SELECT [i] AS s, count(*) AS c FROM bi GROUP BY 1
-        UNION ALL SELECT [a.i, b.i], count(*) FROM bi a JOIN bi b ON a.o = b.o AND a.i < b.i GROUP BY 1
-        UNION ALL SELECT [a.i, b.i, c.i], count(*) FROM bi a JOIN bi b ON a.o = b.o AND a.i < b.i
-            JOIN bi c ON a.o = c.o AND b.i < c.i GROUP BY 1
-        UNION ALL SELECT [a.i, b.i, c.i, d.i], count(*) FROM bi a JOIN bi b ON a.o = b.o AND a.i < b.i
-            JOIN bi c ON a.o = c.o AND b.i < c.i JOIN bi d ON a.o = d.o AND c.i < d.i GROUP BY 1),
+    WITH RECURSIVE {BI}, n AS (SELECT count(DISTINCT o) AS n FROM bi),
+    sub AS (SELECT o, [i] AS s, i AS last FROM bi
+            UNION ALL SELECT sub.o, list_append(s, bi.i), bi.i FROM sub JOIN bi ON bi.o = sub.o AND bi.i > sub.last WHERE len(s) < 10),
+    sets AS (SELECT s, count(*) AS c FROM sub GROUP BY s),
     freq AS (SELECT s, c FROM sets, n WHERE c >= ceil({SUPPORT} * n)),
     cand AS (SELECT s, c, unnest(s) AS consequent FROM freq),
     ante AS (SELECT list_filter(s, lambda x: x <> consequent) AS a, consequent, c FROM cand),
@@ -91,16 +87,12 @@ def nonredundant_rules(t):
 
 
 @query("M17c", f"""
-    WITH bi AS (SELECT DISTINCT c_mktsegment AS g, l_orderkey AS o, p_brand AS i FROM lineitem JOIN part ON l_partkey = p_partkey
+    WITH RECURSIVE bi AS (SELECT DISTINCT c_mktsegment AS g, l_orderkey AS o, p_brand AS i FROM lineitem JOIN part ON l_partkey = p_partkey
                 JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey),
     n AS (SELECT g, count(DISTINCT o) AS n FROM bi GROUP BY g),
-    sets AS (
-        SELECT g, [i] AS s, count(*) AS c FROM bi GROUP BY ALL
-        UNION ALL SELECT a.g, [a.i, b.i], count(*) FROM bi a JOIN bi b ON a.o = b.o AND a.i < b.i GROUP BY ALL
-        UNION ALL SELECT a.g, [a.i, b.i, c.i], count(*) FROM bi a JOIN bi b ON a.o = b.o AND a.i < b.i
-            JOIN bi c ON a.o = c.o AND b.i < c.i GROUP BY ALL
-        UNION ALL SELECT a.g, [a.i, b.i, c.i, d.i], count(*) FROM bi a JOIN bi b ON a.o = b.o AND a.i < b.i
-            JOIN bi c ON a.o = c.o AND b.i < c.i JOIN bi d ON a.o = d.o AND c.i < d.i GROUP BY ALL),
+    sub AS (SELECT g, o, [i] AS s, i AS last FROM bi
+            UNION ALL SELECT sub.g, sub.o, list_append(s, bi.i), bi.i FROM sub JOIN bi ON bi.o = sub.o AND bi.i > sub.last WHERE len(s) < 10),
+    sets AS (SELECT g, s, count(*) AS c FROM sub GROUP BY g, s),
     freq AS (SELECT g, s, c, n FROM sets JOIN n USING (g) WHERE c >= ceil({SUPPORT} * n)),
     ante AS (SELECT g, n, list_filter(s, lambda x: x <> k) AS a, k, c FROM (SELECT *, unnest(s) AS k FROM freq WHERE len(s) > 1))
     SELECT ante.g AS segment, array_to_string(ante.a, ',') AS antecedent, k AS consequent, round(ante.c / ante.n, 8) AS support,
