@@ -65,10 +65,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def shuffle_width(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def spread(scan: DataFrame, *keys: str) -> DataFrame:
     """Give row-heavy work on a scan at least one task per core.
 
@@ -85,9 +81,8 @@ def running_totals(df: DataFrame, order_by: list, sums: dict[str, str]) -> DataF
     keys still split over tasks) and written once; one total per slice then gives every slice its offset.
     """
     spark = df.sparkSession
-    placed = stage(
-        df.repartitionByRange(shuffle_width(spark), *order_by).withColumn("_slice", F.spark_partition_id())
-    )
+    # No explicit number: small neighbouring ranges may be merged at run time, which keeps their order.
+    placed = stage(df.repartitionByRange(*order_by).withColumn("_slice", F.spark_partition_id()))
     totals = placed.groupBy("_slice").agg(*[F.sum(src).alias(out) for out, src in sums.items()])
     # One row per shuffle partition: bounded by configuration, not by the data.
     per_slice = sorted(totals.collect(), key=lambda r: r["_slice"])
