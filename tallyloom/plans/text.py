@@ -68,8 +68,9 @@ def tokens_without_stop_words(t):
 
 @query("T03", f"SELECT doc_id, array_to_string(x, ' ') AS clean, array_to_string(y, ' ') AS caps FROM (SELECT doc_id, {CLEAN} AS x, {CAPS} AS y FROM documents)")
 def tokens_clean(t):
-    return docs(t).select("doc_id", F.array_join(X.clean_tokens("text"), " ").alias("clean"),
-                              F.array_join(X.clean_tokens("text", lower=False), " ").alias("caps"))
+    kept = docs(t).select("doc_id", X.without_words(X.tokens("text")).alias("kept"))
+    return kept.select("doc_id", F.array_join(X.letters_only("kept"), " ").alias("clean"),
+                       F.array_join(X.letters_only("kept", lower=False), " ").alias("caps"))
 
 
 @query("T04 U01", f"SELECT doc_id, array_to_string({STEMS}, ' ') AS stems FROM documents")
