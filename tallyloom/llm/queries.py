@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyloom.llm import decontaminate, secrets
+from tallyloom.llm import decontaminate, langid, minhash, secrets, toxicity
 from tallyloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +56,43 @@ def op10_secrets(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     found = secrets.find(docs, secrets.train(docs))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
+NEAR_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 4 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 3], ' ') END AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT u, v FROM p JOIN n x ON u = x.doc_id JOIN n y ON v = y.doc_id WHERE 100 * i >= 80 * (x.n + y.n - i)),
+b AS (SELECT u, v FROM e UNION ALL SELECT v, u FROM e),
+r AS (SELECT doc_id AS a, doc_id AS z FROM d UNION SELECT r.a, b.v FROM r JOIN b ON r.z = b.u),
+c AS (SELECT a AS doc_id, min(z) AS component_id FROM r GROUP BY a)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)"""
+
+
+@query(NEAR_SQL)
+def op3_minhash(spark, sf_dir):
+    """Groups of near-duplicate documents on 4-word shingles."""
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query()
+def op6_language_id(spark, sf_dir):
+    """Language of every document, learned from those outside the held-out fifth."""
+    docs = table(spark, sf_dir, "documents")
+    kept = langid.held_out(F.col("doc_id"))
+    found = langid.predict(docs, *langid.train(docs.filter(~kept)))
+    return found.select("doc_id", kept.alias("held_out"), "lang_pred", "score", "languages")
+
+
+@query()
+def op9_toxicity(spark, sf_dir):
+    """Expected severity, likeliest grade and verdict of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(toxicity.sample(docs, table(spark, sf_dir, "labels")))
+    found = toxicity.score(docs, model)
+    return found.select("doc_id", F.round("_severity", 6).alias("severity"), F.col("_grade").alias("grade"), F.col("_rejected").alias("rejected"))
