@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontaminate, langid, minhash, secrets, toxicity
+from tallyloom.llm import decontaminate, langid, linededup, minhash, mixing, secrets, toxicity
 from tallyloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,56 @@ def op9_toxicity(spark, sf_dir):
     model = toxicity.fit(toxicity.sample(docs, table(spark, sf_dir, "labels")))
     found = toxicity.score(docs, model)
     return found.select("doc_id", F.round("_severity", 6).alias("severity"), F.col("_grade").alias("grade"), F.col("_rejected").alias("rejected"))
+
+
+@query()
+def op5_line_dedup(spark, sf_dir):
+    """Lines of every document that repeat an earlier line within two edits, by number."""
+    found = linededup.removed_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.size("removed").cast("long").alias("n_removed"),
+                        F.concat_ws(",", F.transform("removed", lambda x: x.cast("string"))).alias("removed_lines"))
+
+
+def _level_sql(above: str, name: str, parent: list[str], level: str, weight: str) -> str:
+    """One level of the budget: shares of the children of every node, those used up whole first."""
+    path = ", ".join([*parent, level])
+    by = f"PARTITION BY {', '.join(parent)}" if parent else ""
+    join = f"JOIN {above} USING ({', '.join(parent)})" if parent else f"CROSS JOIN {above}"
+    order = f"OVER ({by} ORDER BY cap / w, {level}"
+    return f"""
+{name}_c AS (SELECT {path}, CAST(sum(tokens) * 2 AS BIGINT) AS cap, {weight} AS w FROM leaves GROUP BY {path}),
+{name}_o AS (SELECT {path}, cap, w, b - coalesce(sum(cap) {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lft,
+    sum(w) {order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest, row_number() {order}) AS place
+    FROM (SELECT {path}, cap, w, quota AS b FROM {name}_c {join})),
+{name}_k AS (SELECT {path}, cap, w, place, min(CASE WHEN CAST(cap AS HUGEINT) * rest > CAST(lft AS HUGEINT) * w THEN struct_pack(place := place, lft := lft, rest := rest) END)
+    OVER ({by}) AS cut FROM {name}_o),
+{name} AS (SELECT {path}, CASE WHEN cut IS NULL OR place < cut.place THEN cap ELSE CAST(CAST(cut.lft AS HUGEINT) * w // cut.rest AS BIGINT) END AS quota
+    FROM {name}_k),"""
+
+
+MIXING_SQL = r"""
+WITH num AS (SELECT doc_id, text, lang, source, coalesce(try_cast(regexp_extract(coalesce(source, ''), '[0-9]+', 0) AS INTEGER), 99) AS k FROM documents),
+rows AS (SELECT * FROM (SELECT doc_id, CASE WHEN k < 5 THEN 'web' WHEN k < 10 THEN 'forum' WHEN k < 15 THEN 'reference' ELSE 'other' END AS domain,
+    coalesce(lang, '(none)') AS language, coalesce(source, '(none)') AS origin,
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens FROM num) WHERE n_tokens > 0),
+leaves AS (SELECT domain, language, origin, CAST(sum(n_tokens) AS BIGINT) AS tokens FROM rows GROUP BY ALL),
+root AS (SELECT CAST(coalesce(sum(tokens), 0) AS BIGINT) * 4 // 5 AS quota FROM leaves),""" + _level_sql(
+    "root", "l1", [], "domain", "CASE domain WHEN 'web' THEN 4 WHEN 'forum' THEN 2 WHEN 'reference' THEN 3 ELSE 1 END") + _level_sql(
+    "l1", "l2", ["domain"], "language", "CASE language WHEN 'en' THEN 5 WHEN 'de' THEN 2 WHEN 'fr' THEN 2 ELSE 1 END") + _level_sql(
+    "l2", "l3", ["domain", "language"], "origin", "1") + r"""
+plan AS (SELECT domain, language, origin, quota // tokens AS full_epochs, quota % tokens AS part FROM l3 JOIN leaves USING (domain, language, origin) WHERE quota > 0),
+placed AS (SELECT * FROM rows JOIN plan USING (domain, language, origin)),
+ordered AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, language, origin
+    ORDER BY md5('1|' || CAST(full_epochs + 1 AS VARCHAR) || '|' || CAST(doc_id AS VARCHAR)), doc_id) - n_tokens AS before FROM placed WHERE part > 0)
+SELECT doc_id, domain, language, origin, n_tokens, CAST(full_epochs + 1 AS INTEGER) AS epoch, CAST(least(n_tokens, part - before) AS BIGINT) AS take_tokens
+FROM ordered WHERE before < part
+UNION ALL
+SELECT doc_id, domain, language, origin, n_tokens, CAST(e AS INTEGER) AS epoch, n_tokens AS take_tokens
+FROM (SELECT *, unnest(range(1, full_epochs + 1)) AS e FROM placed WHERE full_epochs > 0)"""
+
+
+@query(MIXING_SQL)
+def op8_mixing(spark, sf_dir):
+    """The mix of four fifths of the tokens by domain, language and source."""
+    return mixing.select(table(spark, sf_dir, "documents"), mixing.production_levels(), mixing.PRODUCTION_WEIGHTS,
+                         mixing.production_budget(), mixing.PRODUCTION_EPOCHS)
