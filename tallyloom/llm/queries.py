@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontaminate, langid, linededup, minhash, mixing, secrets, toxicity
+from tallyloom.llm import ann, decontaminate, langid, linededup, minhash, mixing, secrets, toxicity, urlfilter
 from tallyloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,3 +149,30 @@ def op8_mixing(spark, sf_dir):
     """The mix of four fifths of the tokens by domain, language and source."""
     return mixing.select(table(spark, sf_dir, "documents"), mixing.production_levels(), mixing.PRODUCTION_WEIGHTS,
                          mixing.production_budget(), mixing.PRODUCTION_EPOCHS)
+
+
+URL_SQL = r"""
+WITH p AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+s AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+known(verdict, host, path) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+    ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+r AS (SELECT page_id, arg_max(k.host || k.path, length(k.host || k.path)) AS rule, arg_max(verdict, length(k.host || k.path)) AS verdict
+    FROM s JOIN known k ON (s.host = k.host OR ends_with(s.host, '.' || k.host)) AND starts_with(s.path, k.path) GROUP BY page_id),
+l AS (SELECT DISTINCT regexp_extract(host, '(?:^|\.)((?:[^.]*-)?(?:ads|adult|bets|casino|pills|poker|porn|spam|warez|xxx)(?:-[^.]*)?(?:\..*)?)$', 1) AS entry FROM s),
+h AS (SELECT DISTINCT s.host FROM s JOIN l ON entry <> '' AND (s.host = entry OR ends_with(s.host, '.' || entry)))
+SELECT page_id, s.host, s.path, rule, coalesce(verdict, CASE WHEN h.host IS NULL THEN 'allow' ELSE 'block' END) AS verdict
+FROM s LEFT JOIN r USING (page_id) LEFT JOIN h ON s.host = h.host"""
+
+
+@query(URL_SQL)
+def op2_url_filter(spark, sf_dir):
+    """Verdict on every page: the rules, and a listing of the suspect hosts among the pages."""
+    pages = table(spark, sf_dir, "pages")
+    return urlfilter.judge(pages, urlfilter.suspect_hosts(pages))
+
+
+@query()
+def op1_ann(spark, sf_dir):
+    """The 10 nearest vectors of every hundredth one."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), "id % 100 = 0", k=10)
