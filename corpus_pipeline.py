@@ -1,11 +1,56 @@
-"""The corpus pipeline: stages over `documents`, each written and read again before the next."""
+"""The corpus pipeline: five stages over `documents`, each written as Parquet and read again before the next.
+
+Every stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept; all but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import functions as F
+
+from tallyloom.llm import decontaminate, linededup, minhash, mixing, toxicity
+from tallyloom.llm.common import DOCUMENT, table
+from tallyloom.runtime import stage
+
+
+def drop_toxic(spark, docs, sf_dir):
+    """Documents that the ordinal model, fitted on `labels`, does not reject."""
+    return toxicity.drop_toxic(docs.select(DOCUMENT), table(spark, sf_dir, "labels"))
+
+
+def drop_repeated_lines(spark, docs, sf_dir):
+    """Texts without lines that repeat an earlier line within two edits; n_chars follows the text."""
+    kept = linededup.drop_repeated_lines(docs.select(DOCUMENT).withColumn("_was", F.length("text")))
+    changed = F.col("_was") != F.length("text")
+    return kept.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(DOCUMENT)
+
+
+def drop_near_duplicates(spark, docs, sf_dir):
+    """One document of every group that shares four fifths of its five-word shingles: the one with the smallest id."""
+    return minhash.drop_near_duplicates(docs.select(DOCUMENT))
+
+
+def drop_contaminated(spark, docs, sf_dir):
+    """Documents of which less than a twentieth of the words stand in benchmark passages."""
+    return decontaminate.remove_documents(docs.select(DOCUMENT), table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark, docs, sf_dir):
+    """The mix of four fifths of the tokens by domain, language and source, with the epoch and the leading tokens to take."""
+    return mixing.mixed(docs.select(DOCUMENT), mixing.production_levels(), mixing.PRODUCTION_WEIGHTS, mixing.production_budget(), mixing.PRODUCTION_EPOCHS)
+
+
+STAGES = [
+    ("toxicity", drop_toxic), ("line_dedup", drop_repeated_lines), ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated), ("mixing", mix_sources),
+]
+# The fitted toxicity model cannot be said in SQL; tests/llm compares the pipeline with a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    """The rows of the last stage."""
+    docs = table(spark, sf_dir, "documents")
+    for i, (_, function) in enumerate(STAGES):
+        docs = function(spark, docs, sf_dir)
+        docs = docs if i == len(STAGES) - 1 else stage(docs)
     return docs

@@ -2,8 +2,10 @@
 
 Trees are fitted on at most about SAMPLE vectors chosen by the hash of their id: a node's hyperplane lies midway between two random members, and
 splits until LEAF of the sample are left. Every vector is then filed under its leaf in every tree. A query enters all trees at once: one
-heap, ordered by how far the query is on the wrong side of the worst hyperplane so far, gives the leaves to open, until they hold
-`search` rows. Its candidates are ranked exactly, in double precision on the stored vectors.
+heap, ordered by how far the query is on the wrong side of the worst hyperplane so far, gives the leaves to open, until they hold a
+share of all rows (counted in every tree). That share is calibrated: sample vectors are searched among the sample, and the smallest share that
+finds RECALL of their true neighbours is taken. Vectors with structure need a small one, uniform noise in 64 dimensions over half. Candidates
+are ranked exactly, in double precision on the stored vectors.
 
 Equal vectors are one class with its k + 1 smallest ids, so a vector with very many copies takes one place in a leaf, and each query still finds the
 copies with the smallest ids. Classes are spread by leaf and part; a task keeps the best k per query before anything is shuffled.
@@ -24,10 +26,14 @@ from pyspark.sql import functions as F
 from tallyloom.llm.common import columns
 from tallyloom.runtime import stage
 
-TREES = 12
-LEAF = 32
+TREES = 16
+LEAF = 64
 SAMPLE = 20_000
-SEARCH = 3_000
+RECALL = 0.96
+SHARES = (0.005, 0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.45, 0.6, 0.8, 1.0, 1.5, 2.5, 5.0)
+# Sample vectors that calibrate the share, and the rows opened at least.
+PROBES = 80
+LEAST = 1_000
 # Rows of a leaf that meet in one task; larger leaves become several parts.
 PART = 20_000
 
@@ -105,6 +111,26 @@ class Forest:
         return opened
 
 
+def calibrated(forest: Forest, x: np.ndarray, k: int, target: float = RECALL) -> float:
+    """The smallest of SHARES with which sample vectors find the wanted part of their k nearest others in the sample."""
+    filed = forest.leaf_of(x)
+    sizes = [np.bincount(filed[:, t], minlength=f[3]) for t, f in enumerate(forest.trees)]
+    probes = np.arange(len(x))[:: max(1, len(x) // PROBES)][:PROBES]
+    truth = []
+    for q in probes:
+        d = ((x - x[q]) ** 2).sum(axis=1)
+        d[q] = np.inf
+        truth.append(np.argsort(d, kind="stable")[:min(k, len(x) - 1)])
+    for share in SHARES:
+        found = 0
+        for q, true in zip(probes, truth):
+            opened = set(forest.search(x[q], sizes, max(1, int(share * len(x)))))
+            found += sum(any((t, int(leaf)) in opened for t, leaf in enumerate(filed[i])) for i in true)
+        if found >= target * sum(map(len, truth)):
+            return share
+    return float(len(forest.trees))
+
+
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """(id, v): one row per id with a finite non-zero vector of doubles; the length of most vectors is the right one."""
     v = F.transform(F.col(vec_col), lambda x: x.cast("double"))
@@ -116,7 +142,7 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
 
 def nearest(vectors: DataFrame, queries: str, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", trees: int = TREES, leaf: int = LEAF,
-            sample: int = SAMPLE, search: int = SEARCH) -> DataFrame:
+            sample: int = SAMPLE, recall: float = RECALL) -> DataFrame:
     """(query_id, rank, vec_id, score): for every row that the SQL condition `queries` on `id` picks, its k nearest other rows."""
     spark = vectors.sparkSession
     rows = usable(vectors, id_col, vec_col)
@@ -129,7 +155,9 @@ def nearest(vectors: DataFrame, queries: str, k: int = 10, id_col: str = "vec_id
     picked = classes.filter(F.pmod(F.xxhash64("cid"), F.lit(1_000_000)) < F.lit(cut)).select("cid", "v").toPandas().sort_values("cid")
     if not len(picked):
         picked = classes.select("cid", "v").orderBy("cid").limit(1).toPandas()
-    forest = Forest(np.stack(picked["v"].to_numpy()), trees, leaf)
+    points = np.stack(picked["v"].to_numpy())
+    forest = Forest(points, trees, leaf)
+    search = max(LEAST, int(calibrated(forest, points, k, recall) * total))
     shared = spark.sparkContext.broadcast(forest)
 
     def file_rows(batches):

@@ -5,10 +5,12 @@ A document's set holds its distinct word shingles; two documents are linked when
 1. Documents with equal sets form a class, represented by its smallest id. Everything below is between representatives.
 2. Signatures: each element walks its own random permutation of the M slots and offers rank + fraction to the slot it reaches; it stops
    once its rank exceeds the worst slot, so a large set needs a few steps per element. Bands of ROWS slots make the candidates.
-   A pair of similarity 0.8 misses all 32 bands with probability 1e-10.
-3. Each bucket is a star around its smallest id: one pair per representative is verified first. Buckets that still hold more than one
-   component then have every pair across components verified, so no link between different texts is lost, and groups of near copies,
-   which the stars already join, cost no pairs.
+   A pair of similarity 0.8 misses all 48 bands with probability 5e-9.
+3. Each bucket is a star around its smallest id: one pair per representative is verified first. A few more rounds compare what is not yet
+   in a bucket's most common component with other members of that component, again one pair per representative. Buckets that still hold
+   more than one component then have every pair across components checked, so no link between different texts is lost, while groups of
+   near copies, which the stars join, cost no pairs. That last check compares signatures in blocks inside tasks and writes only pairs whose
+   estimate is within six standard errors of the limit; those are verified on full sets like all others.
 4. Components by local union-find inside tasks and star contraction between them.
 
 Defined results: null, empty or blank texts have no shingles and link to nothing; rows without doc_id are returned unlinked with a
@@ -27,11 +29,14 @@ from tallyloom.llm.common import columns
 from tallyloom.operators.graph import connected_components
 from tallyloom.runtime import stage
 
-ROWS = 3
-BANDS = 32
+ROWS = 5
+BANDS = 48
 SLOTS = ROWS * BANDS
+STAR_ROUNDS = 3
+# Members of a bucket that meet in one task; a larger bucket becomes several pairs of parts.
+PART = 1_000
 # Ids that are broadcast to pick documents for verification (8 bytes each); more are joined by shuffle.
-BROADCAST_IDS = 500_000
+BROADCAST_IDS = 1_000_000
 
 
 def signatures(offsets: np.ndarray, items: np.ndarray, m: int = SLOTS) -> np.ndarray:
@@ -58,7 +63,7 @@ def signatures(offsets: np.ndarray, items: np.ndarray, m: int = SLOTS) -> np.nda
     return out
 
 
-FEATURES = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
+FEATURES = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, slots binary"
 
 
 def features(docs: DataFrame, width: int) -> DataFrame:
@@ -75,9 +80,10 @@ def features(docs: DataFrame, width: int) -> DataFrame:
                 names = [np.concatenate(([np.uint64(0)], np.cumsum(mix(items ^ np.uint64(salt)), dtype=np.uint64))) for salt in (0, 0x5BD1E9955BD1E995)]
                 names = [(x[offsets[1:]] - x[offsets[:-1]]).view(np.int64) for x in names]
                 keys = keys.view(np.int64)
+                low = (mix(sig.reshape(len(held), SLOTS)) & np.uint64(255)).astype(np.uint8)
                 yield pd.DataFrame({
                     "doc_id": batch["doc_id"].iloc[first:first + len(held)].to_numpy(), "n_shingles": size, "set_a": names[0], "set_b": names[1],
-                    "bands": [keys[i] if size[i] else keys[i][:0] for i in range(len(held))]})
+                    "bands": [keys[i] if size[i] else keys[i][:0] for i in range(len(held))], "slots": [r.tobytes() for r in low]})
 
     return columns(docs.filter(docs["doc_id"].isNotNull()), "doc_id", "text").mapInPandas(run, FEATURES)
 
@@ -92,18 +98,21 @@ def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
                 yield pd.DataFrame({"id": batch["doc_id"].iloc[first:first + len(held)].to_numpy(),
                                     "items": [items[a:b] for a, b in zip(offsets[:-1], offsets[1:])]})
 
-    few = ids.count() <= BROADCAST_IDS
-    wanted = columns(docs, "doc_id", "text").join(F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("id"), "left_semi")
-    return wanted.mapInPandas(run, "id long, items array<long>")
+    wanted = columns(docs, "doc_id", "text").join(small(ids), F.col("doc_id") == F.col("id"), "left_semi")
+    return wanted.mapInPandas(run, "id long, items array<long>").dropDuplicates(["id"])
 
 
-def verified(docs: DataFrame, pairs: DataFrame, width: int, similarity: int) -> DataFrame:
-    """The pairs (u, v) of representatives whose full sets are similar enough."""
-    ids = stage(pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id"))).distinct())
-    sets = stage(full_sets(docs, ids, width))
-    a = sets.select(F.col("id").alias("u"), F.col("items").alias("a"))
-    b = sets.select(F.col("id").alias("v"), F.col("items").alias("b"))
-    both = pairs.join(b, "v").join(a, "u").select("u", "v", F.size(F.array_intersect("a", "b")).alias("n"), F.size("a").alias("na"), F.size("b").alias("nb"))
+def small(df: DataFrame) -> DataFrame:
+    """Broadcast, if a count shows that it is small enough."""
+    return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
+
+
+def verified(sets: DataFrame, pairs: DataFrame, similarity: int) -> DataFrame:
+    """The pairs (u, v) of representatives whose full sets are similar enough. Few u for many v: only the sets of v are copied."""
+    near = sets.select(F.col("id").alias("v"), F.col("items").alias("b")).join(small(pairs), "v")
+    hubs = sets.join(small(pairs.select(F.col("u").alias("id")).distinct()), "id", "left_semi").select(F.col("id").alias("u"), F.col("items").alias("a"))
+    both = near.join(hubs, "u").filter("100 * least(size(a), size(b)) >= %d * greatest(size(a), size(b))" % similarity)
+    both = both.select("u", "v", F.size(F.array_intersect("a", "b")).alias("n"), F.size("a").alias("na"), F.size("b").alias("nb"))
     return both.filter(100 * F.col("n") >= similarity * (F.col("na") + F.col("nb") - F.col("n"))).select("u", "v")
 
 
@@ -112,28 +121,63 @@ def components(edges: DataFrame) -> DataFrame:
     return connected_components(edges.select(F.lit(0).alias("scope"), "u", "v")).select(F.col("node").alias("id"), "component")
 
 
+def _mixed(members: DataFrame, grouped: DataFrame) -> DataFrame:
+    """(key, id, c, main, n): members of the buckets that hold several components, with the bucket's most common one and its size."""
+    placed = stage(members.join(grouped, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c")))
+    per = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(
+        F.max(F.struct("n", "c")).alias("m"), F.count(F.lit(1)).alias("k"), F.sum("n").alias("n")).filter("k > 1")
+    return placed.join(per.select("key", F.col("m.c").alias("main"), "n"), "key")
+
+
+def _across(split: DataFrame, slots: DataFrame, similarity: int) -> DataFrame:
+    """(u, v): pairs of different components in one bucket whose signatures do not rule out a link."""
+    least = similarity / 100 - 6 * (similarity / 100 * (1 - similarity / 100) / SLOTS) ** 0.5
+    rows = split.join(slots, "id").withColumn("parts", F.ceil(F.col("n") / PART).cast("int"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
+    rows = rows.select("key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "id", "c", "slots")
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        left, right = part[part["own"] == part["p"].iloc[0]], part[part["own"] == part["q"].iloc[0]]
+        a, b = (np.stack([np.frombuffer(x, np.uint8) for x in side["slots"]]) if len(side) else np.zeros((0, SLOTS), np.uint8) for side in (left, right))
+        out = []
+        for i in range(len(left)):
+            near = np.flatnonzero((np.count_nonzero(b == a[i], axis=1) >= least * SLOTS) & (right["c"].to_numpy() != left["c"].iloc[i]))
+            out.append(pd.DataFrame({"u": left["id"].iloc[i], "v": right["id"].to_numpy()[near]}))
+        return pd.concat(out) if out else pd.DataFrame({"u": [], "v": []}, dtype="int64")
+
+    pairs = rows.groupBy("key", "p", "q").applyInPandas(run, "u long, v long")
+    return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, similarity: int = 80) -> DataFrame:
     """One row per input row: doc_id, n_shingles, class_id (smallest id with the same set), component_id, kept."""
     found = stage(features(docs, width))
-    ids = stage(found.filter("n_shingles > 0").groupBy("set_a", "set_b").agg(F.min(F.struct("doc_id", "bands")).alias("r")).select(
-        "set_a", "set_b", F.col("r.doc_id").alias("id"), F.col("r.bands").alias("bands")))
+    ids = stage(found.filter("n_shingles > 0").groupBy("set_a", "set_b").agg(F.min(F.struct("doc_id", "bands", "slots")).alias("r")).select(
+        "set_a", "set_b", F.col("r.doc_id").alias("id"), F.col("r.bands").alias("bands"), F.col("r.slots").alias("slots")))
     rows = ids.select("id", F.explode("bands").alias("key"))
-    buckets = rows.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("last")).filter("leader < last").drop("last")
-    members = stage(rows.join(buckets, "key").select("key", "leader", "id"))
-    stars = stage(members.filter("id <> leader").groupBy(F.col("id").alias("v")).agg(F.min("leader").alias("u")))
-    edges = stage(verified(docs, stars, width, similarity))
+    buckets = rows.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("last")).filter("leader < last").select("key", "leader")
+    members = stage(rows.join(small(stage(buckets)), "key").select("key", "leader", "id"))
+    sets = stage(full_sets(docs, stage(members.select("id").distinct()), width))
+    pairs = stage(members.filter("id <> leader").groupBy(F.col("id").alias("v")).agg(F.min("leader").alias("u")))
+    members = members.select("key", "id")
+    edges = stage(verified(sets, pairs, similarity))
     grouped = stage(components(edges))
-    placed = members.join(grouped, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
-    mixed = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
-    # In a bucket with several components the most common one need not be compared with itself.
-    split = stage(placed.join(mixed, "key"))
-    main = split.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.max(F.struct("n", "c")).alias("m")).select("key", F.col("m.c").alias("main"))
-    odd = split.join(main, "key").filter("c <> main").select("key", F.col("id").alias("x"), F.col("c").alias("cx"))
-    across = odd.join(split, "key").filter("c <> cx").select(F.least("x", "id").alias("u"), F.greatest("x", "id").alias("v")).distinct()
-    across = stage(across)
-    if across.limit(1).count():
-        edges = edges.unionByName(stage(verified(docs, across, width, similarity)))
+    for turn in range(STAR_ROUNDS):
+        split = stage(_mixed(members, grouped))
+        salted = lambda c: F.xxhash64(F.lit(turn), c)
+        pivots = split.filter("c = main").groupBy("key").agg(F.min(F.struct(salted("id"), "id")).alias("p")).select("key", F.col("p.id").alias("u"))
+        pairs = stage(split.filter("c <> main").join(pivots, "key").groupBy(F.col("id").alias("v")).agg(
+            F.min(F.struct(salted("u"), "u")).alias("p")).select("v", F.col("p.u").alias("u")))
+        more = stage(verified(sets, pairs, similarity))
+        if not more.limit(1).count():
+            break
+        edges = edges.unionByName(more)
         grouped = stage(components(edges))
+    split = stage(_mixed(members, grouped))
+    more = stage(verified(sets, stage(_across(split, ids.select("id", "slots"), similarity)), similarity))
+    if more.limit(1).count():
+        grouped = stage(components(edges.unionByName(more)))
     classes = ids.join(grouped, "id", "left").select("set_a", "set_b", F.col("id").alias("class_id"), F.coalesce("component", "id").alias("component"))
     named = found.join(classes, ["set_a", "set_b"], "left").select(
         "doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component", "doc_id").alias("component_id"))
