@@ -9,8 +9,8 @@ A document's set holds its distinct word shingles; two documents are linked when
 3. Each bucket is a star around its smallest id: one pair per representative is verified first. A few more rounds compare what is not yet
    in a bucket's most common component with other members of that component, again one pair per representative. Buckets that still hold
    more than one component then have every pair across components checked, so no link between different texts is lost, while groups of
-   near copies, which the stars join, cost no pairs. That last check compares signatures in blocks inside tasks and writes only pairs whose
-   estimate is within six standard errors of the limit; those are verified on full sets like all others.
+   near copies, which the stars join, cost no pairs. That last check is done in blocks inside tasks and writes no
+   pairs but links: signatures first (a pair may be 4.5 standard errors under the limit), then the full sets.
 4. Components by local union-find inside tasks and star contraction between them.
 
 Defined results: null, empty or blank texts have no shingles and link to nothing; rows without doc_id are returned unlinked with a
@@ -33,6 +33,8 @@ ROWS = 5
 BANDS = 48
 SLOTS = ROWS * BANDS
 STAR_ROUNDS = 3
+# Standard errors by which an estimate may be under the limit before a pair is ruled out (3e-6 of the pairs at the limit itself).
+ERRORS = 4.5
 # Members of a bucket that meet in one task; a larger bucket becomes several pairs of parts.
 PART = 1_000
 # Ids that are broadcast to pick documents for verification (8 bytes each); more are joined by shuffle.
@@ -121,40 +123,87 @@ def components(edges: DataFrame) -> DataFrame:
     return connected_components(edges.select(F.lit(0).alias("scope"), "u", "v")).select(F.col("node").alias("id"), "component")
 
 
-def _mixed(members: DataFrame, grouped: DataFrame) -> DataFrame:
+def _placed(members: DataFrame, grouped: DataFrame) -> DataFrame:
+    """(key, id, c): the members of every bucket with their component so far."""
+    return members.join(grouped, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
+
+
+def _mixed(placed: DataFrame) -> DataFrame:
     """(key, id, c, main, n): members of the buckets that hold several components, with the bucket's most common one and its size."""
-    placed = stage(members.join(grouped, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c")))
     per = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(
         F.max(F.struct("n", "c")).alias("m"), F.count(F.lit(1)).alias("k"), F.sum("n").alias("n")).filter("k > 1")
     return placed.join(per.select("key", F.col("m.c").alias("main"), "n"), "key")
 
 
-def _across(split: DataFrame, slots: DataFrame, similarity: int) -> DataFrame:
-    """(u, v): pairs of different components in one bucket whose signatures do not rule out a link."""
-    least = similarity / 100 - 6 * (similarity / 100 * (1 - similarity / 100) / SLOTS) ** 0.5
-    rows = split.join(slots, "id").withColumn("parts", F.ceil(F.col("n") / PART).cast("int"))
+def _across(split: DataFrame, homes: DataFrame, sketches: DataFrame, similarity: int) -> DataFrame:
+    """(u, c, home, vs): for u, those of part `home` of another component c that share a bucket with it and that sizes and signatures do not rule out.
+
+    A pair that shares several buckets is written in the first of its bands only.
+    """
+    limit = similarity / 100
+    least = int((limit - ERRORS * (limit * (1 - limit) / SLOTS) ** 0.5) * SLOTS)
+    rows = split.join(sketches, "id").join(homes.select("id", "home"), "id").withColumn("parts", F.ceil(F.col("n") / PART).cast("int"))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
-    rows = rows.select("key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "id", "c", "slots")
-
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        left, right = part[part["own"] == part["p"].iloc[0]], part[part["own"] == part["q"].iloc[0]]
-        a, b = (np.stack([np.frombuffer(x, np.uint8) for x in side["slots"]]) if len(side) else np.zeros((0, SLOTS), np.uint8) for side in (left, right))
+    rows = rows.select("key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "id", "c", "home",
+                       (F.col("c") == F.col("main")).alias("common"), "slots", "bands", "size")
+
+    def run(name: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        key, p, q = name
+        ids, c, own, size, home, common = (part[x].to_numpy() for x in ("id", "c", "own", "size", "home", "common"))
+        slots = np.frombuffer(b"".join(part["slots"]), np.uint8).reshape(-1, SLOTS)
+        bands = np.stack(part["bands"].to_numpy())
         out = []
-        for i in range(len(left)):
-            near = np.flatnonzero((np.count_nonzero(b == a[i], axis=1) >= least * SLOTS) & (right["c"].to_numpy() != left["c"].iloc[i]))
-            out.append(pd.DataFrame({"u": left["id"].iloc[i], "v": right["id"].to_numpy()[near]}))
-        return pd.concat(out) if out else pd.DataFrame({"u": [], "v": []}, dtype="int64")
-
-    pairs = rows.groupBy("key", "p", "q").applyInPandas(run, "u long, v long")
-    return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+        # Each pair once: from its member outside the common component, or from the smaller of two such members.
+        for i in np.flatnonzero(~common):
+            to = np.flatnonzero((c != c[i]) & (common | (ids > ids[i])) & (100 * np.minimum(size, size[i]) >= similarity * np.maximum(size, size[i])))
+            if p != q:
+                to = to[own[to] != own[i]]
+            to = to[np.count_nonzero(slots[to] == slots[i], axis=1) >= least]
+            to = to[bands[i][(bands[to] == bands[i]).argmax(axis=1)] == key]
+            if len(to):
+                to = to[np.lexsort((home[to], c[to]))]
+                cuts = np.flatnonzero((np.diff(c[to]) != 0) | (np.diff(home[to]) != 0)) + 1
+                out += [(ids[i], c[g[0]], home[g[0]], ids[g]) for g in np.split(to, cuts)]
+        return pd.DataFrame(out, columns=["u", "c", "home", "vs"])
+
+    found = rows.groupBy("key", "p", "q").applyInPandas(run, "u long, c long, home int, vs array<long>")
+    return found.groupBy("u", "c", "home").agg(F.flatten(F.collect_list("vs")).alias("vs"))
+
+
+def _verified_across(sets: DataFrame, work: DataFrame, homes: DataFrame, similarity: int) -> DataFrame:
+    """The linked pairs (u, v) of the work list. Sets of a part of a component and of those that ask for it meet in one task; pairs are not written."""
+    loads = work.groupBy("c", "home").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("turns"))
+    ask = work.join(loads, ["c", "home"]).withColumn("turn", F.pmod(F.xxhash64("u"), F.col("turns")).cast("int"))
+    ask = ask.join(sets.select(F.col("id").alias("u"), F.col("items").alias("mine")), "u").select("c", "home", "turn", "u", "vs", "mine")
+    hold = homes.join(loads, ["c", "home"]).withColumn("turn", F.explode(F.expr("sequence(0, turns - 1)"))).join(sets.select("id", F.col("items").alias("theirs")), "id")
+    hold = hold.select(*[F.col(x).alias(f"_{x}") for x in ("c", "home", "turn", "id", "theirs")])
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        at = {x: i for i, x in enumerate(right["_id"].tolist())}
+        items = [np.asarray(x) for x in right["_theirs"]]
+        u, v = [], []
+        for x, vs, mine in zip(left["u"], left["vs"], left["mine"]):
+            mine = np.sort(mine)
+            theirs = [items[at[y]] for y in vs]
+            size = np.array([len(t) for t in theirs])
+            flat = np.concatenate(theirs)
+            hit = mine[np.minimum(np.searchsorted(mine, flat), len(mine) - 1)] == flat
+            both = np.add.reduceat(hit.astype(np.int64), np.cumsum(size) - size)
+            ok = 100 * both >= similarity * (size + len(mine) - both)
+            u.append(np.full(ok.sum(), x))
+            v.append(np.asarray(vs)[ok])
+        return pd.DataFrame({"u": np.concatenate(u) if u else np.zeros(0, np.int64), "v": np.concatenate(v) if v else np.zeros(0, np.int64)})
+
+    return ask.groupBy("c", "home", "turn").cogroup(hold.groupBy("_c", "_home", "_turn")).applyInPandas(run, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, similarity: int = 80) -> DataFrame:
     """One row per input row: doc_id, n_shingles, class_id (smallest id with the same set), component_id, kept."""
     found = stage(features(docs, width))
-    ids = stage(found.filter("n_shingles > 0").groupBy("set_a", "set_b").agg(F.min(F.struct("doc_id", "bands", "slots")).alias("r")).select(
-        "set_a", "set_b", F.col("r.doc_id").alias("id"), F.col("r.bands").alias("bands"), F.col("r.slots").alias("slots")))
+    ids = stage(found.filter("n_shingles > 0").groupBy("set_a", "set_b").agg(F.min(F.struct("doc_id", "bands", "slots", "n_shingles")).alias("r")).select(
+        "set_a", "set_b", F.col("r.doc_id").alias("id"), F.col("r.bands").alias("bands"), F.col("r.slots").alias("slots"),
+        F.col("r.n_shingles").alias("size")))
     rows = ids.select("id", F.explode("bands").alias("key"))
     buckets = rows.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("last")).filter("leader < last").select("key", "leader")
     members = stage(rows.join(small(stage(buckets)), "key").select("key", "leader", "id"))
@@ -164,18 +213,26 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: int = 80) -> Da
     edges = stage(verified(sets, pairs, similarity))
     grouped = stage(components(edges))
     for turn in range(STAR_ROUNDS):
-        split = stage(_mixed(members, grouped))
+        split = stage(_mixed(stage(_placed(members, grouped))))
         salted = lambda c: F.xxhash64(F.lit(turn), c)
         pivots = split.filter("c = main").groupBy("key").agg(F.min(F.struct(salted("id"), "id")).alias("p")).select("key", F.col("p.id").alias("u"))
         pairs = stage(split.filter("c <> main").join(pivots, "key").groupBy(F.col("id").alias("v")).agg(
             F.min(F.struct(salted("u"), "u")).alias("p")).select("v", F.col("p.u").alias("u")))
         more = stage(verified(sets, pairs, similarity))
-        if not more.limit(1).count():
+        gained = more.count()
+        if not gained:
             break
         edges = edges.unionByName(more)
         grouped = stage(components(edges))
-    split = stage(_mixed(members, grouped))
-    more = stage(verified(sets, stage(_across(split, ids.select("id", "slots"), similarity)), similarity))
+        if gained * 20 < pairs.count():
+            break
+    placed = stage(_placed(members, grouped))
+    split = stage(_mixed(placed))
+    homes = split.select("id", "c").distinct()
+    sizes = homes.groupBy("c").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
+    homes = stage(homes.join(sizes, "c").select("id", "c", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("home")))
+    work = stage(_across(split, homes, ids.select("id", "slots", "bands", "size"), similarity))
+    more = stage(_verified_across(sets, work, homes, similarity))
     if more.limit(1).count():
         grouped = stage(components(edges.unionByName(more)))
     classes = ids.join(grouped, "id", "left").select("set_a", "set_b", F.col("id").alias("class_id"), F.coalesce("component", "id").alias("component"))
