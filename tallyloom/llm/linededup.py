@@ -7,8 +7,8 @@ lines within TAU edits (insert, delete or replace a code point) are linked, and
 A line of length l is cut into TAU + 1 segments; a line within TAU edits of it contains one of them unchanged. Its probes are the
 substrings that can be that segment for partner lengths L - TAU ... L, narrowed from both sides by the edits that are left (the
 multi-match-aware selection). Keys hash (length, segment number, substring). Each key's bucket is a star around its smallest
-indexed line: one pair per line is verified first, then, in buckets that still hold several components, the pairs across them.
-Verification is banded bit-parallel edit distance on the whole lines, many pairs at a time.
+indexed line: one pair per line is verified first, then, in buckets that still hold several components, the pairs across them, in blocks inside
+tasks that write links only. Verification is banded bit-parallel edit distance on the whole lines, many pairs at a time.
 
 Defined results: null text has no lines; empty text has one empty line; rows without doc_id keep all lines; rows that repeat a doc_id
 are the same document, and keep the same lines; a document whose every line goes is dropped by `drop_repeated_lines`.
@@ -28,6 +28,8 @@ from tallyloom.runtime import stage
 
 TAU = 2
 MIN_CHARS = 32
+# Members of a bucket that meet in one task; a larger bucket becomes several pairs of parts.
+PART = 1_000
 # Rows of keys or line numbers that are broadcast when a count shows that they are no more; otherwise they are joined by shuffle.
 BROADCAST_KEYS = 1_000_000
 
@@ -184,6 +186,36 @@ def verified(pairs: DataFrame, texts: DataFrame, tau: int) -> DataFrame:
     return near.select("u", "v", "x", "y").mapInPandas(run, "u long, v long")
 
 
+def linked_across(split: DataFrame, texts: DataFrame, tau: int) -> DataFrame:
+    """The links (u, v) between different components of one bucket; character counts rule out most pairs before the edit distance."""
+    sizes = split.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
+    rows = split.join(sizes, "key").join(texts, "id").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
+    rows = rows.select("key", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "mine", "id", "c", "own", "line")
+
+    def run(name: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        _, p, q = name
+        ids, c, own, mine = (part[x].to_numpy() for x in ("id", "c", "own", "mine"))
+        lines = part["line"].tolist()
+        codes = [np.frombuffer(x.encode("utf-32-le", "surrogatepass"), np.uint32) for x in lines]
+        counts = np.stack([np.bincount(x & 127, minlength=128) for x in codes]).astype(np.int16 if max(map(len, codes)) < 30_000 else np.int64)
+        u, v = [], []
+        for i in np.flatnonzero(own):
+            # Two indexed lines meet twice; the smaller one asks.
+            to = np.flatnonzero((c != c[i]) & (~own | (ids > ids[i])))
+            if p != q:
+                to = to[mine[to] != mine[i]]
+            to = to[np.abs(counts[to] - counts[i]).sum(axis=1) <= 2 * tau]
+            for at in range(0, len(to), 512):
+                some = to[at:at + 512]
+                ok = within([lines[i]] * len(some), [lines[j] for j in some], tau)
+                u += [ids[i]] * int(ok.sum())
+                v += ids[some[ok]].tolist()
+        return pd.DataFrame({"u": np.array(u, np.int64), "v": np.array(v, np.int64)})
+
+    return rows.groupBy("key", "p", "q").applyInPandas(run, "u long, v long").distinct()
+
+
 def texts_of(docs: DataFrame, unique: DataFrame, ids: DataFrame) -> DataFrame:
     """(id, line) of the named lines, taken from their first documents."""
     wanted = unique.join(small(ids), "id", "left_semi").groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "id")).alias("at"))
@@ -197,25 +229,24 @@ def removed_lines(docs: DataFrame, tau: int = TAU) -> DataFrame:
     """(doc_id, n_lines, removed): per document the numbers (from 0) of the lines that repeat an earlier one."""
     every = stage(lines(docs, tau))
     compared = every.filter("line_no IS NOT NULL")
-    unique = stage(compared.groupBy("a", "b").agg(F.min(F.struct("doc_id", "line_no", "indexed", "probes")).alias("r"), F.count(F.lit(1)).alias("n")).select(
+    unique = stage(compared.groupBy("a", "b").agg(F.min(F.struct("doc_id", "line_no")).alias("r"), F.count(F.lit(1)).alias("n")).select(
         F.col("a").alias("id"), "b", "n", "r.*"))
-    keyed = unique.select("id", F.explode(F.concat(
+    keyed = compared.select(F.col("a").alias("id"), F.explode(F.concat(
         F.transform("indexed", lambda k: F.struct(k.alias("key"), F.lit(True).alias("own"))),
         F.transform("probes", lambda k: F.struct(k.alias("key"), F.lit(False).alias("own"))))).alias("k")).select("id", "k.key", "k.own")
+    # Copies of a line give equal rows, which the partial aggregate folds.
     buckets = keyed.groupBy("key").agg(F.min(F.when(F.col("own"), F.col("id"))).alias("leader"), F.min("id").alias("lo"), F.max("id").alias("hi"))
     buckets = stage(buckets.filter("lo < hi AND leader IS NOT NULL").select("key", "leader"))
-    members = stage(keyed.join(small(buckets), "key"))
+    members = stage(keyed.join(small(buckets), "key").groupBy("key", "id").agg(F.max("own").alias("own"), F.min("leader").alias("leader")))
     stars = stage(members.filter("id <> leader").groupBy(F.col("id").alias("v")).agg(F.min("leader").alias("u")).select("u", "v"))
     texts = stage(texts_of(docs, unique, stage(members.select("id").distinct())))
     edges = stage(verified(stars, texts, tau))
     grouped = stage(_components(edges))
-    placed = members.join(grouped, "id", "left").select("key", "own", "id", F.coalesce("component", "id").alias("c"))
+    placed = stage(members.join(grouped, "id", "left").select("key", "own", "id", F.coalesce("component", "id").alias("c")))
     mixed = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
-    split = stage(placed.join(mixed, "key"))
-    other = split.select("key", F.col("id").alias("y"), F.col("c").alias("d"))
-    across = stage(split.filter("own").join(other, "key").filter("c <> d").select(F.least("id", "y").alias("u"), F.greatest("id", "y").alias("v")).distinct())
-    if across.limit(1).count():
-        edges = edges.unionByName(stage(verified(across, texts, tau)))
+    more = stage(linked_across(placed.join(mixed, "key"), texts, tau))
+    if more.limit(1).count():
+        edges = edges.unionByName(more)
         grouped = stage(_components(edges))
     # Per line that is repeated or linked: the first occurrence of its group.
     named = unique.join(grouped, "id", "left").filter("n > 1 OR component IS NOT NULL").withColumn("component", F.coalesce("component", "id"))
