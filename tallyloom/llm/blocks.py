@@ -26,11 +26,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def blocks(texts: list) -> Iterator[tuple[int, list[bytes]]]:
-    """Runs of consecutive texts as lower-cased (A-Z) UTF-8, with the number of the first one; null is empty."""
+def blocks(texts: list, lower: bool = True) -> Iterator[tuple[int, list[bytes]]]:
+    """Runs of consecutive texts as UTF-8, lower-cased (A-Z) unless told otherwise, with the number of the first one; null is empty."""
     first, held, size = 0, [], 0
     for i, text in enumerate(texts):
-        raw = (text or "").encode("utf-8", "surrogatepass").lower()
+        raw = (text or "").encode("utf-8", "surrogatepass")
+        raw = raw.lower() if lower else raw
         if held and size + len(raw) > BLOCK_BYTES:
             yield first, held
             first, held, size = i, [], 0

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import ann, decontaminate, langid, linededup, minhash, mixing, secrets, toxicity, urlfilter
+from tallyloom.llm import ann, decontaminate, langid, linededup, minhash, mixing, secrets, substrings, toxicity, urlfilter
 from tallyloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -176,3 +176,9 @@ def op2_url_filter(spark, sf_dir):
 def op1_ann(spark, sf_dir):
     """The 10 nearest vectors of every hundredth one."""
     return ann.nearest(table(spark, sf_dir, "embeddings"), "id % 100 = 0", k=10)
+
+
+@query()
+def op4_suffix_array(spark, sf_dir):
+    """Bytes of every document that repeat a 50-byte string of an earlier one."""
+    return substrings.cut_repeats(table(spark, sf_dir, "documents"), digest=True).withColumnRenamed("kept", "kept_sha256")
