@@ -31,6 +31,8 @@ WIDTH = len(SYMBOLS) + 1
 # Documents that the two models are counted on, at most about this many; chosen by the hash of their id.
 SAMPLE_DOCS = 20_000
 SMOOTHING = 0.5
+# Pseudo-counts per transition of the random model: without evidence, random strings are uniform.
+RANDOM_PRIOR = 4.0
 # Nats per transition by which the random model must be ahead.
 MARGIN = 0.8
 
@@ -78,7 +80,7 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> list[float]:
     counts = {(r["random"], r["p"]): r["n"] for r in pairs.groupBy("random", "p").agg(F.count(F.lit(1)).alias("n")).collect()}
     table = [0.0] * (WIDTH * WIDTH)
     for a, x in enumerate(SYMBOLS, 1):
-        rows = [[counts.get((side, x + y), 0) + SMOOTHING for y in SYMBOLS] for side in (1, 0)]
+        rows = [[counts.get((side, x + y), 0) + prior for y in SYMBOLS] for side, prior in ((1, RANDOM_PRIOR), (0, SMOOTHING))]
         for b in range(1, WIDTH):
             table[a * WIDTH + b] = math.log(rows[0][b - 1] / sum(rows[0])) - math.log(rows[1][b - 1] / sum(rows[1]))
     return table
@@ -93,9 +95,10 @@ def find(docs: DataFrame, model: list[float], margin: float = MARGIN) -> DataFra
     tokens = _spans(F.col("text"), len(FORMS), TOKEN, 0, 20)
     marked = marked.withColumn("tokens", tokens).withColumn("base", F.concat(*[f"b{k}" for k in range(len(FORMS))]))
     llr = f"split('{','.join(f'{x:.6g}' for x in model)}', ',')"
-    at = lambda i: f"position(substring(t.value, {i}, 1), '{SYMBOLS}')"
-    score = f"""aggregate(sequence(1, length(t.value) - 1), 0D, (a, i) ->
-        a + cast(element_at(cast({llr} AS array<double>), {at('i')} * {WIDTH} + {at('i + 1')} + 1) AS double)) / (length(t.value) - 1)"""
+    # One walk over the symbols of a token, with the one before in hand: linear in its length.
+    codes = f"transform(filter(split(t.value, ''), x -> x <> ''), x -> position(x, '{SYMBOLS}'))"
+    step = f"if(a.p = 0, 0D, element_at(cast({llr} AS array<double>), a.p * {WIDTH} + x + 1))"
+    score = f"aggregate({codes}, struct(0 AS p, 0D AS s), (a, x) -> struct(x AS p, a.s + {step} AS s), a -> a.s) / (length(t.value) - 1)"
     added = F.expr(f"filter(tokens, t -> NOT exists(base, x -> x.s < t.e AND t.s < x.e) AND {score} >= {margin})")
     order = "(x, y) -> CASE WHEN x.s < y.s THEN -1 WHEN x.s > y.s THEN 1 WHEN x.kind < y.kind THEN -1 WHEN x.kind > y.kind THEN 1 ELSE 0 END"
     names = "array(" + ", ".join(f"'{k}'" for k, *_ in FORMS) + ", 'markov')"
