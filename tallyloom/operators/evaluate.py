@@ -11,8 +11,8 @@ from tallyloom.runtime import running_totals
 def confusion(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """(label, prediction, n, row_share): counts and their share of the true class."""
     cells = df.groupBy(label, prediction).agg(F.count(F.lit(1)).alias("n"))
-    rows = cells.groupBy(label).agg(F.sum("n").alias("_t"))
-    return cells.join(rows, on=label).select(label, prediction, "n", (F.col("n") / F.col("_t")).alias("row_share"))
+    rows = cells.groupBy(F.col(label).alias("_l")).agg(F.sum("n").alias("_t"))
+    return cells.join(rows, cells[label].eqNullSafe(F.col("_l"))).select(label, prediction, "n", (F.col("n") / F.col("_t")).alias("row_share"))
 
 
 def accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:

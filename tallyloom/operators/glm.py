@@ -10,13 +10,23 @@ from pyspark.sql import functions as F
 from tallyloom.functions import dist
 from tallyloom.operators.features import as_vector
 from tallyloom.operators.linear import NARROW, partial_products
+from tallyloom.runtime import persisted
 
 
 def fit_logistic(df: DataFrame, label: str, terms: list[str]):
     """Binomial logit model by iteratively reweighted least squares."""
-    data = as_vector(df.na.drop("any", subset=[label, *terms]), terms)
-    return GeneralizedLinearRegression(family="binomial", link="logit", labelCol=label, featuresCol="features",
-                                       maxIter=50, tol=1e-10).fit(data)
+    data = as_vector(df.na.drop("any", subset=[label, *terms]), terms).select(label, "features")
+    # Every iteration, and the summary that is read here, goes over the rows again.
+    with persisted(data) as kept:
+        model = GeneralizedLinearRegression(family="binomial", link="logit", labelCol=label, featuresCol="features", maxIter=50, tol=1e-10).fit(kept)
+        model.measures = _measures(model)
+    return model
+
+
+def _measures(model) -> dict:
+    """What the summary says, read while the rows are at hand."""
+    s = model.summary
+    return {"errors": list(s.coefficientStandardErrors), "t": list(s.tValues), "p": list(s.pValues), "deviance": float(s.deviance), "null": float(s.nullDeviance)}
 
 
 def coefficients(model, terms: list[str]) -> dict[str, float]:
@@ -34,11 +44,11 @@ def probability(df: DataFrame, coefs: dict[str, float], name: str = "probability
 
 def coefficient_table(spark: SparkSession, model, terms: list[str]) -> DataFrame:
     """estimate, standard error, z, p and the odds ratio with its probability o / (1 + o)."""
-    s = model.summary
+    s = model.measures
     # The summary lists the intercept last.
     order = [len(terms), *range(len(terms))]
     est = [*map(float, model.coefficients), float(model.intercept)]
-    rows = [(["(Intercept)", *terms][k], est[i], s.coefficientStandardErrors[i], s.tValues[i], s.pValues[i])
+    rows = [(["(Intercept)", *terms][k], est[i], s["errors"][i], s["t"][i], s["p"][i])
             for k, i in enumerate(order)]
     table = spark.createDataFrame(rows, "term string, estimate double, std_error double, z_value double, p_value double")
     odds = F.exp("estimate")
@@ -77,6 +87,6 @@ def wald_test(spark: SparkSession, coefs: dict[str, float], cov: np.ndarray, hyp
 
 
 def pseudo_r2(spark: SparkSession, model) -> DataFrame:
-    s = model.summary
-    return spark.createDataFrame([(float(s.deviance), float(s.nullDeviance), 1 - s.deviance / s.nullDeviance)],
+    s = model.measures
+    return spark.createDataFrame([(s["deviance"], s["null"], 1 - s["deviance"] / s["null"])],
                                  "deviance double, null_deviance double, mcfadden double")

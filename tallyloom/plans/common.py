@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,3 +34,27 @@ def customer_features(t) -> DataFrame:
 
 def rounded(df: DataFrame, digits: int, *cols: str) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in cols})
+
+
+def money_mean(c: str):
+    """Mean of an amount to four digits. Whole cents are added up, so the order of the rows cannot change the last digit."""
+    cents = f"cast(round({c} * 100) AS bigint)"
+    return F.expr(f"signum(sum({cents})) * ((abs(sum({cents})) * 200 + count({c})) div (2 * nullif(count({c}), 0))) / 10000D")
+
+
+def money_mean_sql(c: str) -> str:
+    """The same for the oracle side."""
+    cents = f"CAST(round({c} * 100) AS BIGINT)"
+    return f"sign(sum({cents})) * ((abs(sum({cents})) * 200 + count({c})) // (2 * nullif(count({c}), 0))) / 10000.0"
+
+
+@contextmanager
+def views(spark, **frames: DataFrame):
+    """Temporary views that are gone again once the query has been analysed."""
+    for name, df in frames.items():
+        df.createOrReplaceTempView(name)
+    try:
+        yield
+    finally:
+        for name in frames:
+            spark.catalog.dropTempView(name)

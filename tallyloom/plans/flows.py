@@ -17,12 +17,11 @@ from tallyloom.operators import features as FE
 from tallyloom.operators import neighbors as N
 from tallyloom.operators import text as O
 from tallyloom.operators.joins import enrich
-from tallyloom.operators.sampling import downsample_class, hash_fold, hash_sample, hash_split
+from tallyloom.operators.sampling import downsample_class, hash_fold, hash_split
 from tallyloom.plans.basket import RULES_SQL, _rules
-from tallyloom.plans.common import customer_features, rounded
+from tallyloom.plans.common import customer_features, rounded, views
 from tallyloom.plans.features import GAPPY, gappy_customers
 from tallyloom.plans.registry import query
-from tallyloom.plans.relational import duck_hash
 from tallyloom.plans.text import CLEAN, WORDS, _in
 from tallyloom.functions import wordlists as W
 from tallyloom.runtime import spread, stage
@@ -32,9 +31,8 @@ from tallyloom.sources import io
 _LEX = ", ".join(f"('{w}', {p}::DOUBLE, {s}::DOUBLE)" for w, p, s in W.SENTIMENT)
 
 
-@query("P19 L05 P14 C01 C02 C03 T10 J03 S09", rf"""
-    WITH s AS (SELECT * FROM documents WHERE {duck_hash('doc_id', 'eda')} / 4294967296.0 < 0.4),
-    d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, md5(text) ORDER BY doc_id) AS rn FROM s) WHERE rn = 1),
+@query("P19 P14 C01 C02 C03 T10 J03 S09", rf"""
+    WITH d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, md5(text) ORDER BY doc_id) AS rn FROM documents) WHERE rn = 1),
     lex AS (SELECT * FROM (VALUES {_LEX}) v(word, polarity, subjectivity)),
     pr AS (SELECT doc_id, unnest(list_zip(list_concat([''], w[:-2]), w)) AS p FROM (SELECT doc_id, {WORDS} AS w FROM d) WHERE len(w) > 0),
     sc AS (SELECT doc_id, avg(greatest(-1.0, least(1.0, polarity * CASE WHEN p[1] IN {_in(W.NEGATIONS)} THEN {W.NEGATION_FACTOR}
@@ -45,8 +43,8 @@ _LEX = ", ".join(f"('{w}', {p}::DOUBLE, {s}::DOUBLE)" for w, p, s in W.SENTIMENT
            CAST(length(text) AS INTEGER) AS CharCount
     FROM d LEFT JOIN labels USING (doc_id) LEFT JOIN sc USING (doc_id)""")
 def review_table(t):
-    """Sample, one row per (source, text), counts, sentiment, labels, published names."""
-    docs = hash_sample(spread(t.documents, "doc_id").select("doc_id", "lang", "source", "text"), "doc_id", 0.4, "eda")
+    """One row per (source, text), counts, sentiment, labels, published names."""
+    docs = spread(t.documents, "doc_id").select("doc_id", "lang", "source", "text")
     # The text itself is only carried once per surviving row: the first row per key is chosen on digests.
     first = clean.first_per_key(docs.select("doc_id", "source", F.md5("text").alias("digest")), ["source", "digest"], ["doc_id"])
     docs = stage(docs.join(first.select("doc_id"), on="doc_id", how="left_semi"))
@@ -60,14 +58,13 @@ def review_table(t):
 
 @query("L06 F01 F03 F05 M03 M18 M34")
 def helpfulness_scores(t):
-    """Down-sample the larger class, weigh terms, fit on 70 percent, report AUC, and score the unlabelled documents."""
+    """Split, thin the larger class of the training part, weigh terms, fit, report AUC on untouched rows, and score the unlabelled documents."""
     labelled = t.labels.select("doc_id", F.col("quality").cast("double").alias("label"))
     docs = X.with_ngrams(spread(t.documents, "doc_id"), "text", "grams", stemmed=True).select(
         "doc_id", "grams", F.col("n_chars").cast("double").alias("n_chars"))
     docs = stage(docs.join(labelled, on="doc_id", how="left"))
-    known = downsample_class(docs.filter("label IS NOT NULL"), "label", 1.0, "doc_id", 0.6, "help")
-    parts = hash_split(known, "doc_id", {"train": 0.7, "test": 0.3}, "help")
-    train, test = parts.filter("split = 'train'"), parts.filter("split = 'test'")
+    parts = hash_split(docs.filter("label IS NOT NULL"), "doc_id", {"train": 0.7, "test": 0.3}, "help")
+    train, test = downsample_class(parts.filter("split = 'train'"), "label", 1.0, "doc_id", 0.6, "thin"), parts.filter("split = 'test'")
     prep = K.text_pipeline(["grams"], ["n_chars"], min_df=5).fit(train)
     model = K.logistic().fit(prep.transform(train))
     prob = vector_to_array("probability")[1].alias("score")
@@ -93,9 +90,8 @@ def basket_report(t):
         SELECT c_mktsegment, o_totalprice, CASE WHEN o_totalprice + c_acctbal <> 0 THEN c_acctbal / (o_totalprice + c_acctbal) END AS share
         FROM orders JOIN customer ON o_custkey = c_custkey) WHERE share < 0.5 GROUP BY c_mktsegment""")
 def sql_string_report(t):
-    t.orders.createOrReplaceTempView("orders_sheet")
-    t.customer.createOrReplaceTempView("customer_sheet")
-    return t.spark.sql("""
+    with views(t.spark, orders_sheet=t.orders, customer_sheet=t.customer):
+        return t.spark.sql("""
         SELECT c_mktsegment, count(*) AS n, round(avg(share), 8) AS mean_share, round(max(o_totalprice), 2) AS largest FROM (
             SELECT c_mktsegment, o_totalprice, try_divide(c_acctbal, o_totalprice + c_acctbal) AS share
             FROM orders_sheet JOIN customer_sheet ON o_custkey = c_custkey) WHERE share < 0.5

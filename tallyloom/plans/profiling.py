@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallyloom.operators import profile as P
 from tallyloom.operators import reshape
 from tallyloom.operators.features import standardise
-from tallyloom.plans.common import CUSTOMER_FEATURES, CUSTOMER_SQL, LINE_COLUMNS, customer_features, rounded
+from tallyloom.plans.common import CUSTOMER_FEATURES, CUSTOMER_SQL, LINE_COLUMNS, customer_features, money_mean, money_mean_sql, rounded
 from tallyloom.plans.registry import query
 
 
@@ -93,12 +93,12 @@ def group_describe(t):
 
 
 @query("A10", f"""
-    SELECT segment, round(avg(balance), 4) AS balance, round(avg(n_orders), 4) AS n_orders, round(avg(spend), 3) AS spend
+    SELECT segment, {money_mean_sql('balance')} AS balance, round(avg(n_orders), 4) AS n_orders, {money_mean_sql('spend')} AS spend
     FROM ({CUSTOMER_SQL}) GROUP BY segment""")
 def group_means(t):
     f = customer_features(t)
-    return f.groupBy("segment").agg(F.round(F.avg("balance"), 4).alias("balance"), F.round(F.avg("n_orders"), 4).alias("n_orders"),
-                                    F.round(F.avg("spend"), 3).alias("spend"))
+    return f.groupBy("segment").agg(money_mean("balance").alias("balance"), F.round(F.avg("n_orders"), 4).alias("n_orders"),
+                                    money_mean("spend").alias("spend"))
 
 
 @query("A11", f"WITH f AS ({CUSTOMER_SQL}) " + " UNION ALL ".join(

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyloom.runtime import ship_package
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 COVERS: dict[str, list[str]] = {}
@@ -30,6 +32,7 @@ def query(ids: str, sql: str | None = None):
         name = fn.__name__
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
             return fn(Tables(spark, sf_dir))
 
         run.__name__ = name

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions import scalar as S
 from tallyloom.operators import clean, joins, reshape, sampling
 from tallyloom.operators.profile import pearson_pairs, top_groups
+from tallyloom.plans.common import money_mean, money_mean_sql, views
 from tallyloom.plans.registry import query
 from tallyloom.sources import io
 
@@ -35,12 +36,12 @@ def joined_projection(t):
             .select("o_orderkey", "c_name", "o_totalprice", "c_acctbal").orderBy(F.desc("o_totalprice"), "o_orderkey"))
 
 
-@query("J02", """
-    SELECT round(avg(c_acctbal), 4) AS avg_balance, count(*) AS n
+@query("J02", f"""
+    SELECT {money_mean_sql('c_acctbal')} AS avg_balance, count(*) AS n
     FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice < 250000""")
 def avg_balance_filtered_join(t):
     joined = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).filter("o_totalprice < 250000")
-    return joined.agg(F.round(F.avg("c_acctbal"), 4).alias("avg_balance"), F.count(F.lit(1)).alias("n"))
+    return joined.agg(money_mean("c_acctbal").alias("avg_balance"), F.count(F.lit(1)).alias("n"))
 
 
 @query("J03", """
@@ -97,8 +98,8 @@ def tagged_scan(t):
 @query("S07", """
     SELECT lang, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY lang""")
 def temp_view_sql(t):
-    t.documents.createOrReplaceTempView("documents_cleaned")
-    return t.spark.sql("SELECT lang, count(*) AS n, sum(n_chars) AS chars FROM documents_cleaned GROUP BY lang")
+    with views(t.spark, documents_cleaned=t.documents):
+        return t.spark.sql("SELECT lang, count(*) AS n, sum(n_chars) AS chars FROM documents_cleaned GROUP BY lang")
 
 
 @query("S09", """

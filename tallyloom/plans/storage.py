@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tallyloom.plans.registry import query
-from tallyloom.runtime import persisted, scratch_path
+from tallyloom.runtime import persisted, scratch_path, stage
 from tallyloom.sources import io
 from tallyloom.sources.schemas import _D, _L, _S, schema
 
@@ -47,19 +47,26 @@ def csv_bad_lines(t):
     JOIN region ON n_regionkey = r_regionkey GROUP BY ALL""")
 def sheets_joined(t):
     """Several relations registered together as one workbook and queried by name."""
-    io.register_sheets(t.spark, {f"sheet_{n}": f"{t.folder}/{n}.parquet" for n in ("customer", "nation", "region")})
-    return t.spark.sql("""
+    names = io.register_sheets(t.spark, {f"sheet_{n}": f"{t.folder}/{n}.parquet" for n in ("customer", "nation", "region")})
+    joined = t.spark.sql("""
         SELECT r_name, n_name, count(*) AS customers FROM sheet_customer JOIN sheet_nation ON c_nationkey = n_nationkey
         JOIN sheet_region ON n_regionkey = r_regionkey GROUP BY r_name, n_name""")
+    for name in names:
+        t.spark.catalog.dropTempView(name)
+    return joined
 
 
 @query("S04 S01", "SELECT 'orders' AS type, o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY o_orderstatus")
 def saved_table_scan(t):
-    """Orders saved as a catalog table and scanned back with a provenance tag."""
+    """Orders saved as a managed table of the catalog, scanned back with a provenance tag, and dropped."""
     name = f"orders_{uuid.uuid4().hex[:12]}"
-    io.save_table(t.orders.select("o_orderstatus", "o_totalprice"), name, path=scratch_path(t.spark, name))
-    return io.scan_table(t.spark, name, "orders").groupBy("type", "o_orderstatus").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    io.save_table(t.orders.select("o_orderstatus", "o_totalprice"), name)
+    try:
+        # One row per status.
+        return stage(io.scan_table(t.spark, name, "orders").groupBy("type", "o_orderstatus").agg(
+            F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total")))
+    finally:
+        t.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 @query("S08 P20", """

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
+import os
 import uuid
+import zipfile
 from contextlib import contextmanager
 
-from pyspark import StorageLevel
+from pyspark import SparkFiles, StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,16 +31,49 @@ def build_session(app: str = "tallyloom", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that it need not be installed on them."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    folder = os.path.join(SparkFiles.getRootDirectory(), "package")
+    os.makedirs(folder, exist_ok=True)
+    path = os.path.join(folder, f"{os.path.basename(here)}.zip")
+    with zipfile.ZipFile(path, "w") as packed:
+        for top, _, names in os.walk(here):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(top, name)
+                    packed.write(full, os.path.relpath(full, os.path.dirname(here)))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder named by the cluster; a temporary one only for a local master with none set."""
+    """Shared folder named by the cluster; where none is set, one below the session's warehouse, which executors share as well."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-    root = tempfile.mkdtemp(prefix="tallyloom-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
+
+
+# Folders written by this process, per application, until they are dropped.
+_WRITTEN: dict[str, set[str]] = {}
+
+
+def _on_store(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Delete all folders that this session has written: call it once a result has been read. What is left goes with the session."""
+    held = _WRITTEN.pop(spark.sparkContext.applicationId, set())
+    for path in held:
+        where, store = _on_store(spark, path)
+        store.delete(where, True)
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -62,16 +96,22 @@ def persisted(df: DataFrame):
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
-    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, set()).add(path)
+    where, store = _on_store(spark, path)
+    store.deleteOnExit(where)
+    return path
 
 
 def spread(scan: DataFrame, *keys: str) -> DataFrame:
     """Give row-heavy work on a scan at least one task per core.
 
-    Only a scan with fewer splits than cores is repartitioned; a large one already has more and is left alone.
+    Only a scan of fewer files than cores is repartitioned; a large table has more and is left alone.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, *keys) if scan.rdd.getNumPartitions() < cores else scan
+    files = scan.inputFiles()
+    # A file of a scan gives at least one split; only when there are fewer files than cores can it have too few.
+    return scan.repartition(cores, *keys) if len(files) < cores else scan
 
 
 def running_totals(df: DataFrame, order_by: list, sums: dict[str, str]) -> DataFrame:

@@ -16,6 +16,8 @@ import duckdb
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from tallyloom.runtime import drop_stages  # noqa: E402
+
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
 
@@ -50,6 +52,7 @@ def compare(spark, name, run, sql, folder):
     began = time.time()
     df = run(spark, folder)
     rows = df.collect()
+    drop_stages(spark)
     took = time.time() - began
     cols = sorted(df.columns)
     if not sql:
