@@ -9,11 +9,11 @@ import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml import classification as MC
 from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, VectorAssembler
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.runtime import stage
+from tallyloom.runtime import unit_hash
 
 
 def logistic(**kw):
@@ -46,13 +46,13 @@ def text_pipeline(token_columns: list[str], numeric: list[str], buckets: int = 2
     for c in token_columns:
         stages += [HashingTF(numFeatures=buckets, inputCol=c, outputCol=f"{c}_tf"),
                    IDF(minDocFreq=min_df, inputCol=f"{c}_tf", outputCol=f"{c}_tfidf")]
-    stages.append(VectorAssembler(inputCols=[f"{c}_tfidf" for c in token_columns] + numeric, outputCol="features", handleInvalid="skip"))
+    stages.append(VectorAssembler(inputCols=[f"{c}_tfidf" for c in token_columns] + numeric, outputCol="features", handleInvalid="keep"))
     return Pipeline(stages=stages)
 
 
-def vocabulary_pipeline(tokens: str, min_df: int = 10, vocabulary: int = 262144) -> Pipeline:
-    """Counted vocabulary and idf."""
-    return Pipeline(stages=[CountVectorizer(inputCol=tokens, outputCol="tf", vocabSize=vocabulary),
+def vocabulary_pipeline(tokens: str, terms: int, min_df: int = 10) -> Pipeline:
+    """Counted vocabulary and idf; `terms` is the number of different terms, so that none is left out."""
+    return Pipeline(stages=[CountVectorizer(inputCol=tokens, outputCol="tf", vocabSize=max(terms, 1)),
                             IDF(minDocFreq=min_df, inputCol="tf", outputCol="features")])
 
 
@@ -84,51 +84,68 @@ def bayes_predict(df: DataFrame, table: DataFrame, label: str, columns: list[str
     return df.withColumn(name, F.array_min(F.array(*scores))["c"])
 
 
+# --- bounded samples of labelled rows ------------------------------------------------------------------------------
+
+# Labelled rows that a classifier is fitted on where its rounds or trees make all of them too dear.
+FIT_ROWS = 5_000
+
+
+def fit_sample(df: DataFrame, key: str, rows: int = FIT_ROWS) -> DataFrame:
+    """About `rows` rows chosen by key hash, or all of them if there are fewer."""
+    share = min(1.0, rows / max(df.count(), 1))
+    return df if share == 1.0 else df.filter(unit_hash(key, F.lit("fit")) < share)
+
+
 # --- boosted stumps ----------------------------------------------------------------------------------------------
 
 class AdaBoost:
-    """Discrete boosting of depth-1 trees on labels 0/1.
-
-    The weights live in a column; the lineage is cut every `cut` rounds, so a long run stays recoverable.
-    """
+    """Discrete boosting of depth-1 trees on labels 0/1, fitted on a bounded sample (`fit_sample`) and scored as one column expression."""
 
-    def __init__(self, rounds: int = 200, features: str = "features", label: str = "label", seed: int = 1, cut: int = 10):
-        self.rounds, self.features, self.label, self.seed, self.cut = rounds, features, label, seed, cut
-        self.stumps: list[tuple[float, object]] = []
+    def __init__(self, rounds: int = 200, features: str = "features", label: str = "label", bins: int = 64):
+        self.rounds, self.features, self.label, self.bins = rounds, features, label, bins
+        self.stumps: list[tuple[int, float, float]] = []  # feature, threshold, vote for class 1 above it (negative: below)
 
     def fit(self, df: DataFrame) -> "AdaBoost":
-        data = stage(df.select(self.features, F.col(self.label).cast("double").alias(self.label)).withColumn("_w", F.lit(1.0)))
+        rows = df.select(vector_to_array(self.features).alias("x"), F.col(self.label).cast("double").alias("y")).toPandas()
         self.stumps = []
-        learner = MC.DecisionTreeClassifier(maxDepth=1, featuresCol=self.features, labelCol=self.label, weightCol="_w",
-                                            predictionCol="_h", seed=self.seed)
-        for i in range(self.rounds):
-            model = learner.fit(data)
-            judged = model.transform(data).drop("rawPrediction", "probability")
-            miss = F.when(F.col("_h") != F.col(self.label), 1.0).otherwise(0.0)
-            row = judged.agg(F.sum(F.col("_w") * miss).alias("bad"), F.sum("_w").alias("all"), F.count(F.lit(1)).alias("n")).first()
-            err = row["bad"] / row["all"] if row["all"] else 0.5
-            if err >= 0.5:
+        if not len(rows):
+            return self
+        # Rows in an order of their own, so that sums do not depend on partitioning.
+        x, y = np.stack(rows["x"].to_numpy()), rows["y"].to_numpy()
+        order = np.lexsort((y, *x.T))
+        x, sign = x[order], np.where(y[order] > 0, 1.0, -1.0)
+        cuts = [np.unique(np.quantile(c, np.linspace(0, 1, self.bins + 1)[1:-1], method="lower")) for c in x.T]
+        places = [np.searchsorted(c, v, "left") for c, v in zip(cuts, x.T)]
+        w = np.full(len(sign), 1.0 / len(sign))
+        for _ in range(self.rounds):
+            best = (0.5, None)
+            for j, (cut, place) in enumerate(zip(cuts, places)):
+                # Error of "class 1 above the cut" for every cut, from the weighted signs per bin.
+                above = (w * sign).sum() - np.cumsum(np.bincount(place, weights=w * sign, minlength=len(cut) + 1))[:-1]
+                below = (w * sign).sum() - above
+                edge = (above - below) / 2
+                for at in (edge.argmax(), edge.argmin()) if len(edge) else ():
+                    if 0.5 - abs(edge[at]) < best[0] - 1e-12:
+                        best = (0.5 - abs(edge[at]), (j, float(cut[at]), 1.0 if edge[at] > 0 else -1.0))
+            err, stump = best
+            if stump is None:
                 break
             alpha = math.log((1 - err) / max(err, 1e-16))
-            self.stumps.append((alpha, model))
+            self.stumps.append((stump[0], stump[1], alpha * stump[2]))
             if err <= 0:
                 break
-            # Mean weight 1 in every round keeps the weights away from underflow.
-            mean = (row["all"] - row["bad"] + row["bad"] * math.exp(alpha)) / row["n"]
-            data = judged.withColumn("_w", F.col("_w") * F.exp(F.lit(alpha) * miss) / F.lit(mean)).drop("_h")
-            if (i + 1) % self.cut == 0:
-                data = stage(data)
+            said = np.where(x[:, stump[0]] > stump[1], stump[2], -stump[2])
+            w = w * np.exp(np.where(said != sign, alpha, 0.0))
+            w /= w.sum()
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Add `score` (weighted vote in -1..1) and `prediction`."""
-        out, vote = df, F.lit(0.0)
-        total = sum(a for a, _ in self.stumps) or 1.0
-        out = out.withColumn("score", F.lit(0.0))
-        for alpha, model in self.stumps:
-            out = model.transform(out).withColumn("score", F.col("score") + F.lit(alpha / total) * (2 * F.col("_h") - 1)).drop(
-                "_h", "rawPrediction", "probability")
-        return out.withColumn("prediction", F.when(F.col("score") > vote, 1.0).otherwise(0.0))
+        total = sum(abs(v) for *_, v in self.stumps) or 1.0
+        votes = F.array(*[F.struct(F.lit(j).alias("j"), F.lit(c).alias("c"), F.lit(v / total).alias("v")) for j, c, v in self.stumps]) if self.stumps else None
+        x = vector_to_array(self.features)
+        score = F.lit(0.0) if votes is None else F.aggregate(votes, F.lit(0.0), lambda s, e: s + F.when(F.get("_x", e["j"]) > e["c"], e["v"]).otherwise(-e["v"]))
+        return df.withColumn("_x", x).withColumn("score", score).drop("_x").withColumn("prediction", F.when(F.col("score") > 0, 1.0).otherwise(0.0))
 
 
 # --- RBF support vectors by random features ----------------------------------------------------------------------

@@ -108,11 +108,21 @@ def power_transform(df: DataFrame, columns: list[str]) -> tuple[DataFrame, dict[
 # --- formulas ----------------------------------------------------------------------------------------------------
 
 def as_vector(df: DataFrame, columns: list[str], name: str = "features") -> DataFrame:
-    """ML vector column from numeric columns; rows with gaps are dropped."""
+    """ML vector column from numeric columns, for fitting: rows with gaps are dropped. Score with `scored`, which keeps them."""
     from pyspark.ml.feature import VectorAssembler
     return VectorAssembler(inputCols=columns, outputCol=name, handleInvalid="skip").transform(df)
 
 
+def scored(df: DataFrame, model, columns: list[str], name: str = "prediction") -> DataFrame:
+    """All rows with the model's prediction; rows with gaps get none."""
+    whole = F.lit(True)
+    for c in columns:
+        whole = whole & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    rest = df.filter(~whole)
+    known = model.transform(as_vector(df.filter(whole), columns)).withColumnRenamed("prediction", name)
+    return known.select(*df.columns, name).unionByName(rest.withColumn(name, F.lit(None).cast(known.schema[name].dataType)))
+
+
 def as_array(df: DataFrame, columns: list[str], name: str = "vec") -> DataFrame:
     return df.withColumn(name, F.array(*[F.col(c).cast("double") for c in columns]))
 

@@ -129,7 +129,7 @@ def segmentation_profile(t):
     powered, _, _ = FE.power_transform(base, cols)
     powered = stage(powered)
     tendency = N.hopkins(powered, "c_custkey", cols, 150).first()["hopkins_u_share"]
-    model = C.best_kmeans(powered, cols, 4, restarts=3)
+    model = C.best_kmeans(powered, cols, 4, restarts=10)
     labelled = C.assign(powered, model, cols).select("c_custkey", "cluster")
     profile = labelled.join(base, on="c_custkey").groupBy("cluster").agg(
         F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in cols])

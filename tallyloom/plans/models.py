@@ -10,13 +10,14 @@ from tallyloom.functions import text as X
 from tallyloom.operators import classify as K
 from tallyloom.operators import evaluate as E
 from tallyloom.operators import linear
-from tallyloom.operators.features import as_vector, standardise
+from tallyloom.operators.features import as_vector
 from tallyloom.operators.sampling import hash_fold, hash_split
 from tallyloom.operators.topics import fit_topics, top_terms
 from tallyloom.plans.common import rounded
 from tallyloom.plans.linear import ROWS_SQL, logit_rows
 from tallyloom.plans.registry import query
-from tallyloom.runtime import spread, stage
+from tallyloom.plans.text import CLEAN, GRAMS, STEMS, _phrase_sql
+from tallyloom.runtime import key_hash, spread, stage
 
 COLUMNS = ["qty", "disc", "tax", "price"]
 
@@ -34,6 +35,14 @@ def split_rows(t):
     return [as_vector(apply_scaling(d, params), COLUMNS) for d in (train, test)]
 
 
+def scaled(estimator):
+    """The estimator behind a scaler that is fitted with it, so that every fold scales with its own training part."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import StandardScaler, VectorAssembler
+    return Pipeline(stages=[VectorAssembler(inputCols=COLUMNS, outputCol="plain", handleInvalid="keep"),
+                            StandardScaler(inputCol="plain", outputCol="features", withMean=True), estimator])
+
+
 def report(t, estimator):
     train, test = split_rows(t)
     scored = estimator.fit(train).transform(test)
@@ -56,21 +65,22 @@ def decision_tree_report(t):
 
 @query("M05 M37 L03")
 def forest_importance(t):
-    train, _ = split_rows(t)
-    model = K.forest(numTrees=20, maxDepth=6).fit(train)
-    return E.feature_importance(t.spark, model, COLUMNS, 15)
+    rows = as_vector(K.fit_sample(keyed_rows(t), "key"), COLUMNS)
+    return E.feature_importance(t.spark, K.forest().fit(rows), COLUMNS, 15)
 
 
 @query("M06 M19")
 def boosted_trees_confusion(t):
     train, test = split_rows(t)
-    scored = K.boosted(maxIter=10).fit(train).transform(test)
+    scored = K.boosted(maxIter=500, stepSize=0.05).fit(K.fit_sample(train, "key")).transform(test)
     return E.confusion(scored, "label", "prediction")
 
 
 @query("M07 M20")
 def adaboost_report(t):
-    return report(t, K.AdaBoost(rounds=8))
+    train, test = split_rows(t)
+    scored = K.AdaBoost(rounds=200).fit(K.fit_sample(train, "key", 20_000)).transform(test)
+    return E.classification_report(scored.select("label", "prediction"), "label", "prediction")
 
 
 LABELLED_SQL = f"""
@@ -122,24 +132,22 @@ def discriminant_confusion(t):
 
 @query("M11 M19")
 def kernel_svm_confusion(t):
-    parts = hash_split(standardise(keyed_rows(t), COLUMNS), "key", {"train": 0.7, "test": 0.3}, "models")
-    lifted = K.random_features(parts, COLUMNS, size=50)
-    model = K.kernel_svm(maxIter=20).fit(lifted.filter("split = 'train'"))
-    return E.confusion(model.transform(lifted.filter("split = 'test'")), "label", "prediction")
+    train, test = [K.random_features(d.drop("features"), COLUMNS) for d in split_rows(t)]
+    return E.confusion(K.kernel_svm().fit(K.fit_sample(train, "key")).transform(test), "label", "prediction")
 
 
 @query("M12 M19")
 def perceptron_confusion(t):
     train, test = split_rows(t)
-    return E.confusion(K.perceptron(len(COLUMNS), maxIter=20, layers=[4, 10, 2]).fit(train).transform(test), "label", "prediction")
+    return E.confusion(K.perceptron(len(COLUMNS)).fit(K.fit_sample(train, "key")).transform(test), "label", "prediction")
 
 
 @query("M21")
 def model_comparison(t):
     """Cross-validated AUC of several classifiers, best first."""
-    rows = as_vector(standardise(keyed_rows(t), COLUMNS), COLUMNS).withColumn("fold", hash_fold("key", 3, "cv")).persist()
+    rows = keyed_rows(t).select("label", *COLUMNS, hash_fold("key", 5, "cv").alias("fold")).persist()
     ev = BinaryClassificationEvaluator(metricName="areaUnderROC")
-    out = E.compare_models(t.spark, rows, {"logistic": K.logistic(), "tree": K.tree(), "bayes": K.gaussian_bayes()}, ev, 3, "fold")
+    out = E.compare_models(t.spark, rows, {name: scaled(m) for name, m in (("logistic", K.logistic()), ("tree", K.tree()), ("bayes", K.gaussian_bayes()))}, ev, 5, "fold")
     rows.unpersist()
     return out
 
@@ -149,11 +157,11 @@ def searched_tree(t):
     """Grid search by precision of the positive class; the refitted best model scores the held-out rows."""
     from pyspark.ml.tuning import ParamGridBuilder
     train, test = split_rows(t)
-    train = train.withColumn("fold", hash_fold("key", 3, "grid")).persist()
+    train = train.withColumn("fold", hash_fold("key", 5, "grid")).persist()
     est = K.tree()
-    grid = ParamGridBuilder().addGrid(est.maxDepth, [2, 4]).addGrid(est.minInstancesPerNode, [10, 50]).build()
+    grid = ParamGridBuilder().addGrid(est.maxDepth, [2, 4, 6]).addGrid(est.minInstancesPerNode, [10, 50, 200]).build()
     ev = MulticlassClassificationEvaluator(metricName="precisionByLabel", metricLabel=1.0)
-    model, table = E.grid_search(train, est, grid, ev, 3, "fold")
+    model, table = E.grid_search(train, est, grid, ev, 5, "fold")
     held_out = float(ev.evaluate(model.transform(test)))
     train.unpersist()
     return table.withColumn("held_out_precision", F.lit(held_out))
@@ -165,33 +173,40 @@ def token_documents(t):
     return docs.select("doc_id", "grams", F.transform("phrases", lambda p: p["phrase"]).alias("phrases"), F.col("n_chars").cast("double").alias("n_chars"))
 
 
-@query("F01")
+BUCKETS = 2000
+_BUCKET_SQL = f"CAST(('0x' || substr(md5(term), 1, 8))::BIGINT % {BUCKETS} AS INTEGER)"
+
+
+@query("F01", _phrase_sql("documents", "doc_id") + f""",
+    term AS (SELECT doc_id, 'grams' AS source, unnest({GRAMS}) AS term FROM (SELECT doc_id, {STEMS} AS s FROM documents)
+             UNION ALL SELECT doc_id, 'phrases', phrase FROM p)
+    SELECT source, {_BUCKET_SQL} AS bucket, count(DISTINCT doc_id) AS docs, count(*) AS total FROM term GROUP BY ALL""")
 def hashed_term_buckets(t):
-    """Documents and total count per hash bucket of n-grams and phrases."""
-    from pyspark.ml.feature import HashingTF
+    """Documents and total count per hash bucket of n-grams and phrases: hashed terms, grouped; nothing is written for empty buckets."""
     docs = stage(token_documents(t))
-    parts = []
-    for c in ("grams", "phrases"):
-        tf = HashingTF(numFeatures=2000, inputCol=c, outputCol="tf").transform(docs)
-        cells = tf.select(F.posexplode(vector_to_array("tf")).alias("bucket", "n")).filter("n > 0")
-        parts.append(cells.groupBy("bucket").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("total")).withColumn("source", F.lit(c)))
-    return parts[0].unionByName(parts[1])
+    rows = docs.select("doc_id", F.explode(F.array(F.struct(F.lit("grams").alias("source"), F.col("grams").alias("terms")),
+                                                   F.struct(F.lit("phrases").alias("source"), F.col("phrases").alias("terms")))).alias("x"))
+    cells = rows.select("doc_id", "x.source", F.explode("x.terms").alias("term")).select("doc_id", "source", (key_hash("term") % BUCKETS).cast("int").alias("bucket"))
+    per = cells.groupBy("doc_id", "source", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    return per.groupBy("source", "bucket").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("total"))
 
 
-@query("F02 F03")
+@query("F02 F03", f"""
+    WITH v AS (SELECT DISTINCT doc_id, unnest({CLEAN}) AS term FROM documents)
+    SELECT term, round(CASE WHEN count(*) < 10 THEN 0.0 ELSE ln(((SELECT count(*) FROM documents) + 1.0) / (count(*) + 1.0)) END, 10) AS idf FROM v GROUP BY term""")
 def vocabulary_weights(t):
-    """Vocabulary of the count model with its idf weights."""
+    """Every term with its idf weight, 0 for those of fewer than ten documents."""
     docs = spread(t.documents, "doc_id").select(X.clean_tokens("text").alias("tk"))
-    model = K.vocabulary_pipeline("tk").fit(docs)
-    vocabulary, idf = model.stages[0].vocabulary, model.stages[1].idf.toArray()
-    return t.spark.createDataFrame([(w, float(v)) for w, v in zip(vocabulary, idf)], "term string, idf double")
+    n = t.documents.count()
+    counts = docs.select(F.explode(F.array_distinct("tk")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    return counts.select("term", F.round(F.when(F.col("df") < 10, 0.0).otherwise(F.log((n + 1.0) / (F.col("df") + 1.0))), 10).alias("idf"))
 
 
 @query("F13 F05 M03 M18")
 def text_classifier_auc(t):
     """Hashed n-gram and phrase weights with a length feature, fitted as one pipeline, scored on held-out documents."""
     docs = stage(token_documents(t)).join(t.labels.select("doc_id", F.col("quality").cast("double").alias("label")), on="doc_id")
-    parts = hash_split(docs, "doc_id", {"train": 0.7, "test": 0.3}, "text").persist()
+    parts = stage(hash_split(docs, "doc_id", {"train": 0.7, "test": 0.3}, "text"))
     prepared = K.text_pipeline(["grams", "phrases"], ["n_chars"]).fit(parts.filter("split = 'train'"))
     model = K.logistic().fit(prepared.transform(parts.filter("split = 'train'")))
     scored = model.transform(prepared.transform(parts.filter("split = 'test'")))
@@ -203,5 +218,5 @@ def text_classifier_auc(t):
 def topic_terms(t):
     """Ten leading terms of every topic, with the fit measures of the model."""
     docs = spread(t.documents, "doc_id").select(X.clean_tokens("text").alias("tk"))
-    counter, model, (likelihood, perplexity) = fit_topics(docs, "tk", k=10, iterations=4, vocabulary=20000)
+    counter, model, (likelihood, perplexity) = fit_topics(docs, "tk", k=50, iterations=4)
     return top_terms(counter, model, 10).withColumns({"log_likelihood": F.lit(likelihood), "log_perplexity": F.lit(perplexity)})
