@@ -94,3 +94,20 @@ def shingles(held: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
         else:
             sets.append(np.zeros(0, np.uint64))
     return np.concatenate(([0], np.cumsum([len(s) for s in sets]))), np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+
+
+def pairs_within(group: np.ndarray, most: int = 200_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs (i, j), i < j, of rows with the same value of `group`, whose equal values stand together; in portions of about `most`."""
+    n = len(group)
+    ends = np.append(np.flatnonzero(group[1:] != group[:-1]) + 1, n)
+    end = np.repeat(ends, np.diff(np.append(0, ends)))
+    alive, step, held, size = np.arange(n), 1, [], 0
+    while len(alive := alive[alive + step < end[alive]]):
+        held.append((alive, alive + step))
+        size += len(alive)
+        if size >= most:
+            yield tuple(np.concatenate(x) for x in zip(*held))
+            held, size = [], 0
+        step += 1
+    if held:
+        yield tuple(np.concatenate(x) for x in zip(*held))

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.blocks import blocks, mix, powers
+from tallyloom.llm.blocks import blocks, mix, pairs_within, powers
 from tallyloom.llm.common import columns
 from tallyloom.operators.graph import connected_components
 from tallyloom.runtime import stage
@@ -30,6 +30,8 @@ TAU = 2
 MIN_CHARS = 32
 # Members of a bucket that meet in one task; a larger bucket becomes several pairs of parts.
 PART = 1_000
+# Rows of the buckets that one call in a task handles together.
+BIN = 4_000
 # Rows of keys or line numbers that are broadcast when a count shows that they are no more; otherwise they are joined by shuffle.
 BROADCAST_KEYS = 1_000_000
 
@@ -187,33 +189,41 @@ def verified(pairs: DataFrame, texts: DataFrame, tau: int) -> DataFrame:
 
 
 def linked_across(split: DataFrame, texts: DataFrame, tau: int) -> DataFrame:
-    """The links (u, v) between different components of one bucket; character counts rule out most pairs before the edit distance."""
+    """The links (u, v) between different components of one bucket; character counts rule out most pairs before the edit distance.
+
+    Buckets, or pairs of parts of large ones, are dealt out to bins of about BIN rows, so that a task call handles many small ones.
+    """
     sizes = split.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
     rows = split.join(sizes, "key").join(texts, "id").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
-    rows = rows.select("key", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "mine", "id", "c", "own", "line")
+    rows = stage(rows.select("key", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "mine", "id", "c", "own", "line"))
+    bins = max(1, -(-rows.count() // BIN))
 
-    def run(name: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        _, p, q = name
-        ids, c, own, mine = (part[x].to_numpy() for x in ("id", "c", "own", "mine"))
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        key, p, q, mine, ids, c, own = (part[x].to_numpy() for x in ("key", "p", "q", "mine", "id", "c", "own"))
+        order = np.lexsort((q, p, key))
         lines = part["line"].tolist()
-        codes = [np.frombuffer(x.encode("utf-32-le", "surrogatepass"), np.uint32) for x in lines]
-        counts = np.stack([np.bincount(x & 127, minlength=128) for x in codes]).astype(np.int16 if max(map(len, codes)) < 30_000 else np.int64)
+        counts = np.stack([np.bincount(np.frombuffer(x.encode("utf-32-le", "surrogatepass"), np.uint32) & 127, minlength=128) for x in lines]).astype(np.int32)
+        k, a, b = key[order], p[order], q[order]
+        group = np.cumsum(np.append(0, (k[1:] != k[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+        found = []
+        for i, j in pairs_within(group):
+            i, j = order[i], order[j]
+            # A pair needs an indexed line; two parts of a bucket meet in their own pair of parts only.
+            some = (c[i] != c[j]) & (own[i] | own[j]) & ((p[i] == q[i]) | (mine[i] != mine[j]))
+            i, j = i[some], j[some]
+            some = np.abs(counts[i] - counts[j]).sum(axis=1) <= 2 * tau
+            found += list(zip(i[some].tolist(), j[some].tolist()))
+        found.sort(key=lambda x: len(lines[x[0]]))
         u, v = [], []
-        for i in np.flatnonzero(own):
-            # Two indexed lines meet twice; the smaller one asks.
-            to = np.flatnonzero((c != c[i]) & (~own | (ids > ids[i])))
-            if p != q:
-                to = to[mine[to] != mine[i]]
-            to = to[np.abs(counts[to] - counts[i]).sum(axis=1) <= 2 * tau]
-            for at in range(0, len(to), 512):
-                some = to[at:at + 512]
-                ok = within([lines[i]] * len(some), [lines[j] for j in some], tau)
-                u += [ids[i]] * int(ok.sum())
-                v += ids[some[ok]].tolist()
+        for at in range(0, len(found), 512):
+            some = found[at:at + 512]
+            ok = within([lines[i] for i, _ in some], [lines[j] for _, j in some], tau)
+            u += [ids[i] for (i, _), good in zip(some, ok) if good]
+            v += [ids[j] for (_, j), good in zip(some, ok) if good]
         return pd.DataFrame({"u": np.array(u, np.int64), "v": np.array(v, np.int64)})
 
-    return rows.groupBy("key", "p", "q").applyInPandas(run, "u long, v long").distinct()
+    return rows.groupBy(F.pmod(F.xxhash64("key", "p", "q"), F.lit(bins)).alias("bin")).applyInPandas(run, "u long, v long").distinct()
 
 
 def texts_of(docs: DataFrame, unique: DataFrame, ids: DataFrame) -> DataFrame:
