@@ -9,16 +9,18 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm import decontaminate, linededup, minhash, mixing, toxicity
 from tallyloom.llm.common import DOCUMENT, table
-from tallyloom.runtime import stage
+from tallyloom.runtime import ship_package, stage
 
 
 def drop_toxic(spark, docs, sf_dir):
     """Documents that the ordinal model, fitted on `labels`, does not reject."""
+    ship_package(spark)
     return toxicity.drop_toxic(docs.select(DOCUMENT), table(spark, sf_dir, "labels"))
 
 
 def drop_repeated_lines(spark, docs, sf_dir):
     """Texts without lines that repeat an earlier line within two edits; n_chars follows the text."""
+    ship_package(spark)
     kept = linededup.drop_repeated_lines(docs.select(DOCUMENT).withColumn("_was", F.length("text")))
     changed = F.col("_was") != F.length("text")
     return kept.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(DOCUMENT)
@@ -26,16 +28,19 @@ def drop_repeated_lines(spark, docs, sf_dir):
 
 def drop_near_duplicates(spark, docs, sf_dir):
     """One document of every group that shares four fifths of its five-word shingles: the one with the smallest id."""
+    ship_package(spark)
     return minhash.drop_near_duplicates(docs.select(DOCUMENT))
 
 
 def drop_contaminated(spark, docs, sf_dir):
     """Documents of which less than a twentieth of the words stand in benchmark passages."""
+    ship_package(spark)
     return decontaminate.remove_documents(docs.select(DOCUMENT), table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark, docs, sf_dir):
     """The mix of four fifths of the tokens by domain, language and source, with the epoch and the leading tokens to take."""
+    ship_package(spark)
     return mixing.mixed(docs.select(DOCUMENT), mixing.production_levels(), mixing.PRODUCTION_WEIGHTS, mixing.production_budget(), mixing.PRODUCTION_EPOCHS)
 
 

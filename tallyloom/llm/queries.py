@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm import ann, decontaminate, langid, linededup, minhash, mixing, secrets, substrings, toxicity, urlfilter
 from tallyloom.llm.common import table
+from tallyloom.runtime import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -16,7 +17,12 @@ ORACLES: dict[str, str] = {}
 
 def query(sql: str | None = None):
     def wrap(fn):
-        QUERIES[fn.__name__] = fn
+        def run(spark, sf_dir):
+            ship_package(spark)
+            return fn(spark, sf_dir)
+
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[fn.__name__] = run
         if sql:
             ORACLES[fn.__name__] = sql
         return fn
