@@ -4,7 +4,7 @@ import importlib
 
 from tallyloom.plans import registry
 
-MODULES = ("relational", "storage", "profiling", "text", "basket", "features", "linear", "models", "clustering", "flows")
+MODULES = ("relational", "storage", "profiling", "text", "basket", "features", "linear", "models", "clustering", "flows", "facts")
 
 
 def load_all():

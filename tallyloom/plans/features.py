@@ -8,7 +8,8 @@ from tallyloom.operators import evaluate as E
 from tallyloom.operators import features as FE
 from tallyloom.operators import neighbors as N
 from tallyloom.plans.common import CUSTOMER_FEATURES, CUSTOMER_SQL, customer_features, rounded
-from tallyloom.plans.registry import query
+from tallyloom.plans.registry import once, query
+from tallyloom.runtime import stage
 from tallyloom.plans.relational import duck_hash
 
 
@@ -164,12 +165,17 @@ def smote_class_sizes(t):
     return every.groupBy("quality", "synthetic").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("n_chars"), 4).alias("mean_chars"))
 
 
+@once
+def completed(t):
+    """The five completed data sets of thirty rounds."""
+    from tallyloom.operators.impute import chained_equations
+    return stage(chained_equations(gappy_customers(t), "c_custkey", GAPPY, m=5, iterations=30))
+
+
 @query("F09")
 def chained_imputation(t):
     """Means of the imputed columns in each of five completed data sets."""
-    from tallyloom.operators.impute import chained_equations
-    done = chained_equations(gappy_customers(t), "c_custkey", GAPPY, m=5, iterations=2)
-    return done.groupBy("imputation").agg(F.count(F.lit(1)).alias("n"), *[F.round(F.avg(c), 6).alias(c) for c in GAPPY])
+    return completed(t).groupBy("imputation").agg(F.count(F.lit(1)).alias("n"), *[F.round(F.avg(c), 6).alias(c) for c in GAPPY])
 
 
 # --- evaluation --------------------------------------------------------------------------------------------------

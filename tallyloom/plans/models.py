@@ -15,7 +15,7 @@ from tallyloom.operators.sampling import hash_fold, hash_split
 from tallyloom.operators.topics import fit_topics, top_terms
 from tallyloom.plans.common import rounded
 from tallyloom.plans.linear import ROWS_SQL, logit_rows
-from tallyloom.plans.registry import query
+from tallyloom.plans.registry import by_folder, query
 from tallyloom.plans.text import CLEAN, GRAMS, STEMS, _phrase_sql
 from tallyloom.runtime import key_hash, spread, stage
 
@@ -49,6 +49,34 @@ def report(t, estimator):
     return E.classification_report(scored.select("label", "prediction"), "label", "prediction")
 
 
+CELLS = "label double, prediction double, n long, row_share double"
+
+
+def _cells(fit, lift=lambda d: d):
+    """The confusion rows, at most one per pair of classes, of a model fitted on a sample of the training part."""
+    def run(t):
+        train, test = [lift(d) for d in split_rows(t)]
+        return [tuple(r) for r in E.confusion(fit(train).transform(test), "label", "prediction").select("label", "prediction", "n", "row_share").collect()]
+    return run
+
+
+boosted_cells = by_folder(_cells(lambda d: K.boosted(maxIter=500, stepSize=0.05).fit(K.fit_sample(d, "key"))))
+svm_cells = by_folder(_cells(lambda d: K.kernel_svm().fit(K.fit_sample(d, "key")), lambda d: K.random_features(d.drop("features"), COLUMNS)))
+perceptron_cells = by_folder(_cells(lambda d: K.perceptron(len(COLUMNS)).fit(K.fit_sample(d, "key"))))
+adaboost_cells = by_folder(_cells(lambda d: K.AdaBoost(rounds=200).fit(K.fit_sample(d, "key", 20_000))))
+tree_cells = by_folder(_cells(lambda d: K.tree().fit(d)))
+logistic_cells = by_folder(_cells(lambda d: K.logistic().fit(d)))
+
+
+@by_folder
+def forest_fit(t):
+    """(importances by feature, confusion rows on the test part) of the full forest."""
+    train, test = split_rows(t)
+    model = K.forest().fit(K.fit_sample(train, "key"))
+    cells = E.confusion(model.transform(test), "label", "prediction").select("label", "prediction", "n", "row_share").collect()
+    return [(c, float(model.featureImportances[i])) for i, c in enumerate(COLUMNS)], [tuple(r) for r in cells]
+
+
 @query("M03 M18 F05")
 def logistic_classifier_auc(t):
     train, test = split_rows(t)
@@ -65,15 +93,12 @@ def decision_tree_report(t):
 
 @query("M05 M37 L03")
 def forest_importance(t):
-    rows = as_vector(K.fit_sample(keyed_rows(t), "key"), COLUMNS)
-    return E.feature_importance(t.spark, K.forest().fit(rows), COLUMNS, 15)
+    return t.spark.createDataFrame(forest_fit(t)[0], "feature string, importance double").orderBy(F.desc("importance"), "feature").limit(15)
 
 
 @query("M06 M19")
 def boosted_trees_confusion(t):
-    train, test = split_rows(t)
-    scored = K.boosted(maxIter=500, stepSize=0.05).fit(K.fit_sample(train, "key")).transform(test)
-    return E.confusion(scored, "label", "prediction")
+    return t.spark.createDataFrame(boosted_cells(t), CELLS)
 
 
 @query("M07 M20")
@@ -132,14 +157,12 @@ def discriminant_confusion(t):
 
 @query("M11 M19")
 def kernel_svm_confusion(t):
-    train, test = [K.random_features(d.drop("features"), COLUMNS) for d in split_rows(t)]
-    return E.confusion(K.kernel_svm().fit(K.fit_sample(train, "key")).transform(test), "label", "prediction")
+    return t.spark.createDataFrame(svm_cells(t), CELLS)
 
 
 @query("M12 M19")
 def perceptron_confusion(t):
-    train, test = split_rows(t)
-    return E.confusion(K.perceptron(len(COLUMNS)).fit(K.fit_sample(train, "key")).transform(test), "label", "prediction")
+    return t.spark.createDataFrame(perceptron_cells(t), CELLS)
 
 
 @query("M21")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.runtime import ship_package
+from tallyloom.runtime import ship_package, stages_dropped
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,3 +47,30 @@ def query(ids: str, sql: str | None = None):
         return fn
 
     return wrap
+
+
+def once(fn):
+    """Keep what a costly step over one folder has given for the queries that share it, for as long as the session has stages."""
+    held: dict = {}
+
+    def run(t: Tables):
+        key = (t.spark.sparkContext.applicationId, t.folder, stages_dropped(t.spark))
+        if key not in held:
+            held.clear()
+            held[key] = fn(t)
+        return held[key]
+
+    return run
+
+
+def by_folder(fn):
+    """Keep a small result (not a DataFrame) of a costly fit over one folder."""
+    held: dict = {}
+
+    def run(t: Tables):
+        key = (t.spark.sparkContext.applicationId, t.folder)
+        if key not in held:
+            held[key] = fn(t)
+        return held[key]
+
+    return run

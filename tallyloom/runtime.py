@@ -63,6 +63,14 @@ def checkpoint_root(spark: SparkSession) -> str:
 _WRITTEN: dict[str, set[str]] = {}
 
 
+_DROPPED: dict[str, int] = {}
+
+
+def stages_dropped(spark: SparkSession) -> int:
+    """How often the stages of this session have been dropped: what was kept before is gone."""
+    return _DROPPED.get(spark.sparkContext.applicationId, 0)
+
+
 def _on_store(spark: SparkSession, path: str):
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -70,7 +78,9 @@ def _on_store(spark: SparkSession, path: str):
 
 def drop_stages(spark: SparkSession) -> None:
     """Delete all folders that this session has written: call it once a result has been read. What is left goes with the session."""
-    held = _WRITTEN.pop(spark.sparkContext.applicationId, set())
+    app = spark.sparkContext.applicationId
+    held = _WRITTEN.pop(app, set())
+    _DROPPED[app] = stages_dropped(spark) + 1
     for path in held:
         where, store = _on_store(spark, path)
         store.delete(where, True)

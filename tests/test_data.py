@@ -328,3 +328,50 @@ def test_csv_and_rules_round_trip(spark, tmp_path):
 def test_sheet_without_schema_is_refused(spark, tmp_path):
     with pytest.raises(ValueError):
         io.register_sheets(spark, {"s": str(tmp_path / "x.csv")})
+
+
+def test_rows_without_a_label_are_kept(spark):
+    from tallyloom.operators import evaluate, sampling
+    df = spark.createDataFrame([(i, 1.0 if i < 50 else None if i < 150 else 0.0, 1.0 if i % 2 else None) for i in range(160)], "id long, y double, p double")
+    kept = sampling.downsample_class(df, "y", 1.0, "id", 0.5)
+    assert kept.filter("y IS NULL").count() == 100 and kept.filter("y = 0").count() == 10 and kept.filter("y = 1").count() < 50
+    up = sampling.upsample_to_parity(df, "y", "id")
+    assert {r["y"]: r["count"] for r in up.groupBy("y").count().collect()} == {1.0: 50, 0.0: 50, None: 100}
+    split = sampling.stratified_split(df, "y", "id", 0.7)
+    assert split.filter("y IS NULL AND split = 'train'").count() == 70 and split.count() == 160
+    assert sum(r["n"] for r in evaluate.confusion(df, "y", "p").collect()) == 160
+
+
+def test_upsample_two_rows_against_many(spark):
+    from tallyloom.operators import sampling
+    df = spark.range(30_002).selectExpr("id", "if(id < 2, 1, 0) AS y")
+    up = sampling.upsample_to_parity(df, "y", "id")
+    assert {r["y"]: r["count"] for r in up.groupBy("y").count().collect()} == {0: 30_000, 1: 30_000}
+    assert up.filter("y = 1").select("id", "copy").distinct().count() == 30_000
+
+
+def test_many_classes(spark, monkeypatch):
+    from tallyloom.operators import sampling
+    monkeypatch.setattr(sampling, "BROADCAST_ROWS", 3)
+    df = spark.range(200).selectExpr("id", "if(id < 100, 'big', if(id < 110, NULL, concat('c', id % 30))) AS y")
+    sizes = {r["y"]: r["n"] for r in df.groupBy("y").agg({"id": "count"}).withColumnRenamed("count(id)", "n").collect()}
+    got = {(r["y"], r["split"]): r["count"] for r in sampling.stratified_split(df, "y", "id", 0.5).groupBy("y", "split").count().collect()}
+    assert all(got.get((y, "train"), 0) == -(-n // 2) for y, n in sizes.items())
+
+
+def test_silhouettes_in_blocks_of_clusters(spark, monkeypatch):
+    import numpy as np
+    from tallyloom.operators import cluster
+    rng = np.random.default_rng(0)
+    df = spark.createDataFrame([(i, float(a), float(b), i % 7) for i, (a, b) in enumerate(rng.normal(size=(60, 2)))], "id long, a double, b double, c int")
+    whole = {r["id"]: r["silhouette"] for r in cluster.silhouette(df, "id", ["a", "b"], "c").collect()}
+    monkeypatch.setattr(cluster, "BLOCK_CELLS", 12)
+    parts = {r["id"]: r["silhouette"] for r in cluster.silhouette(df, "id", ["a", "b"], "c").collect()}
+    assert whole.keys() == parts.keys() and all(abs(whole[k] - parts[k]) < 1e-9 for k in whole)
+
+
+def test_density_keeps_rows_with_gaps(spark):
+    from tallyloom.operators import cluster
+    df = spark.createDataFrame([(i, 0.0 if i < 10 else None, float(i) / 100) for i in range(15)], "id long, a double, b double")
+    got = {r["id"]: r["cluster"] for r in cluster.dbscan(df, "id", ["a", "b"], [(0.5, 3)]).collect()}
+    assert got == {i: 0 if i < 10 else None for i in range(15)}

@@ -15,6 +15,12 @@ def test_oracle(spark, name):
     assert ok, message
 
 
+@pytest.mark.parametrize("name", sorted(set(REGISTRY.QUERIES) - set(REGISTRY.ORACLES)))
+def test_runs(spark, name):
+    ok, message = compare(spark, name, REGISTRY.QUERIES[name], None, FOLDER)
+    assert ok, message
+
+
 def test_every_survey_entry_has_a_query():
     import os
     import re
