@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.blocks import blocks, mix, shingles
+from tallyloom.llm.blocks import blocks, mix, pairs_within, shingles
 from tallyloom.llm.common import columns
 from tallyloom.operators.graph import connected_components
 from tallyloom.runtime import stage
@@ -37,6 +37,8 @@ STAR_ROUNDS = 3
 ERRORS = 4.5
 # Members of a bucket that meet in one task; a larger bucket becomes several pairs of parts.
 PART = 1_000
+# Rows of the buckets that one call in a task handles together.
+BIN = 4_000
 # Ids that are broadcast to pick documents for verification (8 bytes each); more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -148,26 +150,36 @@ def _across(split: DataFrame, homes: DataFrame, sketches: DataFrame, similarity:
     rows = rows.select("key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "id", "c", "home",
                        (F.col("c") == F.col("main")).alias("common"), "slots", "bands", "size")
 
-    def run(name: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        key, p, q = name
-        ids, c, own, size, home, common = (part[x].to_numpy() for x in ("id", "c", "own", "size", "home", "common"))
+    rows = stage(rows)
+    bins = max(1, -(-rows.count() // BIN))
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(["key", "p", "q"], kind="stable", ignore_index=True)
+        key, p, q, ids, c, own, size, home, common = (part[x].to_numpy() for x in ("key", "p", "q", "id", "c", "own", "size", "home", "common"))
         slots = np.frombuffer(b"".join(part["slots"]), np.uint8).reshape(-1, SLOTS)
         bands = np.stack(part["bands"].to_numpy())
+        group = np.cumsum(np.append(0, (key[1:] != key[:-1]) | (p[1:] != p[:-1]) | (q[1:] != q[:-1])))
         out = []
-        # Each pair once: from its member outside the common component, or from the smaller of two such members.
-        for i in np.flatnonzero(~common):
-            to = np.flatnonzero((c != c[i]) & (common | (ids > ids[i])) & (100 * np.minimum(size, size[i]) >= similarity * np.maximum(size, size[i])))
-            if p != q:
-                to = to[own[to] != own[i]]
-            to = to[np.count_nonzero(slots[to] == slots[i], axis=1) >= least]
-            to = to[bands[i][(bands[to] == bands[i]).argmax(axis=1)] == key]
-            if len(to):
-                to = to[np.lexsort((home[to], c[to]))]
-                cuts = np.flatnonzero((np.diff(c[to]) != 0) | (np.diff(home[to]) != 0)) + 1
-                out += [(ids[i], c[g[0]], home[g[0]], ids[g]) for g in np.split(to, cuts)]
-        return pd.DataFrame(out, columns=["u", "c", "home", "vs"])
-
-    found = rows.groupBy("key", "p", "q").applyInPandas(run, "u long, c long, home int, vs array<long>")
+        for i, j in pairs_within(group, 50_000):
+            some = (c[i] != c[j]) & ~(common[i] & common[j]) & ((p[i] == q[i]) | (own[i] != own[j]))
+            some &= 100 * np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j])
+            i, j = i[some], j[some]
+            some = np.count_nonzero(slots[i] == slots[j], axis=1) >= least
+            i, j = i[some], j[some]
+            some = bands[i, (bands[i] == bands[j]).argmax(axis=1)] == key[i]
+            i, j = i[some], j[some]
+            # The one outside the common component asks, or the smaller of two such.
+            swap = common[i] | (~common[j] & (ids[i] > ids[j]))
+            out.append(np.stack((np.where(swap, j, i), np.where(swap, i, j)), axis=1))
+        pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
+        u, to = pairs.T
+        order = np.lexsort((home[to], c[to], ids[u]))
+        u, to = u[order], to[order]
+        cuts = np.flatnonzero((ids[u][1:] != ids[u][:-1]) | (c[to][1:] != c[to][:-1]) | (home[to][1:] != home[to][:-1])) + 1 if len(u) else []
+        return pd.DataFrame([(ids[x[0]], c[y[0]], home[y[0]], ids[y]) for x, y in zip(np.split(u, cuts), np.split(to, cuts)) if len(y)],
+                            columns=["u", "c", "home", "vs"])
+
+    found = rows.groupBy(F.pmod(F.xxhash64("key", "p", "q"), F.lit(bins)).alias("bin")).applyInPandas(run, "u long, c long, home int, vs array<long>")
     return found.groupBy("u", "c", "home").agg(F.flatten(F.collect_list("vs")).alias("vs"))
 
 
