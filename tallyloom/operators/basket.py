@@ -38,17 +38,21 @@ def association_rules(df: DataFrame, basket: str, item: str, min_support: float,
     `min_len` 1 admits rules with an empty left side; `max_len` bounds the items of a rule.
     """
     sets = stage(baskets(df, basket, item))
-    model = _fit(sets, min_support, min_confidence)
-    rules = model.associationRules.select(
-        F.array_sort("antecedent").alias("antecedent"), F.col("consequent")[0].alias("consequent"),
-        "support", "confidence", "lift")
+    n = float(max(sets.count(), 1))
+    # Mined once; rules and the supports of their sides are joins of the kept item sets.
+    found = stage(_fit(sets, min_support, min_confidence).freqItemsets.select(F.array_sort("items").alias("items"), "freq"))
+    single = found.filter(F.size("items") == 1).select(F.col("items")[0].alias("consequent"), (F.col("freq") / F.lit(n)).alias("_share"))
+    whole = found.filter(F.size("items") > 1).select("freq", "items", F.explode("items").alias("consequent"))
+    whole = whole.select("consequent", "freq", F.array_remove("items", F.col("consequent")).alias("antecedent"))
+    sides = found.select(F.col("items").alias("antecedent"), F.col("freq").alias("_left"))
+    rules = whole.join(sides, "antecedent").withColumn("confidence", F.col("freq") / F.col("_left")).filter(F.col("confidence") >= min_confidence)
+    rules = rules.join(single, "consequent").select(
+        "antecedent", "consequent", (F.col("freq") / F.lit(n)).alias("support"), "confidence", (F.col("confidence") / F.col("_share")).alias("lift"))
     if min_len <= 1:
-        n = sets.count()
-        share = F.col("freq") / F.lit(float(max(n, 1)))
-        empty = model.freqItemsets.filter(F.size("items") == 1).select(
-            F.array().cast("array<string>").alias("antecedent"), F.col("items")[0].alias("consequent"),
-            share.alias("support"), share.alias("confidence"), F.lit(1.0).alias("lift"))
-        rules = rules.unionByName(empty.filter(F.col("confidence") >= min_confidence))
+        empty = single.filter(F.col("_share") >= min_confidence).select(
+            F.array().cast("array<string>").alias("antecedent"), "consequent", F.col("_share").alias("support"), F.col("_share").alias("confidence"),
+            F.lit(1.0).alias("lift"))
+        rules = rules.unionByName(empty)
     return rules.filter(F.size("antecedent") + 1 <= max_len)
 
 
