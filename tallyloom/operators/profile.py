@@ -7,7 +7,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.runtime import hot_split_join, running_totals, stage
+from tallyloom.runtime import hot_split_join, running_totals, small, stage
 
 
 def top_groups(df: DataFrame, key: str, k: int, count: str = "n") -> DataFrame:
@@ -38,8 +38,8 @@ def exact_quantiles(counts: DataFrame, probs: list[float], by: list[str] | None
         F.struct(F.lit(0).alias("side"), (F.col("_start") + 1 + F.floor(position)).alias("at")),
         F.struct(F.lit(1).alias("side"), (F.col("_start") + 1 + F.ceil(position)).alias("at")),
     )).alias("t")).select(*group, "prob", "_frac", "t.side", "t.at")
-    # Without groups there are two rows per column and probability; grouped, Spark chooses the join.
-    hit = ranked.join(targets if by else F.broadcast(targets), on=group).filter((F.col("at") > F.col("_upto") - F.col("n")) & (F.col("at") <= F.col("_upto")))
+    # Two rows per group, column and probability: broadcast unless there are very many groups, so that a large group stays spread.
+    hit = ranked.join(small(targets) if by else F.broadcast(targets), on=group).filter((F.col("at") > F.col("_upto") - F.col("n")) & (F.col("at") <= F.col("_upto")))
     ends = hit.groupBy(*group, "prob").agg(
         F.max("_frac").alias("_frac"),
         F.max(F.when(F.col("side") == 0, F.col("value"))).alias("_lo"),
@@ -69,8 +69,8 @@ def describe(df: DataFrame, columns: list[str], by: list[str] | None = None,
         F.sum(F.when(v == 0, n).otherwise(0)).alias("_zeros"), F.min(F.struct((-n).alias("a"), v.alias("b"))).alias("_mode"))
     gap = v - F.col("_mean")
     means = first.select(*group, "_mean")
-    # Without groups there is one row per column; grouped, the size is not bounded and Spark chooses.
-    powers = counts.join(means if by else F.broadcast(means), on=group).groupBy(*group).agg(
+    # One row per group and column: broadcast unless there are very many groups.
+    powers = counts.join(small(means) if by else F.broadcast(means), on=group).groupBy(*group).agg(
         *[F.sum(n * F.pow(gap, F.lit(p))).alias(f"_m{p}") for p in (2, 3, 4)])
     moments = first.join(powers, on=group)
     stats = {

@@ -94,6 +94,12 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Written once, and broadcast if a count shows that it is small; otherwise left to an ordinary join."""
+    kept = stage(df)
+    return F.broadcast(kept) if kept.count() <= rows else kept
+
+
 @contextmanager
 def persisted(df: DataFrame):
     """Keep an intermediate that several actions read, and let it go afterwards."""
