@@ -50,9 +50,9 @@ def text_pipeline(token_columns: list[str], numeric: list[str], buckets: int = 2
     return Pipeline(stages=stages)
 
 
-def vocabulary_pipeline(tokens: str, terms: int, min_df: int = 10) -> Pipeline:
-    """Counted vocabulary and idf; `terms` is the number of different terms, so that none is left out."""
-    return Pipeline(stages=[CountVectorizer(inputCol=tokens, outputCol="tf", vocabSize=max(terms, 1)),
+def vocabulary_pipeline(tokens: str, min_df: int = 10) -> Pipeline:
+    """Counted vocabulary of all terms, and idf; the largest size that can be stated leaves none out."""
+    return Pipeline(stages=[CountVectorizer(inputCol=tokens, outputCol="tf", vocabSize=2**31 - 1),
                             IDF(minDocFreq=min_df, inputCol="tf", outputCol="features")])
 
 
