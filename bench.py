@@ -22,7 +22,7 @@ HEADLINE = [
     "ngram_counts", "phrase_chunks", "sentiment_by_document", "readability", "tfidf_tidy", "tfidf_l2_top_terms", "gram_matrix",
     "fit_statistics", "residual_diagnostics", "logistic_glm", "naive_bayes_confusion", "auc_rank", "nearest_neighbours", "knn_imputed",
     "silhouette_rows", "exemplar_rows", "review_table", "decision_tree_report", "adaboost_report",
-    "topic_terms", "hashed_term_buckets", "kmeans_profile", "density_sweep", "single_linkage_sizes", "smote_class_sizes",
+    "hashed_term_buckets", "kmeans_profile", "density_clusters", "single_linkage_sizes", "smote_class_sizes",
 ]
 
 
