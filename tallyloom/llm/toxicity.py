@@ -16,12 +16,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.llm.blocks import blocks, words
 from tallyloom.llm.common import columns
 
 BUCKETS = 1 << 18
-SAMPLE_ROWS = 12_000
+SAMPLE_ROWS = 6_000
 GRADES = 4
 LEAST_DOCUMENTS = 5
 ROUNDS = 150
@@ -124,7 +125,6 @@ def fit(rows: pd.DataFrame, rounds: int = ROUNDS, ridge: float = 0.02) -> tuple[
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """All rows and columns, with `_severity` (expected grade, 0 to 3), `_grade` (the likeliest) and `_rejected`."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    extra = "_severity double, _grade int, _rejected boolean"
 
     def run(batches):
         weights, thresholds = shared.value
@@ -133,14 +133,14 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray]) -> DataFrame:
                 values = np.array([weights[a].sum() for a in found])
                 p = probabilities(values, thresholds)
                 part = batch.iloc[first:first + len(found)].copy()
-                part["_severity"] = np.clip(p @ np.arange(GRADES), 0.0, GRADES - 1.0) if p[:, 0].min() < 1 - 1e-12 else 0.0
+                expected = np.clip(p @ np.arange(GRADES), 0.0, GRADES - 1.0)
+                part["_severity"] = np.where(p[:, 0] < 1 - 1e-12, expected, 0.0)
                 part["_grade"] = p.argmax(axis=1).astype(np.int32)
                 part["_rejected"] = p[:, 0] < 0.5
                 yield part
 
-    from pyspark.sql import types as T
-    schema = T.StructType(docs.schema.fields + T._parse_datatype_string(extra).fields)
-    return docs.mapInPandas(run, schema)
+    extra = [T.StructField("_severity", T.DoubleType()), T.StructField("_grade", T.IntegerType()), T.StructField("_rejected", T.BooleanType())]
+    return docs.mapInPandas(run, T.StructType([*docs.schema.fields, *extra]))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
