@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 
 # Bytes of text handled at once; a longer text is a block of its own.
-BLOCK_BYTES = 500_000
+BLOCK_BYTES = 250_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True

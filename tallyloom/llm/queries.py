@@ -184,7 +184,22 @@ def op1_ann(spark, sf_dir):
     return ann.nearest(table(spark, sf_dir, "embeddings"), "id % 100 = 0", k=10)
 
 
-@query()
+REPEATS_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+g AS (SELECT doc_id, p, substr(h, 2 * p - 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(1, length(h) // 2 - 48)) AS p FROM d)),
+m AS (SELECT s, min(doc_id) AS first_doc FROM g GROUP BY s HAVING min(doc_id) < max(doc_id)),
+c AS (SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS q FROM g JOIN m USING (s) WHERE doc_id > first_doc),
+r AS (SELECT doc_id, count(*) AS n_removed, count(*) FILTER (before IS NULL OR before < q - 1) AS n_spans
+      FROM (SELECT doc_id, q, lag(q) OVER (PARTITION BY doc_id ORDER BY q) AS before FROM c) GROUP BY doc_id),
+k AS (SELECT doc_id, string_agg(x, '' ORDER BY q) AS kept FROM (
+      SELECT doc_id, q, substr(h, 2 * q - 1, 2) AS x FROM (SELECT doc_id, h, unnest(range(1, length(h) // 2 + 1)) AS q FROM d WHERE doc_id IN (SELECT doc_id FROM r)))
+      ANTI JOIN c USING (doc_id, q) GROUP BY doc_id)
+SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(CASE WHEN r.doc_id IS NULL THEN h ELSE coalesce(kept, '') END)) AS kept_sha256
+FROM d LEFT JOIN r USING (doc_id) LEFT JOIN k USING (doc_id)"""
+
+
+@query(REPEATS_SQL)
 def op4_suffix_array(spark, sf_dir):
     """Bytes of every document that repeat a 50-byte string of an earlier one."""
     return substrings.cut_repeats(table(spark, sf_dir, "documents"), digest=True).withColumnRenamed("kept", "kept_sha256")

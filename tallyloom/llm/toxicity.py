@@ -16,7 +16,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallyloom.llm.blocks import blocks, words
 from tallyloom.llm.common import columns
@@ -126,21 +125,17 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """All rows and columns, with `_severity` (expected grade, 0 to 3), `_grade` (the likeliest) and `_rejected`."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches):
+    @F.pandas_udf("severity double, grade int, rejected boolean")
+    def judged(texts: pd.Series) -> pd.DataFrame:
         weights, thresholds = shared.value
-        for batch in batches:
-            for first, found in bags(batch["text"].tolist()):
-                values = np.array([weights[a].sum() for a in found])
-                p = probabilities(values, thresholds)
-                part = batch.iloc[first:first + len(found)].copy()
-                expected = np.clip(p @ np.arange(GRADES), 0.0, GRADES - 1.0)
-                part["_severity"] = np.where(p[:, 0] < 1 - 1e-12, expected, 0.0)
-                part["_grade"] = p.argmax(axis=1).astype(np.int32)
-                part["_rejected"] = p[:, 0] < 0.5
-                yield part
-
-    extra = [T.StructField("_severity", T.DoubleType()), T.StructField("_grade", T.IntegerType()), T.StructField("_rejected", T.BooleanType())]
-    return docs.mapInPandas(run, T.StructType([*docs.schema.fields, *extra]))
+        values = [weights[a].sum() for _, found in bags(texts.tolist()) for a in found]
+        p = probabilities(np.array(values, float), thresholds)
+        expected = np.clip(p @ np.arange(GRADES), 0.0, GRADES - 1.0)
+        return pd.DataFrame({"severity": np.where(p[:, 0] < 1 - 1e-12, expected, 0.0), "grade": p.argmax(axis=1).astype(np.int32), "rejected": p[:, 0] < 0.5})
+
+    # Only the text goes to Python and only the verdict comes back.
+    out = docs.withColumn("_judged", judged(docs["text"]))
+    return out.select(*[docs[c] for c in docs.columns], *[F.col(f"_judged.{c}").alias(f"_{c}") for c in ("severity", "grade", "rejected")])
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
