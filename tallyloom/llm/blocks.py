@@ -8,6 +8,8 @@ import numpy as np
 
 # Bytes of text handled at once; a longer text is a block of its own.
 BLOCK_BYTES = 250_000
+# Powers of the hash base that a worker keeps; longer blocks compute their own.
+KEPT_POWERS = 1_000_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -26,13 +28,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def blocks(texts: list, lower: bool = True) -> Iterator[tuple[int, list[bytes]]]:
+def blocks(texts: list, lower: bool = True, most: int = BLOCK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
     """Runs of consecutive texts as UTF-8, lower-cased (A-Z) unless told otherwise, with the number of the first one; null is empty."""
     first, held, size = 0, [], 0
     for i, text in enumerate(texts):
         raw = (text or "").encode("utf-8", "surrogatepass")
         raw = raw.lower() if lower else raw
-        if held and size + len(raw) > BLOCK_BYTES:
+        if held and size + len(raw) > most:
             yield first, held
             first, held, size = i, [], 0
         held.append(raw)
@@ -52,9 +54,9 @@ _GROWN: dict[str, np.ndarray] = {}
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if "up" not in _GROWN or len(_GROWN["up"]) <= n:
-        if n > 2 * BLOCK_BYTES:
+        if n > KEPT_POWERS:
             return _powers(_BASE, n), _powers(_INVERSE, n)
-        _GROWN.update(up=_powers(_BASE, 2 * BLOCK_BYTES), down=_powers(_INVERSE, 2 * BLOCK_BYTES))
+        _GROWN.update(up=_powers(_BASE, KEPT_POWERS), down=_powers(_INVERSE, KEPT_POWERS))
     return _GROWN["up"], _GROWN["down"]
 
 
