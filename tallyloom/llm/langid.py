@@ -11,7 +11,6 @@ Defined results: a null text or one without a letter is `und` with score 0, as i
 from __future__ import annotations
 
 import re
-import zlib
 
 import numpy as np
 import pandas as pd
@@ -158,7 +157,3 @@ def predict(docs: DataFrame, names: list[str], logp: np.ndarray) -> DataFrame:
 def held_out(doc_id) -> F.Column:
     """One document in five by the CRC of its id."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
-
-
-def crc_of(doc_id: int) -> int:
-    return zlib.crc32(str(doc_id).encode())
