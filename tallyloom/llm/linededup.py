@@ -1,8 +1,8 @@
 """Line dedup by a segment-partition edit join.
 
-Lines of at least MIN_CHARS code points are compared; shorter ones always stay. Equal lines are one line, known by a 128-bit hash. Different
-lines within TAU edits (insert, delete or replace a code point) are linked, and of every connected group only the first occurrence
-(smallest doc_id, then line number) stays.
+Every line that holds a code point is compared. Equal lines are one line, known by a 128-bit hash. Different lines of at least MIN_CHARS
+code points each are linked within TAU edits (insert, delete or replace a code point); shorter ones are linked to equal lines only, since two
+edits turn one short line into another. Of every connected group only the first occurrence (smallest doc_id, then line number) stays.
 
 A line of length l is cut into TAU + 1 segments; a line within TAU edits of it contains one of them unchanged. Its probes are the
 substrings that can be that segment for partner lengths L - TAU ... L, narrowed from both sides by the edits that are left (the
@@ -10,8 +10,9 @@ multi-match-aware selection). Keys hash (length, segment number, substring). Eac
 indexed line: one pair per line is verified first, then, in buckets that still hold several components, the pairs across them, in blocks inside
 tasks that write links only. Verification is banded bit-parallel edit distance on the whole lines, many pairs at a time.
 
-Defined results: null text has no lines; empty text has one empty line; rows without doc_id keep all lines; rows that repeat a doc_id
-are the same document, and keep the same lines; a document whose every line goes is dropped by `drop_repeated_lines`.
+Defined results: null text has no lines; empty text has one empty line; empty lines, which only set others apart, stay; rows without doc_id
+keep all lines; rows that repeat a doc_id are the same document, and keep the same lines; a document whose every line goes is dropped by
+`drop_repeated_lines`.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from tallyloom.operators.graph import connected_components
 from tallyloom.runtime import stage
 
 TAU = 2
+# Lines from this length on are compared with TAU edits, shorter ones without.
 MIN_CHARS = 32
 # Members of a bucket that meet in one task; a larger bucket becomes several pairs of parts.
 PART = 1_000
@@ -52,7 +54,7 @@ def segments(length: np.ndarray, tau: int) -> list[tuple[np.ndarray, np.ndarray]
 
 
 def line_keys(codes: np.ndarray, start: np.ndarray, length: np.ndarray, tau: int):
-    """(names a, names b, indexed keys, probe keys) of lines given by their place in an array of code points.
+    """(names a, names b, indexed keys, probe keys) of lines given by their place in an array of code points; keys are those of the long lines.
 
     Probes that would repeat an indexed key of the same line are left out: an indexed key probes as well.
     """
@@ -66,6 +68,8 @@ def line_keys(codes: np.ndarray, start: np.ndarray, length: np.ndarray, tau: int
     def piece(sums, at, size):
         return mix((sums[at + size] - sums[at]) * down[at])
 
+    a, b = piece(total, start, length), piece(other, start, length)
+    start, length = start[length >= MIN_CHARS], length[length >= MIN_CHARS]
     indexed, probes = [], []
     for delta in range(tau + 1):
         partner = length - delta
@@ -76,14 +80,14 @@ def line_keys(codes: np.ndarray, start: np.ndarray, length: np.ndarray, tau: int
                 fits = (at >= 0) & (at + size <= length)
                 key = mix(piece(total, start + np.clip(at, 0, None) * fits, size * fits) ^ salt)
                 (indexed if delta == 0 and shift == 0 else probes).append((key, fits))
-    return piece(total, start, length), piece(other, start, length), indexed, probes
+    return a, b, indexed, probes
 
 
 LINES = "doc_id long, line_no int, n_lines int, a long, b long, indexed array<long>, probes array<long>"
 
 
 def lines(docs: DataFrame, tau: int = TAU) -> DataFrame:
-    """Every compared line with its name and keys, and one row with null line_no per document."""
+    """Every compared line with its name and, from MIN_CHARS on, its keys; and one row with null line_no per document."""
     def run(batches):
         for batch in batches:
             texts = batch["text"].tolist()
@@ -98,7 +102,7 @@ def lines(docs: DataFrame, tau: int = TAU) -> DataFrame:
                 doc = np.searchsorted(ends, start, "right")
                 count = np.bincount(doc, minlength=len(part))
                 number = np.arange(len(start)) - np.repeat(np.cumsum(count) - count, count)
-                keep = length >= MIN_CHARS
+                keep = length > 0
                 doc, number, start, length = doc[keep], number[keep], start[keep], length[keep]
                 null = np.array([t is None for t in part], bool)
                 yield pd.DataFrame({"doc_id": ids, "line_no": pd.array([None] * len(part), "Int32"), "n_lines": np.where(null, 0, count).astype(np.int32),
@@ -108,9 +112,11 @@ def lines(docs: DataFrame, tau: int = TAU) -> DataFrame:
                     table = np.stack([k for k, _ in indexed], axis=1).view(np.int64)
                     wide = np.stack([k for k, _ in probes], axis=1).view(np.int64)
                     fits = np.stack([f for _, f in probes], axis=1)
-                    yield pd.DataFrame({
-                        "doc_id": ids[doc], "line_no": number.astype(np.int32), "n_lines": 0, "a": a.view(np.int64), "b": b.view(np.int64),
-                        "indexed": list(table), "probes": [r if f.all() else r[f] for r, f in zip(wide, fits)]})
+                    named = pd.DataFrame({"doc_id": ids[doc], "line_no": number.astype(np.int32), "n_lines": 0, "a": a.view(np.int64), "b": b.view(np.int64)})
+                    if len(table):
+                        yield named[length >= MIN_CHARS].assign(indexed=list(table), probes=[r if f.all() else r[f] for r, f in zip(wide, fits)])
+                    if len(table) < len(named):
+                        yield named[length < MIN_CHARS].assign(indexed=None, probes=None)
 
     return columns(docs.filter(docs["doc_id"].isNotNull()), "doc_id", "text").mapInPandas(run, LINES)
 

@@ -77,6 +77,15 @@ def repeated_lines(rows, tau=2, least=32):
     return gone
 
 
+def repeated_lines_of_any_length(rows, tau=2, least=32):
+    """doc_id -> numbers of the lines that go: near copies from `least` code points on, equal ones below; empty lines stay."""
+    gone, seen = repeated_lines(rows, tau, least), {}
+    for d, i, line in sorted((d, i, x) for d, t in rows if d is not None and t is not None for i, x in enumerate(t.split("\n")) if 0 < len(x) < least):
+        if seen.setdefault(line, (d, i)) != (d, i):
+            gone[d].add(i)
+    return gone
+
+
 def _members(named):
     out = defaultdict(list)
     for x, r in named.items():

@@ -198,6 +198,19 @@ def test_lines_against_plain(spark, documents, monkeypatch, part):
         assert kept.get(d) == ("\n".join(left) if left else None)
 
 
+def test_short_lines_go_when_equal(spark, documents):
+    notice = "Released under the MIT License."
+    rows = [(1, f"{notice}\n\nYes."), (2, f"Yes.\n{notice}\n\nNo.\nYes."), (3, f"{notice[:-1]}!\nYes!\nab"), (4, "ab"), (5, "a" * 32), (6, "a" * 31), (7, "a" * 33), (8, "a" * 31),
+            (9, "\n" + "b" * 40), (10, None), (11, ""), (None, "Yes."), (12, "ab\n\nnew"), (12, "ab\n\nnew")]
+    want = plain.repeated_lines_of_any_length(rows)
+    df = documents(rows, clash=True)
+    got = {r["doc_id"]: set(r["removed"]) for r in linededup.removed_lines(df).collect()}
+    assert got == {d: want.get(d, set()) for d, _ in rows if d is not None}
+    assert got[2] == {0, 1, 4} and got[3] == set() and got[4] == {0} and got[6] == set() and got[7] == got[8] == {0}
+    kept = {r["doc_id"]: r["text"] for r in linededup.drop_repeated_lines(df).collect()}
+    assert kept[2] == "\nNo." and kept[1] == rows[0][1] and kept[12] == "\nnew" and not {4, 7, 8} & set(kept)
+
+
 def test_lines_edges(spark, documents, edge_rows):
     df = documents(edge_rows, clash=True)
     kept = linededup.drop_repeated_lines(df)

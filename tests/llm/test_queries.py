@@ -56,6 +56,14 @@ def test_op5_whole_table(spark):
     assert got == {d: ",".join(map(str, sorted(want.get(d, ())))) for d, in rows_of("documents", "doc_id")} and want
 
 
+def test_op5_short_lines_whole_table(spark):
+    rows = rows_of("documents", "doc_id", "text")
+    want = plain.repeated_lines_of_any_length(rows)
+    got = {r["doc_id"]: r["removed_lines"] for r in QUERIES["op5_line_dedup"](spark, FOLDER).collect()}
+    assert got == {d: ",".join(map(str, sorted(want.get(d, ())))) for d, _ in rows}
+    assert sum(map(len, want.values())) > sum(map(len, plain.repeated_lines(rows).values()))
+
+
 def test_op6_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.01"
     lang = dict(duckdb.connect().execute(f"SELECT doc_id, lang FROM '{folder}/documents.parquet'").fetchall())
