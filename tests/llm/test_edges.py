@@ -149,6 +149,25 @@ def test_repeats_against_plain(spark, documents, monkeypatch):
     assert got == want
 
 
+def test_repeats_split_a_common_anchor(spark, documents, monkeypatch):
+    monkeypatch.setattr(substrings, "SHARD_BYTES", 2_000)
+
+    def bounded(judge):
+        def run(part):
+            assert sum(map(len, part["piece"])) < 10_000
+            return judge(part)
+
+        return run
+
+    for name in ("_shard_spans", "_part_strings"):
+        monkeypatch.setattr(substrings, name, bounded(getattr(substrings, name, None)), raising=False)
+    notice, rng = words(70, 20), np.random.default_rng(8)
+    # Each notice has a text of its own before it; what follows is shared with one other document at most.
+    rows = [(int(d), f"{words(3000 + i, 9)}{'tail'[:i % 5]}{notice}{'more'[:i % 3]}{words(4000 + i // 2, 9)}") for i, d in enumerate(rng.permutation(400))]
+    got = {r["doc_id"]: tuple(r)[1:] for r in substrings.cut_repeats(documents(rows), digest=True).collect()}
+    assert got == plain.cut_strings(rows)
+
+
 def test_repeats_edges(spark, documents, edge_rows):
     df = documents(edge_rows, clash=True)
     got = substrings.cut_repeats(df).collect()
