@@ -15,6 +15,11 @@ def columns(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[df[n] for n in names])
 
 
+def texts_of(docs: DataFrame) -> DataFrame:
+    """(doc_id, nameless, text): a null id as 0 with a mark, since whole numbers with nulls reach pandas as doubles."""
+    return docs.select(F.coalesce(docs["doc_id"].cast("long"), F.lit(0)).alias("doc_id"), docs["doc_id"].isNull().alias("nameless"), docs["text"].alias("text"))
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z; every other character stays."""
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import ann, decontaminate, langid, linededup, minhash, mixing, secrets, substrings, toxicity, urlfilter
+from tallyloom.llm import ann, decontaminate, langid, linededup, minhash, mixing, ranked, resample, secrets, substrings, toxicity, urlfilter
 from tallyloom.llm.common import table
 from tallyloom.runtime import ship_package
 
@@ -203,3 +203,52 @@ FROM d LEFT JOIN r USING (doc_id) LEFT JOIN k USING (doc_id)"""
 def op4_suffix_array(spark, sf_dir):
     """Bytes of every document that repeat a 50-byte string of an earlier one."""
     return substrings.cut_repeats(table(spark, sf_dir, "documents"), digest=True).withColumnRenamed("kept", "kept_sha256")
+
+
+RANKED_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+s AS (SELECT count(*) FILTER (len(w) > 0) AS n_all, sum(len(w))::BIGINT AS l_all FROM d),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+f AS (SELECT doc_id, n, t, count(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS t FROM d) GROUP BY ALL),
+g AS (SELECT t, floor(1000 * ln(CAST(2 * n_all + 2 AS DOUBLE) / (2 * count(*) + 1)))::BIGINT AS w FROM f, s GROUP BY t, n_all),
+r AS (SELECT item_id, doc_id, sum(w * (1000000000 * tf // (1000 * tf + 20 * (50 + 50 * n * n_all // l_all))))::BIGINT AS score
+      FROM f JOIN q USING (t) JOIN g USING (t), s GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+      FROM r WHERE score > 0) WHERE rank <= 50"""
+
+
+@query(RANKED_SQL)
+def op11_ranked_search(spark, sf_dir):
+    """The 50 highest-scoring documents of every benchmark item."""
+    return ranked.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# The CRC-32 of a word in SQL: a table of 256 remainders by rule, then one step per byte.
+RESAMPLE_SQL = r"""
+WITH tab AS (SELECT list(list_reduce([CAST(i AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY i) AS steps
+             FROM range(256) t(i)),
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+u AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS f FROM benchmark),
+v AS (SELECT doc_id, unnest(w) AS f FROM d),
+h AS (SELECT f, hex(encode(f)) AS x FROM (SELECT DISTINCT f FROM (SELECT f FROM v UNION ALL SELECT f FROM u))),
+b AS (SELECT f, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(range(1, length(x), 2), lambda p: CAST('0x' || substr(x, p, 2) AS BIGINT))),
+        lambda c, y: xor(c >> 8, steps[(xor(c, y) & 255) + 1])), 4294967295) % 10000 AS b FROM h, tab),
+s AS (SELECT b, count(*) AS s FROM v JOIN b USING (f) GROUP BY b),
+t AS (SELECT b, count(*) AS t FROM u JOIN b USING (f) GROUP BY b),
+a AS (SELECT (SELECT count(*) FROM v) AS s_all, (SELECT count(*) FROM u) AS t_all),
+g AS (SELECT b, CAST(floor(1000 * ln((CAST(coalesce(t, 0) + 1 AS DOUBLE) * (s_all + 10000)) / (CAST(s + 1 AS DOUBLE) * (t_all + 10000)))) AS BIGINT) AS gain FROM s LEFT JOIN t USING (b), a),
+w AS (SELECT doc_id, CAST(sum(gain) AS BIGINT) AS weight FROM v JOIN b USING (f) JOIN g USING (b) GROUP BY doc_id),
+c AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+        coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+      FROM d LEFT JOIN w USING (doc_id)),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () * 10 // 100 AS drawn FROM c WHERE n_features >= 20)
+SELECT c.doc_id, n_features, weight, CAST(score AS BIGINT) AS score, CASE WHEN place <= drawn THEN place END AS rank FROM c LEFT JOIN r USING (doc_id)"""
+
+
+@query(RESAMPLE_SQL)
+def op12_resample(spark, sf_dir):
+    """A tenth of the documents, drawn towards the words of the benchmark."""
+    found = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
