@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import ann, decontaminate, langid, linededup, minhash, mixing, ranked, resample, secrets, substrings, toxicity, urlfilter
+from tallyloom.llm import ann, decontaminate, jaccard, langid, linededup, minhash, mixing, ranked, resample, secrets, substrings, toxicity, urlfilter
 from tallyloom.llm.common import table
 from tallyloom.runtime import ship_package
 
@@ -79,6 +79,9 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_i
 FROM d LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)"""
 
 
+JACCARD_SQL = NEAR_SQL.replace("100 * i >= 80 *", "100 * i >= 85 *").replace(", doc_id = component_id AS kept", "")
+
+
 @query(NEAR_SQL)
 def op3_minhash(spark, sf_dir):
     """Groups of near-duplicate documents on 4-word shingles."""
@@ -252,3 +255,10 @@ def op12_resample(spark, sf_dir):
     """A tenth of the documents, drawn towards the words of the benchmark."""
     found = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query(JACCARD_SQL)
+def op13_jaccard_join(spark, sf_dir):
+    """Groups of documents that share 85 per cent of their 4-word shingles."""
+    found = jaccard.jaccard_groups(table(spark, sf_dir, "documents"), width=4, similarity=85)
+    return found.select("doc_id", "n_shingles", "component_id")
