@@ -22,4 +22,6 @@ def small_blocks(monkeypatch):
     """Blocks so small that a few hundred rows already need many cells and block pairs."""
     from tallyloom.operators import cluster, neighbors
     monkeypatch.setattr(neighbors, "BLOCK", 16)
+    monkeypatch.setattr(neighbors, "CELL_ROWS", 8)
+    monkeypatch.setattr(neighbors, "MOST_TOUCHED", 1.0)
     monkeypatch.setattr(cluster, "BLOCK", 16)
