@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.profile import baskets
-from tallyloom.runtime import hot_split_join, stage
+from tallyloom.runtime import small, stage
 
 MEASURES = ["support", "confidence", "lift"]
 
@@ -56,43 +54,60 @@ def association_rules(df: DataFrame, basket: str, item: str, min_support: float,
     return rules.filter(F.size("antecedent") + 1 <= max_len)
 
 
-def grouped_rules(df: DataFrame, group: str, basket: str, item: str, min_support: float, min_confidence: float,
-                  max_len: int = 10) -> DataFrame:
-    """Rules inside every group, with supports relative to the group's own baskets.
+def grouped_item_sets(df: DataFrame, group: str, basket: str, item: str, min_support: float, max_len: int = 10) -> DataFrame:
+    """(group, items, freq, n): item sets that at least `min_support` of the group's n baskets hold, for every group.
 
-    Items carry their group, so item sets never cross groups and one mining run serves many groups. Groups are
-    mined together with groups of similar size (at most 64 size classes), because the smallest group sets the
-    count threshold of its run.
+    Level by level, with the threshold of the set's own group: two frequent sets that share all but their last item make a candidate, which is
+    dropped if one of its subsets is not frequent; it occurs in those baskets in which both occur. Only occurrences of frequent sets go on
+    to the next level, so what a small group needs does not lower the threshold of a large one.
     """
-    # `df` rows: a basket belongs to the group it is listed under, so the pair identifies it.
-    pairs = df.select(group, basket, item).na.drop("any").distinct()
-    sizes = pairs.groupBy(group).agg(F.count_distinct(basket).alias("_n"))
-    sizes = stage(sizes.withColumn("_class", F.floor(F.log2("_n")).cast("int")))
-    tagged = hot_split_join(pairs, sizes, [group], "_n")
-    sets = stage(tagged.groupBy("_class", group, basket).agg(
-        F.collect_list(F.concat(F.col(group).cast("string"), F.lit("\u0001"), F.col(item).cast("string"))).alias("items")))
-    parts = []
-    classes = sizes.groupBy("_class").agg(F.min("_n").alias("least"), F.sum("_n").alias("total")).collect()  # <= 64 rows
-    for row in sorted(classes, key=lambda r: r["_class"]):
-        total = row["total"]
-        floor = max(1, -(-int(row["least"] * min_support * 1e9) // int(1e9)))
-        model = _fit(sets.filter(F.col("_class") == row["_class"]).select("items"), min(1.0, floor / total * (1 - 1e-12)), min_confidence)
-        rules = model.associationRules.select(
-            F.split(F.col("consequent")[0], "\u0001")[0].alias("_group"),
-            F.array_sort(F.transform("antecedent", lambda x: F.split(x, "\u0001")[1])).alias("antecedent"),
-            F.split(F.col("consequent")[0], "\u0001")[1].alias("consequent"),
-            F.round(F.col("support") * total).alias("_count"), "confidence", (F.col("lift") / total).alias("_lift"))
-        parts.append(rules)
-    if not parts:
-        return df.sparkSession.createDataFrame(
-            [], "antecedent array<string>, consequent string, support double, confidence double, lift double").withColumn(
-            group, F.lit(None).cast("string"))
-    found = reduce(lambda a, b: a.unionByName(b), parts)
-    named = sizes.select(F.col(group).cast("string").alias("_group"), "_n")
-    out = found.join(named, on="_group").filter(
-        (F.col("_count") >= F.ceil(F.col("_n") * F.lit(min_support))) & (F.size("antecedent") + 1 <= max_len))
-    return out.select(F.col("_group").alias(group), "antecedent", "consequent", (F.col("_count") / F.col("_n")).alias("support"),
-                      "confidence", (F.col("_lift") * F.col("_n")).alias("lift"))
+    pairs = df.select(F.col(group).cast("string").alias("g"), F.col(basket).alias("b"), F.col(item).cast("string").alias("i")).na.drop("any").distinct()
+    pairs = stage(pairs)
+    sizes = stage(pairs.groupBy("g").agg(F.count_distinct("b").alias("n")))
+    sizes = sizes.withColumn("least", F.greatest(F.lit(1), F.ceil(F.col("n") * F.lit(min_support))))
+    holds = lambda rows: rows.groupBy("g", "items").agg(F.count(F.lit(1)).alias("freq"))
+    enough = lambda sets: stage(sets.join(small(sizes), "g").filter("freq >= least").drop("least"))
+    seen = pairs.select("g", "b", F.array("i").alias("items"))
+    found, size, every = enough(holds(seen)), 1, None
+    while found.limit(1).count():
+        every = found if every is None else every.unionByName(found)
+        size += 1
+        if size > max_len:
+            break
+        seen = stage(seen.join(small(found.select("g", "items")), ["g", "items"], "left_semi"))
+        split = lambda rows: rows.withColumns({"head": F.slice("items", 1, size - 2), "last": F.element_at("items", -1)})
+        left, right = split(seen), split(seen).select("g", "b", "head", F.col("last").alias("more"))
+        grown = left.join(right, ["g", "b", "head"]).filter("last < more").select("g", "b", F.concat("items", F.array("more")).alias("items"))
+        if size > 2:
+            grown = grown.join(small(_candidates(split(found.select("g", "items")), size)), ["g", "items"], "left_semi")
+        seen = stage(grown)
+        found = enough(holds(seen))
+    return sizes.select("g", F.lit(None).cast("array<string>").alias("items"), F.lit(0).cast("long").alias("freq"), "n").limit(0) if every is None else every
+
+
+def _candidates(sets: DataFrame, size: int) -> DataFrame:
+    """(g, items): joins of two sets with the same head all of whose subsets are among the sets."""
+    right = sets.select("g", "head", F.col("last").alias("more"))
+    both = stage(sets.join(right, ["g", "head"]).filter("last < more").select("g", F.concat("items", F.array("more")).alias("items")))
+    # Without the last or the last but one item it is one of the two sets themselves.
+    without = F.transform(F.sequence(F.lit(0), F.lit(size - 3)), lambda at: F.filter("items", lambda _, i: i != at))
+    missing = both.select("g", "items", F.explode(without).alias("part")).join(
+        sets.select("g", F.col("items").alias("part")), ["g", "part"], "left_anti").select("g", "items").distinct()
+    return both.join(missing, ["g", "items"], "left_anti")
+
+
+def grouped_rules(df: DataFrame, group: str, basket: str, item: str, min_support: float, min_confidence: float,
+                  max_len: int = 10) -> DataFrame:
+    """Rules inside every group, with supports relative to the group's own baskets; a basket is one of the group that it is listed under."""
+    found = stage(grouped_item_sets(df, group, basket, item, min_support, max_len))
+    whole = found.filter(F.size("items") > 1).select("g", "n", "freq", "items", F.explode("items").alias("consequent"))
+    whole = whole.select("g", "n", "freq", "consequent", F.array_remove("items", F.col("consequent")).alias("antecedent"))
+    sides = found.select("g", F.col("items").alias("antecedent"), F.col("freq").alias("left"))
+    single = found.filter(F.size("items") == 1).select("g", F.col("items")[0].alias("consequent"), F.col("freq").alias("right"))
+    rules = whole.join(sides, ["g", "antecedent"]).withColumn("confidence", F.col("freq") / F.col("left")).filter(F.col("confidence") >= min_confidence)
+    rules = rules.join(small(single), ["g", "consequent"])
+    return rules.select(F.col("g").alias(group), "antecedent", "consequent", (F.col("freq") / F.col("n")).alias("support"), "confidence",
+                        (F.col("confidence") / (F.col("right") / F.col("n"))).alias("lift"))
 
 
 def nonredundant(rules: DataFrame) -> DataFrame:
