@@ -13,7 +13,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.runtime import unit_hash
+from tallyloom.runtime import persisted, running_totals, stage, unit_hash
 
 
 def logistic(**kw):
@@ -99,52 +99,107 @@ def fit_sample(df: DataFrame, key: str, rows: int = FIT_ROWS) -> DataFrame:
 # --- boosted stumps ----------------------------------------------------------------------------------------------
 
 class AdaBoost:
-    """Discrete boosting of depth-1 trees on labels 0/1, fitted on a bounded sample (`fit_sample`) and scored as one column expression."""
+    """Discrete boosting of depth-1 trees on labels 0/1 over all rows, scored as compiled column expressions.
+
+    Features are cut once at exact quantiles. A vote is a function of one feature's bin, so the votes so far are one table per feature, and a row's weight
+    follows from its bins and its label: nothing about a row is rewritten between rounds. Each round is one job over the binned rows, kept in
+    blocks of a batch; a task returns the weighted signs per feature and bin.
+    """
 
     def __init__(self, rounds: int = 200, features: str = "features", label: str = "label", bins: int = 64):
         self.rounds, self.features, self.label, self.bins = rounds, features, label, bins
         self.stumps: list[tuple[int, float, float]] = []  # feature, threshold, vote for class 1 above it (negative: below)
 
+    def _cuts(self, rows: DataFrame, n: int) -> list[np.ndarray]:
+        """Distinct quantiles k / bins (the lower of two values) of every feature, from the counts of its values."""
+        values = rows.select(F.posexplode("x").alias("j", "v")).groupBy("j", "v").agg(F.count(F.lit(1)).alias("n"))
+        placed = running_totals(values, ["j", "v"], {"upto": "n"}).withColumn("upto", F.col("upto") - F.col("j") * F.lit(n))
+        ranks = F.array(*[F.lit(math.floor(k / self.bins * (n - 1))) for k in range(1, self.bins)])
+        hit = placed.filter(F.exists(ranks, lambda r: (r >= F.col("upto") - F.col("n")) & (r < F.col("upto")))).select("j", "v").collect()
+        found: dict[int, list[float]] = {}
+        for r in hit:
+            found.setdefault(r["j"], []).append(r["v"])
+        return [np.array(sorted(found[j])) for j in range(len(found))]
+
+    def _blocks(self, rows: DataFrame, cuts: list[np.ndarray]) -> DataFrame:
+        """(bins, signs): the binned rows, a block for every batch of a task."""
+        def run(batches):
+            for batch in batches:
+                x = np.stack(batch["x"].to_numpy()) if len(batch) else np.zeros((0, len(cuts)))
+                places = np.stack([np.searchsorted(c, v, "left") for c, v in zip(cuts, x.T)]).astype(np.uint16)
+                yield pd.DataFrame({"bins": [places.tobytes()], "signs": [np.where(batch["y"].to_numpy() > 0, 1, -1).astype(np.int8).tobytes()]})
+
+        return rows.mapInPandas(run, "bins binary, signs binary")
+
     def fit(self, df: DataFrame) -> "AdaBoost":
-        rows = df.select(vector_to_array(self.features).alias("x"), F.col(self.label).cast("double").alias("y")).toPandas()
-        self.stumps = []
-        if not len(rows):
+        rows = stage(df.select(vector_to_array(self.features).alias("x"), F.col(self.label).cast("double").alias("y")))
+        self.stumps, n = [], rows.count()
+        if not n:
             return self
-        # Rows in an order of their own, so that sums do not depend on partitioning.
-        x, y = np.stack(rows["x"].to_numpy()), rows["y"].to_numpy()
-        order = np.lexsort((y, *x.T))
-        x, sign = x[order], np.where(y[order] > 0, 1.0, -1.0)
-        cuts = [np.unique(np.quantile(c, np.linspace(0, 1, self.bins + 1)[1:-1], method="lower")) for c in x.T]
-        places = [np.searchsorted(c, v, "left") for c, v in zip(cuts, x.T)]
-        w = np.full(len(sign), 1.0 / len(sign))
-        for _ in range(self.rounds):
-            best = (0.5, None)
-            for j, (cut, place) in enumerate(zip(cuts, places)):
-                # Error of "class 1 above the cut" for every cut, from the weighted signs per bin.
-                above = (w * sign).sum() - np.cumsum(np.bincount(place, weights=w * sign, minlength=len(cut) + 1))[:-1]
-                below = (w * sign).sum() - above
-                edge = (above - below) / 2
-                for at in (edge.argmax(), edge.argmin()) if len(edge) else ():
-                    if 0.5 - abs(edge[at]) < best[0] - 1e-12:
-                        best = (0.5 - abs(edge[at]), (j, float(cut[at]), 1.0 if edge[at] > 0 else -1.0))
-            err, stump = best
-            if stump is None:
-                break
-            alpha = math.log((1 - err) / max(err, 1e-16))
-            self.stumps.append((stump[0], stump[1], alpha * stump[2]))
-            if err <= 0:
-                break
-            said = np.where(x[:, stump[0]] > stump[1], stump[2], -stump[2])
-            w = w * np.exp(np.where(said != sign, alpha, 0.0))
-            w /= w.sum()
+        cuts = self._cuts(rows, n)
+        p, wide = len(cuts), max(map(len, cuts)) + 1
+        with persisted(self._blocks(rows, cuts)) as blocks:
+            # Votes for class 1 by feature and bin.
+            votes = np.zeros((p, wide))
+            for _ in range(self.rounds):
+                signs, weight = self._signs(blocks, votes)
+                best = (0.5, None)
+                for j, cut in enumerate(cuts):
+                    # Error of "class 1 above the cut" for every cut, from the weighted signs per bin.
+                    bins = signs[j, :len(cut) + 1] / weight
+                    above = bins.sum() - np.cumsum(bins)[:-1]
+                    edge = (2 * above - bins.sum()) / 2
+                    for at in (edge.argmax(), edge.argmin()) if len(edge) else ():
+                        if 0.5 - abs(edge[at]) < best[0] - 1e-12:
+                            best = (0.5 - abs(edge[at]), (j, int(at), 1.0 if edge[at] > 0 else -1.0))
+                err, stump = best
+                if stump is None:
+                    break
+                alpha = math.log((1 - err) / max(err, 1e-16))
+                j, at, side = stump
+                self.stumps.append((j, float(cuts[j][at]), alpha * side))
+                if err <= 1e-12:
+                    break
+                votes[j] += alpha * side * np.where(np.arange(wide) > at, 1.0, -1.0)
         return self
 
+    def _signs(self, blocks: DataFrame, votes: np.ndarray) -> tuple[np.ndarray, float]:
+        """(weighted signs by feature and bin, sum of weights) under the votes so far."""
+        p, wide = votes.shape
+
+        def run(batches):
+            out = np.zeros(p * wide + 1)
+            for batch in batches:
+                for bins, signs in zip(batch["bins"], batch["signs"]):
+                    sign = np.frombuffer(signs, np.int8).astype(float)
+                    place = np.frombuffer(bins, np.uint16).reshape(p, len(sign))
+                    said = sum(votes[j][place[j]] for j in range(p))
+                    # Every wrong vote multiplies the weight by the exponential of its size; the scale does not matter.
+                    weight = np.exp(-sign * said / 2)
+                    for j in range(p):
+                        out[j * wide:(j + 1) * wide] += np.bincount(place[j], weights=weight * sign, minlength=wide)
+                    out[-1] += weight.sum()
+            yield pd.DataFrame({"sums": [out]})
+
+        # A few hundred numbers from every task.
+        sums = sum(np.asarray(r["sums"]) for r in blocks.mapInPandas(run, "sums array<double>").collect())
+        return sums[:-1].reshape(p, wide), float(sums[-1])
+
     def transform(self, df: DataFrame) -> DataFrame:
         """Add `score` (weighted vote in -1..1) and `prediction`."""
         total = sum(abs(v) for *_, v in self.stumps) or 1.0
-        votes = F.array(*[F.struct(F.lit(j).alias("j"), F.lit(c).alias("c"), F.lit(v / total).alias("v")) for j, c, v in self.stumps]) if self.stumps else None
-        x = vector_to_array(self.features)
-        score = F.lit(0.0) if votes is None else F.aggregate(votes, F.lit(0.0), lambda s, e: s + F.when(F.get("_x", e["j"]) > e["c"], e["v"]).otherwise(-e["v"]))
+        by: dict[int, dict[float, float]] = {}
+        for j, c, v in self.stumps:
+            by.setdefault(j, {})[c] = by.setdefault(j, {}).get(c, 0.0) + v / total
+        x, score = vector_to_array(self.features), F.lit(0.0)
+        for j, steps in sorted(by.items()):
+            # The sum of a feature's votes is a step function of its value.
+            value, at = -sum(steps.values()), None
+            for c, v in sorted(steps.items()):
+                low = F.col("_x")[j] <= c
+                at = F.when(low, value) if at is None else at.when(low, value)
+                value += 2 * v
+            score = score + at.otherwise(value)
         return df.withColumn("_x", x).withColumn("score", score).drop("_x").withColumn("prediction", F.when(F.col("score") > 0, 1.0).otherwise(0.0))
 
 

@@ -15,7 +15,7 @@ from tallyloom.operators.sampling import hash_fold, hash_split
 from tallyloom.operators.topics import fit_topics, top_terms
 from tallyloom.plans.common import rounded
 from tallyloom.plans.linear import ROWS_SQL, logit_rows
-from tallyloom.plans.registry import by_folder, query
+from tallyloom.plans.registry import by_folder, once, query
 from tallyloom.plans.text import CLEAN, GRAMS, STEMS, _phrase_sql
 from tallyloom.runtime import key_hash, spread, stage
 
@@ -26,10 +26,11 @@ def keyed_rows(t):
     return logit_rows(t).withColumn("key", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey")).select("key", "label", *COLUMNS)
 
 
+@once
 def split_rows(t):
-    """(train, test) with scaled features; the test rows are scaled with the training statistics."""
+    """(train, test) with scaled features, written once; the test rows are scaled with the training statistics."""
     from tallyloom.operators.features import apply_scaling, scaling_params
-    parts = hash_split(keyed_rows(t), "key", {"train": 0.7, "test": 0.3}, "models")
+    parts = stage(spread(hash_split(keyed_rows(t), "key", {"train": 0.7, "test": 0.3}, "models")))
     train, test = parts.filter("split = 'train'"), parts.filter("split = 'test'")
     params = scaling_params(train, COLUMNS)
     return [as_vector(apply_scaling(d, params), COLUMNS) for d in (train, test)]
@@ -63,7 +64,7 @@ def _cells(fit, lift=lambda d: d):
 boosted_cells = by_folder(_cells(lambda d: K.boosted(maxIter=500, stepSize=0.05).fit(K.fit_sample(d, "key"))))
 svm_cells = by_folder(_cells(lambda d: K.kernel_svm().fit(K.fit_sample(d, "key")), lambda d: K.random_features(d.drop("features"), COLUMNS)))
 perceptron_cells = by_folder(_cells(lambda d: K.perceptron(len(COLUMNS)).fit(K.fit_sample(d, "key"))))
-adaboost_cells = by_folder(_cells(lambda d: K.AdaBoost(rounds=200).fit(K.fit_sample(d, "key", 20_000))))
+adaboost_cells = by_folder(_cells(lambda d: K.AdaBoost(rounds=200).fit(d)))
 tree_cells = by_folder(_cells(lambda d: K.tree().fit(d)))
 logistic_cells = by_folder(_cells(lambda d: K.logistic().fit(d)))
 
@@ -104,7 +105,7 @@ def boosted_trees_confusion(t):
 @query("M07 M20")
 def adaboost_report(t):
     train, test = split_rows(t)
-    scored = K.AdaBoost(rounds=200).fit(K.fit_sample(train, "key", 20_000)).transform(test)
+    scored = K.AdaBoost(rounds=200).fit(train).transform(test)
     return E.classification_report(scored.select("label", "prediction"), "label", "prediction")
 
 
@@ -190,6 +191,40 @@ def searched_tree(t):
     return table.withColumn("held_out_precision", F.lit(held_out))
 
 
+# 8 x 6 x 3 x 4 = 576 settings.
+TREE_SPACE = {"maxDepth": [2, 3, 4, 5, 6, 7, 8, 9], "minInstancesPerNode": [1, 5, 10, 50, 100, 200], "maxBins": [16, 32, 64], "minInfoGain": [0.0, 0.0005, 0.002, 0.01]}
+
+
+@once
+def random_search(t):
+    """Drawn settings of the tree, by precision of the positive class."""
+    train, _ = split_rows(t)
+    ev = MulticlassClassificationEvaluator(metricName="precisionByLabel", metricLabel=1.0)
+    return E.halving_search(train, "key", K.tree, TREE_SPACE, ev, draws=18, factor=3, rungs=3, seed=5)
+
+
+@query("M22 M34")
+def random_searched_tree(t):
+    """All trials of the random search, and how the winner, fitted on the whole training part, does on the held-out rows."""
+    _, model, _, trials = random_search(t)
+    ev = MulticlassClassificationEvaluator(metricName="precisionByLabel", metricLabel=1.0)
+    return trials.withColumn("held_out_precision", F.lit(float(ev.evaluate(model.transform(split_rows(t)[1])))))
+
+
+_RUNG = f"""
+    f AS (SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS key FROM ({ROWS_SQL})),
+    s AS (SELECT ('0x' || substr(md5(key || '|rung'), 1, 8))::BIGINT / 4294967296.0 AS u, ('0x' || substr(md5(key || '|rung-fold'), 1, 8))::BIGINT % 5 AS fold
+          FROM f WHERE ('0x' || substr(md5(key || '|models'), 1, 8))::BIGINT / 4294967296.0 < 0.7)"""
+
+
+@query("M22 L07", f"""WITH {_RUNG}, r(rung, settings, kept, part) AS (VALUES (0, 18, 6, 1.0 / 9), (1, 6, 2, 1.0 / 3), (2, 2, 1, 1.0))
+    SELECT rung, settings, count(*) FILTER (fold <> 0) AS train_rows, count(*) FILTER (fold = 0) AS valid_rows, kept
+    FROM r JOIN s ON u < part GROUP BY rung, settings, kept""")
+def search_rungs(t):
+    """Budget of every rung of the random search: settings, rows that fit them and rows that judge them, and how many go on."""
+    return random_search(t)[2].drop("best_score")
+
+
 def token_documents(t):
     docs = X.with_ngrams(spread(t.documents, "doc_id"), "text", "grams", stemmed=True)
     docs = X.with_phrases(docs.withColumn("tokens", X.tokens("text")), "tokens")

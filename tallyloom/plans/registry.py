@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.runtime import ship_package, stages_dropped
+from tallyloom.runtime import on_store, ship_package, stages_dropped
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,7 +54,7 @@ def once(fn):
     held: dict = {}
 
     def run(t: Tables):
-        key = (t.spark.sparkContext.applicationId, t.folder, stages_dropped(t.spark))
+        key = (t.spark.sparkContext.applicationId, t.folder, listing(t), stages_dropped(t.spark))
         if key not in held:
             held.clear()
             held[key] = fn(t)
@@ -63,12 +63,22 @@ def once(fn):
     return run
 
 
+def listing(t: Tables) -> tuple:
+    """Names, sizes and times of what lies in the folder, so that nothing is kept beyond a change of its tables."""
+    where, store = on_store(t.spark, t.folder)
+    files, found = store.listFiles(where, True), []
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
+
+
 def by_folder(fn):
-    """Keep a small result (not a DataFrame) of a costly fit over one folder."""
+    """Keep a small result (not a DataFrame) of a costly fit over the files of one folder."""
     held: dict = {}
 
     def run(t: Tables):
-        key = (t.spark.sparkContext.applicationId, t.folder)
+        key = (t.spark.sparkContext.applicationId, t.folder, listing(t))
         if key not in held:
             held[key] = fn(t)
         return held[key]

@@ -71,7 +71,8 @@ def stages_dropped(spark: SparkSession) -> int:
     return _DROPPED.get(spark.sparkContext.applicationId, 0)
 
 
-def _on_store(spark: SparkSession, path: str):
+def on_store(spark: SparkSession, path: str):
+    """(path, file system) as Spark's readers see them."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
@@ -82,7 +83,7 @@ def drop_stages(spark: SparkSession) -> None:
     held = _WRITTEN.pop(app, set())
     _DROPPED[app] = stages_dropped(spark) + 1
     for path in held:
-        where, store = _on_store(spark, path)
+        where, store = on_store(spark, path)
         store.delete(where, True)
 
 
@@ -114,7 +115,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
     path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     _WRITTEN.setdefault(spark.sparkContext.applicationId, set()).add(path)
-    where, store = _on_store(spark, path)
+    where, store = on_store(spark, path)
     store.deleteOnExit(where)
     return path
 

@@ -304,6 +304,46 @@ def test_adaboost_learns_an_interval(spark):
     assert acc > 0.95 and len(model.stumps) > 1
 
 
+def plain_boost(x, y, rounds, bins=64):
+    """The same boosting row by row: weights are multiplied after every round."""
+    sign = np.where(y > 0, 1.0, -1.0)
+    cuts = [np.unique(np.quantile(c, np.linspace(0, 1, bins + 1)[1:-1], method="lower")) for c in x.T]
+    w, stumps = np.full(len(sign), 1.0 / len(sign)), []
+    for _ in range(rounds):
+        best = (0.5, None)
+        for j, cut in enumerate(cuts):
+            edges = [(w * sign * np.where(x[:, j] > c, 1.0, -1.0)).sum() / 2 for c in cut]
+            for at in (int(np.argmax(edges)), int(np.argmin(edges))):
+                if 0.5 - abs(edges[at]) < best[0] - 1e-12:
+                    best = (0.5 - abs(edges[at]), (j, float(cut[at]), 1.0 if edges[at] > 0 else -1.0))
+        err, stump = best
+        if stump is None:
+            break
+        alpha = math.log((1 - err) / max(err, 1e-16))
+        stumps.append((stump[0], stump[1], alpha * stump[2]))
+        said = np.where(x[:, stump[0]] > stump[1], stump[2], -stump[2])
+        w = w * np.exp(np.where(said != sign, alpha, 0.0))
+        w /= w.sum()
+    return stumps
+
+
+@pytest.mark.parametrize("n", [40, 700])
+def test_adaboost_equals_plain_boosting(spark, n):
+    rng = np.random.default_rng(n)
+    x = np.column_stack([rng.normal(size=n), rng.integers(0, 6, n), rng.uniform(size=n)])
+    y = ((x[:, 0] + (x[:, 1] > 2) - 2 * x[:, 2] ** 2 + rng.normal(scale=0.7, size=n)) > 0).astype(float)
+    df = spark.createDataFrame([(*map(float, r), float(v)) for r, v in zip(x, y)], "a double, b double, c double, label double").repartition(5)
+    data = features.as_vector(df, ["a", "b", "c"])
+    model = K.AdaBoost(rounds=25).fit(data)
+    want = plain_boost(x, y, 25)
+    assert [s[:2] for s in model.stumps] == [s[:2] for s in want] and np.allclose([s[2] for s in model.stumps], [s[2] for s in want], rtol=1e-8)
+    total = sum(abs(v) for *_, v in want)
+    for r in model.transform(data).collect():
+        plain = sum(v if (r["a"], r["b"], r["c"])[j] > c else -v for j, c, v in want) / total
+        assert abs(r["score"] - plain) < 1e-9
+    assert K.AdaBoost(rounds=3).fit(data.limit(0)).stumps == []
+
+
 def test_bayes_table_predicts(spark):
     df = spark.createDataFrame([(float(i % 2 * 4 + i / 50), i % 2) for i in range(60)], "x double, y int")
     out = K.bayes_predict(df, K.bayes_table(df, "y", ["x"]), "y", ["x"])
