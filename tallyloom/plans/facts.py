@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from tallyloom.operators import cluster as C
 from tallyloom.operators import features as FE
 from tallyloom.operators import glm
+from tallyloom.operators import neighbors as N
 from tallyloom.plans import clustering, features, models
 from tallyloom.plans import linear as L
 from tallyloom.plans.common import CUSTOMER_SQL, customer_features
 from tallyloom.plans.registry import QUERIES, query
 from tallyloom.plans.text import CLEAN
+from tallyloom.runtime import stage
 
 _TEST = f"""WITH {models.LABELLED_SQL}, s AS (SELECT *, ('0x' || substr(md5(concat_ws('-', l_orderkey, l_linenumber, l_partkey) || '|models'), 1, 8))::BIGINT / 4294967296.0 AS u FROM f)"""
 _CLASSES = _TEST + " SELECT label, count(*) AS n, TRUE AS beats_majority FROM s WHERE u >= 0.7 GROUP BY label"
@@ -197,6 +199,34 @@ def smote_counts(t):
     return QUERIES["smote_class_sizes"](t.spark, t.folder).select("quality", "synthetic", "n")
 
 
+@query("F10", """
+    WITH r AS (SELECT quality, count(*) AS n FROM labels JOIN documents USING (doc_id) GROUP BY quality), s AS (SELECT max(n) - min(n) AS made FROM r)
+    SELECT made, made AS on_segment, made AS among_nearest, made AS of_minority FROM s""")
+def smote_places(t):
+    """Every synthetic row lies on the segment between a row of the rarer class and one of its five nearest rows of that class."""
+    rows = features.quality_rows(t).withColumn("doc_id", F.col("doc_id").cast("long"))
+    cols = ["n_chars", "n_words"]
+    made = stage(N.smote(rows, "doc_id", cols, "quality", 0, origin=True))
+    side = lambda p: rows.select(F.col("doc_id").alias(f"{p}_id"), *[F.col(c).alias(f"{p}_{c}") for c in cols], (F.col("quality") == 0).alias(f"{p}_rare"))
+    both = made.join(side("source"), "source_id").join(side("neighbour"), "neighbour_id")
+    # u from the coordinate that moves most; the other one has to agree with it.
+    step = [F.col(f"neighbour_{c}") - F.col(f"source_{c}") for c in cols]
+    wide = F.abs(step[0]) >= F.abs(step[1])
+    u = F.when(wide, F.try_divide(F.col(cols[0]) - F.col(f"source_{cols[0]}"), step[0])).otherwise(F.try_divide(F.col(cols[1]) - F.col(f"source_{cols[1]}"), step[1]))
+    u = F.coalesce(u, F.lit(0.0))
+    on = u.between(0.0, 1.0)
+    for c, s in zip(cols, step):
+        on &= F.abs(F.col(f"source_{c}") + u * s - F.col(c)) < 1e-6
+    pairs = both.select("source_id", "neighbour_id", *[F.col(f"source_{c}") for c in cols], F.sqrt(step[0] * step[0] + step[1] * step[1]).alias("d")).distinct()
+    rare = rows.filter("quality = 0").select(F.col("doc_id").alias("other"), *cols)
+    # Against all rows of the rarer class: fewer than five of them are strictly nearer.
+    gap = F.sqrt(F.pow(F.col("source_n_chars") - F.col("n_chars"), 2) + F.pow(F.col("source_n_words") - F.col("n_words"), 2))
+    nearer = pairs.join(F.broadcast(rare), F.col("other") != F.col("source_id")).filter(gap < F.col("d") - 1e-9).groupBy("source_id", "neighbour_id").agg(F.count(F.lit(1)).alias("k"))
+    checked = both.join(nearer, ["source_id", "neighbour_id"], "left")
+    return checked.agg(F.count(F.lit(1)).alias("made"), F.count_if(on).alias("on_segment"), F.count_if(F.coalesce("k", F.lit(0)) < 5).alias("among_nearest"),
+                       F.count_if(F.col("source_rare") & F.col("neighbour_rare") & (F.col("source_id") != F.col("neighbour_id"))).alias("of_minority"))
+
+
 @query("F09", f"""
     WITH g AS ({features.GAP_SQL}), m AS (SELECT unnest(range(0, 5)) AS imputation)
     SELECT CAST(imputation AS INTEGER) AS imputation, count(*) AS n, 0 AS missing, 0 AS changed, 0 AS invented FROM g, m GROUP BY imputation""")
@@ -241,6 +271,23 @@ def wald_facts(t):
     return t.spark.createDataFrame([(both["df"], 0 <= both["p_value"] <= 1 and both["chi2"] >= 0, main["chi2"] > both["chi2"])], "df int, valid boolean, noise_is_weaker boolean")
 
 
+# With one dummy per further level of a factor the fit is exact: log odds per level, variances 1/(n p) + 1/(n (1 - p)).
+@query("M31 M02", f"""WITH {models.LABELLED_SQL},
+    g AS (SELECT CASE WHEN tax < 0.03 THEN 0 WHEN tax < 0.06 THEN 1 ELSE 2 END AS level, sum(label) AS a, count(*) - sum(label) AS b FROM f GROUP BY 1),
+    h AS (SELECT level, ln(a / b) AS odds, 1 / a + 1 / b AS v FROM g),
+    d AS (SELECT h.odds - z.odds AS beta, h.v AS v, z.v AS v0 FROM h, (SELECT odds, v FROM h WHERE level = 0) z WHERE level > 0),
+    c AS (SELECT sum(beta * beta / v) - max(v0) * sum(beta / v) ** 2 / (1 + max(v0) * sum(1 / v)) AS chi2 FROM d)
+    SELECT 2 AS df, round(chi2, 5) AS chi2, round(exp(-chi2 / 2), 7) AS p_value FROM c""")
+def wald_closed_form(t):
+    """Joint test of the two dummies of a factor with three levels, whose statistic has a closed form."""
+    level = F.when(F.col("tax") < 0.03, 0).when(F.col("tax") < 0.06, 1).otherwise(2)
+    terms = ["l1", "l2"]
+    rows = L.logit_rows(t).select("label", *[(level == i).cast("double").alias(c) for i, c in enumerate(terms, 1)])
+    coefs = glm.coefficients(glm.fit_logistic(rows, "label", terms), terms)
+    test = glm.wald_test(t.spark, coefs, glm.covariance(rows, terms, coefs), [{"l1": 1.0}, {"l2": 1.0}])
+    return test.select("df", F.round("chi2", 5).alias("chi2"), F.round("p_value", 7).alias("p_value"))
+
+
 @query("F07", "SELECT c AS column, TRUE AS is_peak FROM (SELECT unnest(['balance', 'n_orders', 'avg_price']) AS c)")
 def yeo_johnson_facts(t):
     """The likelihood falls on either side of the fitted exponent."""

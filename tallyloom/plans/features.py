@@ -155,11 +155,16 @@ def hopkins_statistic(t):
     return rounded(N.hopkins(scaled, "c_custkey", _HOP, 150), 8, "hopkins_u_share")
 
 
+def quality_rows(t):
+    """Length features and the quality label of the labelled documents."""
+    rows = t.labels.join(t.documents.select("doc_id", "n_chars", F.size(F.split("text", " ")).alias("n_words")), on="doc_id")
+    return rows.select("doc_id", F.col("n_chars").cast("double").alias("n_chars"), F.col("n_words").cast("double").alias("n_words"), "quality")
+
+
 @query("F10 M40")
 def smote_class_sizes(t):
     """Class sizes and mean features after over-sampling the rarer label of the documents."""
-    rows = t.labels.join(t.documents.select("doc_id", "n_chars", F.size(F.split("text", " ")).alias("n_words")), on="doc_id")
-    rows = rows.select("doc_id", F.col("n_chars").cast("double").alias("n_chars"), F.col("n_words").cast("double").alias("n_words"), "quality")
+    rows = quality_rows(t)
     made = N.smote(rows, "doc_id", ["n_chars", "n_words"], "quality", 0)
     every = rows.select("n_chars", "n_words", "quality", F.lit(0).alias("synthetic")).unionByName(made.withColumn("synthetic", F.lit(1)))
     return every.groupBy("quality", "synthetic").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("n_chars"), 4).alias("mean_chars"))
