@@ -15,6 +15,14 @@ def columns(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[df[n] for n in names])
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """`name`, or a longer one that is no column of the frame (names are compared without case, as Spark does)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def texts_of(docs: DataFrame) -> DataFrame:
     """(doc_id, nameless, text): a null id as 0 with a mark, since whole numbers with nulls reach pandas as doubles."""
     return docs.select(F.coalesce(docs["doc_id"].cast("long"), F.lit(0)).alias("doc_id"), docs["doc_id"].isNull().alias("nameless"), docs["text"].alias("text"))
