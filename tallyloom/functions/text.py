@@ -94,9 +94,16 @@ def with_phrases(df: DataFrame, tokens_col: str, name: str = "phrases", words: l
     normal = F.split(F.lower(F.regexp_replace(F.array_join(raw, " "), "[^A-Za-z ]", "")), " ")
     entries = F.filter(F.transform(normal, lambda w, i: F.struct(i.alias("i"), w.alias("w"))),
                        lambda e: (e["w"] != "") & ~e["w"].isin(*words))
-    tagged = F.array_join(F.transform(entries, lambda e: F.concat(
-        tag_letter(e["w"]), F.lit(":"), e["i"].cast("string"), F.lit(":"), e["w"])), " ")
+    tagged = F.array_join(F.transform(entries, lambda e: tagged_token(tag_letter(e["w"]), e["i"], e["w"])), " ")
+    return df.withColumn("_tagged", tagged).withColumn(name, phrases_in("_tagged", raw)).drop("_tagged")
 
+
+def tagged_token(tag: Column, position: Column, word: Column) -> Column:
+    return F.concat(tag, F.lit(":"), position.cast("string"), F.lit(":"), word)
+
+
+def phrases_in(tagged: str, raw: Column) -> Column:
+    """array<struct<grammar, phrase, span>> of a column of tagged tokens; spans are cut from the source tokens."""
     def build(grammar: str):
         def one(match: Column) -> Column:
             first = F.regexp_extract(match, r"^[JN]:(\d+):", 1).cast("int")
@@ -104,9 +111,9 @@ def with_phrases(df: DataFrame, tokens_col: str, name: str = "phrases", words: l
             return F.struct(F.lit(grammar).alias("grammar"),
                             F.regexp_replace(match, r"[JN]:\d+:", "").alias("phrase"),
                             F.array_join(F.slice(raw, first + 1, last - first + 1), " ").alias("span"))
-        return F.transform(F.regexp_extract_all("_tagged", F.lit(GRAMMARS[grammar]), F.lit(0)), one)
+        return F.transform(F.regexp_extract_all(tagged, F.lit(GRAMMARS[grammar]), F.lit(0)), one)
 
-    return df.withColumn("_tagged", tagged).withColumn(name, F.concat(*[build(g) for g in GRAMMARS])).drop("_tagged")
+    return F.concat(*[build(g) for g in GRAMMARS])
 
 
 # --- readability -------------------------------------------------------------------------------------------------

@@ -16,6 +16,16 @@ def top_groups(df: DataFrame, key: str, k: int, count: str = "n") -> DataFrame:
     return counts.orderBy(F.desc(count), F.asc_nulls_last(key)).limit(k)
 
 
+def distinct_sketches(df: DataFrame, by: list, column: str, lg_k: int = 12) -> DataFrame:
+    """(by..., sketch): a mergeable sketch of the distinct values of every group, of 2^lg_k registers at most."""
+    return df.groupBy(*by).agg(F.hll_sketch_agg(column, lg_k).alias("sketch"))
+
+
+def sketched_counts(sketches: DataFrame, by: list) -> DataFrame:
+    """(by..., estimate): distinct values of unions of groups, from their sketches alone; the relative standard error is about 1.04 / sqrt(2^lg_k)."""
+    return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("estimate"))
+
+
 def value_counts(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
     """(by..., column, value, n) of the non-null values, reduced map-side before its only shuffle."""
     by = by or []

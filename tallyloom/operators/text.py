@@ -60,6 +60,43 @@ def phrase_rows(df: DataFrame, keep: list[str], text: str) -> DataFrame:
     return found.select(*keep, "p.grammar", "p.phrase", "p.span")
 
 
+def looked_up(rows: DataFrame, word: str, table: DataFrame) -> DataFrame:
+    """Left join of word rows to a table with one row per word: broadcast if a count shows that it is small, else with frequent words split off."""
+    table = stage(table)
+    if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(table), on=word, how="left")
+    rows = stage(rows)
+    counted = rows.groupBy(word).agg(F.count(F.lit(1)).alias("_n")).join(table, on=word, how="left")
+    return hot_split_join(rows, stage(counted), [word], "_n").drop("_n")
+
+
+def phrase_rows_by_lexicon(df: DataFrame, row_id: str, text: str, lexicon: DataFrame, words: list[str] = W.STOP_WORDS) -> DataFrame:
+    """(row_id, grammar, phrase, span) as `phrase_rows` gives them, with tags from a table (word, tag): J, N or other; words not listed are other.
+
+    Tokens meet the lexicon as rows and come back as one tagged string per text.
+    """
+    base = stage(df.select(row_id, X.tokens(text).alias("_raw")))
+    flat = base.select(row_id, F.posexplode("_raw").alias("_i", "_t")).select(row_id, "_i", F.lower(F.regexp_replace("_t", "[^A-Za-z]", "")).alias("word"))
+    flat = flat.filter((F.col("word") != "") & ~F.col("word").isin(*words))
+    known = looked_up(flat, "word", lexicon.select("word", F.when(F.col("tag").isin("J", "N"), F.col("tag")).alias("tag")))
+    entries = F.array_sort(F.collect_list(F.struct("_i", "word", F.coalesce("tag", F.lit("O")).alias("tag"))))
+    per = known.groupBy(row_id).agg(F.array_join(F.transform(entries, lambda e: X.tagged_token(e["tag"], e["_i"], e["word"])), " ").alias("_tagged"))
+    found = base.join(per, row_id).withColumn("_p", X.phrases_in("_tagged", F.col("_raw")))
+    return unfold(found, [row_id], "_p", "p").select(row_id, "p.grammar", "p.phrase", "p.span")
+
+
+def dale_chall(df: DataFrame, row_id: str, text: str, easy: DataFrame) -> DataFrame:
+    """(row_id, n_words, n_difficult, dale_chall) with the easy words from a table (word): difficult are other words of two syllables or more, each once."""
+    base = X.complexity(df.select(row_id, text), text).select(row_id, "n_words", "n_sentences")
+    hard = unfold(df, [row_id], F.array_distinct(F.filter(X.words(text), lambda w: X.syllables(w) >= 2)), "word")
+    marked = looked_up(hard, "word", easy.select("word", F.lit(1).alias("easy")).distinct()).filter("easy IS NULL")
+    per = marked.groupBy(row_id).agg(F.count(F.lit(1)).cast("int").alias("n_difficult"))
+    out = base.join(per, row_id, "left").withColumn("n_difficult", F.coalesce("n_difficult", F.lit(0)))
+    share = 100.0 * F.try_divide(F.col("n_difficult").cast("double"), F.col("n_words"))
+    score = 0.1579 * share + 0.0496 * (F.col("n_words") / F.col("n_sentences")) + F.when(share > 5, 3.6365).otherwise(0.0)
+    return out.select(row_id, "n_words", "n_difficult", score.alias("dale_chall"))
+
+
 def phrase_mentions(rows: DataFrame, phrase_list: list[str], period: str) -> DataFrame:
     """Mentions of given phrases per period."""
     return rows.filter(F.col("phrase").isin(*phrase_list)).groupBy("phrase", period).agg(F.count(F.lit(1)).alias("n"))

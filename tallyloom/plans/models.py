@@ -269,7 +269,7 @@ def text_classifier_auc(t):
     model = K.logistic().fit(prepared.transform(parts.filter("split = 'train'")))
     scored = model.transform(prepared.transform(parts.filter("split = 'test'")))
     out = E.auc_rank(scored.select("label", vector_to_array("probability")[1].alias("score")), "label", "score")
-    return out
+    return out.withColumn("auc_ml", F.lit(float(BinaryClassificationEvaluator(metricName="areaUnderROC").evaluate(scored))))
 
 
 @query("M16 M39 U04")

@@ -9,6 +9,7 @@ from tallyloom.operators import reshape
 from tallyloom.operators.features import standardise
 from tallyloom.plans.common import CUSTOMER_FEATURES, CUSTOMER_SQL, LINE_COLUMNS, customer_features, money_mean, money_mean_sql, rounded
 from tallyloom.plans.registry import query
+from tallyloom.runtime import stage
 
 
 def _stat_sql(source: str, columns: list[str], stats: dict[str, str], by: str = "") -> str:
@@ -43,6 +44,20 @@ def distinct_users(t):
     return t.events.agg(F.count_distinct("user_id").alias("users"), F.count_distinct("event_type").alias("types"))
 
 
+@query("A02", """
+    SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(DISTINCT o_custkey) AS customers, TRUE AS close FROM orders GROUP BY 1
+    UNION ALL SELECT NULL, count(DISTINCT o_custkey), TRUE FROM orders""")
+def distinct_customers_sketched(t):
+    """Distinct customers of every year and of all, estimated from sketches per month, next to the exact numbers: within three standard errors."""
+    rows = t.orders.select("o_custkey", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
+    months = stage(P.distinct_sketches(rows, ["year", "month"], "o_custkey", 12))
+    estimates = P.sketched_counts(months, ["year"]).unionByName(P.sketched_counts(months, [F.lit(None).cast("int").alias("year")]))
+    exact = rows.groupBy("year").agg(F.count_distinct("o_custkey").alias("customers"))
+    exact = exact.unionByName(rows.groupBy(F.lit(None).cast("int").alias("year")).agg(F.count_distinct("o_custkey").alias("customers")))
+    both = exact.join(F.broadcast(estimates.withColumnRenamed("year", "_y")), F.col("year").eqNullSafe(F.col("_y")))
+    return both.select("year", "customers", (F.abs(F.col("estimate") - F.col("customers")) <= 3 * 1.04 / 64 * F.col("customers")).alias("close"))
+
+
 @query("A04", """
     SELECT lang, max(n_chars) AS longest, min(n_chars) AS shortest, round(avg(n_chars), 4) AS mean FROM documents GROUP BY lang""")
 def group_min_max_avg(t):

@@ -128,6 +128,29 @@ def phrase_chunks(t):
     return O.phrase_rows(docs(t), ["doc_id"], "text")
 
 
+# A lexicon counted from the documents: words that up to a fifth of them hold are nouns, the rarer ones of these adjectives.
+_LEARNED = f"""
+    c AS (SELECT word, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest({CLEAN}) AS word FROM documents) GROUP BY word),
+    lex AS (SELECT word, CASE WHEN df * 100 < 3 * n THEN 'J' ELSE 'N' END AS tag FROM c, (SELECT count(*) AS n FROM documents) WHERE df * 100 >= n AND df * 5 < n)"""
+
+
+def learned_lexicon(t):
+    held = O.unfold(docs(t), ["doc_id"], F.array_distinct(X.clean_tokens("text")), "word").groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    n = t.documents.count()
+    rare = F.when(F.col("df") * 100 < 3 * n, "J").otherwise("N")
+    return held.filter((F.col("df") * 100 >= n) & (F.col("df") * 5 < n)).select("word", rare.alias("tag"))
+
+
+@query("T06 T04", rf"""
+    WITH {_LEARNED}, e AS (SELECT doc_id, unnest({_ENTRIES}) AS e FROM documents),
+    g AS (SELECT doc_id, string_agg(coalesce(tag, 'O') || ':' || e.i || ':' || e.w, ' ' ORDER BY e.i) AS tagged FROM e LEFT JOIN lex ON e.w = word GROUP BY doc_id),
+    tk AS (SELECT doc_id, {TOKENS} AS raw, tagged FROM documents JOIN g USING (doc_id)),""" + _phrase_sql("documents", "doc_id").split("FROM documents),", 1)[1] + """
+    SELECT doc_id, grammar, phrase, span FROM p""")
+def phrase_chunks_learned(t):
+    """Phrases tagged by a table of words that is counted from the documents."""
+    return O.phrase_rows_by_lexicon(docs(t), "doc_id", "text", learned_lexicon(t))
+
+
 @query("T09", _phrase_sql("documents", "doc_id") + " SELECT phrase, count(*) AS n FROM p GROUP BY phrase")
 def phrase_frequencies(t):
     return O.phrase_rows(docs(t), ["doc_id"], "text").groupBy("phrase").agg(F.count(F.lit(1)).alias("n"))
@@ -200,6 +223,21 @@ def readability(t):
     return rounded(X.readability(docs(t).select("doc_id", "text"), "text").select("doc_id", *SCORES), 9, *SCORES)
 
 
+@query("T15 T11", rf"""
+    WITH w AS (SELECT doc_id, {WORDS} AS w, greatest(len(regexp_extract_all(text, '{X.SENTENCE_END}')), 1) AS n_sentences FROM documents),
+    v AS (SELECT doc_id, unnest(list_distinct(w)) AS word FROM w),
+    easy AS (SELECT word FROM v GROUP BY word HAVING count(*) * 50 >= (SELECT count(*) FROM documents)),
+    h AS (SELECT doc_id, count(*) AS k FROM v WHERE len(regexp_extract_all(word, '{X.VOWELS}')) >= 2 AND word NOT IN (SELECT word FROM easy) GROUP BY doc_id),
+    b AS (SELECT doc_id, CAST(len(w) AS INTEGER) AS n_words, n_sentences, CAST(coalesce(k, 0) AS INTEGER) AS n_difficult FROM w LEFT JOIN h USING (doc_id))
+    SELECT doc_id, n_words, n_difficult, round(CASE WHEN n_words > 0 THEN 0.1579 * (100.0 * n_difficult / n_words) + 0.0496 * (n_words / n_sentences)
+        + CASE WHEN 100.0 * n_difficult / n_words > 5 THEN 3.6365 ELSE 0.0 END END, 9) AS dale_chall FROM b""")
+def dale_chall_learned(t):
+    """Easy words are those that a fiftieth of the documents hold."""
+    rows = docs(t).select("doc_id", "text")
+    held = O.unfold(rows, ["doc_id"], F.array_distinct(X.words("text")), "word").groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    return rounded(O.dale_chall(rows, "doc_id", "text", held.filter(F.col("df") * 50 >= t.documents.count()).select("word")), 9, "dale_chall")
+
+
 def _sentiment_sql(lexicon: str, digits: int = 10) -> str:
     return rf"""
     WITH lex AS ({lexicon}),
