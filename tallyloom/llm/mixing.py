@@ -8,7 +8,7 @@ next epoch in the order of md5(seed|epoch|doc_id), the last one cut.
 
 Tokens are words `[^\\x20\\x09-\\x0D]+`. Defined results: texts without tokens are never chosen; a null level value is the branch
 `(none)`; weights not named are `other` (1 by default), a weight of 0 leaves the branch out; an empty table gives an empty mix; rows that
-repeat a doc_id count each.
+repeat a doc_id count each; further columns stay as they are, whatever their names, but for the two that the mix adds.
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import columns
+from tallyloom.llm.common import unused
+from tallyloom.llm.grouping import small
 from tallyloom.runtime import running_totals, stage
 
 SPACE = r"[\x20\x09-\x0D]+"
@@ -69,16 +70,16 @@ def select(docs: DataFrame, levels: dict[str, Column], weights: dict[str, dict[s
                              n_tokens(F.col("text")).alias("n_tokens")).filter("n_tokens > 0"))
     leaves = stage(rows.groupBy(*names).agg(F.sum("n_tokens").alias("tokens")))
     plan = quotas(leaves, names, weights, budget, max_epochs, other).filter("quota > 0")
-    # A row per leaf; joined on all levels, with the large leaves split by the adaptive plan.
+    # A row per leaf: broadcast while small, so that a leaf with very many rows is not one task's; else the adaptive plan splits large leaves.
     plan = stage(plan.select(*names, F.expr("quota div tokens").alias("full"), F.expr("quota % tokens").alias("part"),
                              F.concat_ws("\x1f", *names).alias("leaf")))
-    placed = rows.join(plan, names)
+    placed = rows.join(small(plan, 64 * len(names) + 96), names)
     key = F.md5(F.concat_ws("|", F.lit(str(seed)), (F.col("full") + 1).cast("string"), F.col("doc_id").cast("string")))
     ordered = running_totals(placed.filter("part > 0").withColumn("key", key), ["leaf", "key", "doc_id", "n_tokens"], {"upto": "n_tokens"})
     ordered = stage(ordered)
     begins = ordered.groupBy("leaf").agg(F.min(F.col("upto") - F.col("n_tokens")).alias("begin"))
     rest = F.col("part") - (F.col("upto") - F.col("n_tokens") - F.col("begin"))
-    last = ordered.join(begins, "leaf").filter(rest > 0).select(
+    last = ordered.join(small(stage(begins), 96), "leaf").filter(rest > 0).select(
         "doc_id", *names, "n_tokens", (F.col("full") + 1).cast("int").alias("epoch"), F.least("n_tokens", rest).alias("take_tokens"))
     whole = placed.filter("full > 0").select("doc_id", *names, "n_tokens", F.explode(F.expr("sequence(1, cast(full AS int))")).alias("epoch"),
                                              F.col("n_tokens").alias("take_tokens"))
@@ -86,11 +87,12 @@ def select(docs: DataFrame, levels: dict[str, Column], weights: dict[str, dict[s
 
 
 def mixed(docs: DataFrame, levels: dict[str, Column], weights: dict[str, dict[str, int]], budget: Column, max_epochs: int = 2, seed: int = 1) -> DataFrame:
-    """The documents of the mix with their columns, `epoch` and `take_tokens`; a document is there once per epoch."""
+    """The documents of the mix with their columns, `epoch` and `take_tokens` (a caller's columns of these two names are replaced); once per epoch."""
     taken = select(docs, levels, weights, budget, max_epochs, seed).groupBy("doc_id", "epoch").agg(F.max("take_tokens").alias("take_tokens"))
-    taken = taken.select(F.col("doc_id").alias("_id"), F.col("epoch").alias("_epoch"), F.col("take_tokens").alias("_take"))
-    out = docs.join(taken, docs["doc_id"].eqNullSafe(F.col("_id"))).drop("_id")
-    return out.drop("epoch", "take_tokens").withColumnsRenamed({"_epoch": "epoch", "_take": "take_tokens"})
+    key, epoch, take = (unused(docs, c) for c in ("_id", "_epoch", "_take"))
+    taken = taken.select(F.col("doc_id").alias(key), F.col("epoch").alias(epoch), F.col("take_tokens").alias(take))
+    out = docs.join(taken, docs["doc_id"].eqNullSafe(F.col(key))).drop(key, "epoch", "take_tokens")
+    return out.withColumnsRenamed({epoch: "epoch", take: "take_tokens"})
 
 
 # The tree that the registered query and the pipeline use.
