@@ -8,7 +8,8 @@ finds RECALL of their true neighbours is taken. Vectors with structure need a sm
 are ranked exactly, in double precision on the stored vectors.
 
 Equal vectors are one class with its k + 1 smallest ids, so a vector with very many copies takes one place in a leaf, and each query still finds the
-copies with the smallest ids. Classes are spread by leaf and part; a task keeps the best k per query before anything is shuffled.
+copies with the smallest ids. Classes and queries meet by blocks of leaves, cut into parts on both sides; a task keeps the best k per query
+before anything is shuffled.
 
 Defined results: vectors that are null, all zero, of another length than the first, or that hold null or non-finite values take no part; fewer
 than k candidates are all returned; ties go to the smaller id; rows that repeat an id count once; rows without id take no part.
@@ -24,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import columns
+from tallyloom.llm.grouping import small
 from tallyloom.runtime import stage
 
 TREES = 16
@@ -34,8 +36,12 @@ SHARES = (0.005, 0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.45, 0.6, 0.8, 1.0, 1.5, 2.5,
 # Sample vectors that calibrate the share, and the rows opened at least.
 PROBES = 80
 LEAST = 1_000
-# Rows of a leaf that meet in one task; larger leaves become several parts.
+# Rows of a block of leaves, and queries that open some of them, that meet in one task; more of either become several parts.
 PART = 20_000
+QUERIES = 2_000
+# Queries that search the trees in one task, and whose opened leaves it hands on at once.
+SEARCHED = 200
+YIELD = 50
 
 
 class Forest:
@@ -172,41 +178,53 @@ def nearest(vectors: DataFrame, queries: str, k: int = 10, id_col: str = "vec_id
     sizes = [np.zeros(f[3], np.int64) for f in forest.trees]
     for t, part in counted.groupby("tree"):
         sizes[t][part["leaf"].to_numpy()] = part["n"].to_numpy()
-    sized = spark.sparkContext.broadcast(sizes)
+    blocks = [np.cumsum(n) // PART for n in sizes]
+    sized = spark.sparkContext.broadcast((sizes, blocks))
+    asked = stage(rows.filter(queries).select(F.col("id").alias("q"), "v"))
 
     def open_leaves(batches):
+        sizes, blocks = sized.value
         for batch in batches:
-            out = []
-            for q, v in zip(batch["q"], batch["v"]):
-                opened = shared.value.search(np.asarray(v), sized.value, search)
-                out.append(pd.DataFrame({"q": q, "tree": [t for t, _ in opened], "leaf": [x for _, x in opened], "qv": [v] * len(opened)}))
-            if out:
-                yield pd.concat(out)
-
-    asked = rows.filter(queries).select(F.col("id").alias("q"), "v")
-    opened = asked.mapInPandas(open_leaves, "q long, tree int, leaf int, qv array<double>")
-    big = counted[counted["n"] > PART]
-    parts = F.lit(1)
-    for row in big.itertuples():
-        parts = F.when((F.col("tree") == row.tree) & (F.col("leaf") == row.leaf), int(-(-row.n // PART))).otherwise(parts)
-    stored = placed.join(classes, "cid").withColumn("part", F.pmod(F.xxhash64("cid"), parts).cast("int"))
-    opened = opened.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+            for at in range(0, len(batch), YIELD):
+                out = []
+                for q, v in zip(batch["q"].iloc[at:at + YIELD], batch["v"].iloc[at:at + YIELD]):
+                    opened: dict[tuple[int, int], list[int]] = {}
+                    for t, leaf in shared.value.search(np.asarray(v), sizes, search):
+                        opened.setdefault((t, int(blocks[t][leaf])), []).append(leaf)
+                    out += [(q, t, block, leaves) for (t, block), leaves in opened.items()]
+                yield pd.DataFrame(out, columns=["q", "tree", "block", "leaves"])
+
+    tasks = max(1, -(-asked.count() // SEARCHED))
+    opened = stage(asked.repartition(tasks, "q").mapInPandas(open_leaves, "q long, tree int, block int, leaves array<int>"))
+    # Neighbouring leaves share a block, so that a query's vector is sent once for all it opens there; both sides of a block are dealt over tasks.
+    of_leaf = spark.createDataFrame([(t, leaf, int(x)) for t, per in enumerate(blocks) for leaf, x in enumerate(per)], "tree int, leaf int, block int")
+    held = placed.join(F.broadcast(of_leaf), ["tree", "leaf"])
+    load = lambda df, name, most: df.groupBy("tree", "block").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias(name))
+    loads = small(stage(load(held, "parts", PART).join(load(opened, "turns", QUERIES), ["tree", "block"])))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    dealt = lambda key, n: F.pmod(F.xxhash64(key), F.col(n)).cast("int")
+    left = opened.join(loads, ["tree", "block"]).select("tree", "block", every("parts").alias("part"), dealt("q", "turns").alias("turn"), "q", "leaves")
+    left = left.join(small(asked, 8 * points.shape[1] + 16), "q")
+    right = held.join(loads, ["tree", "block"]).select("tree", "block", dealt("cid", "parts").alias("part"), every("turns").alias("turn"), "cid", "leaf").join(classes, "cid")
 
     def rank(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(left) and len(right):
-            x = np.stack(right["v"].to_numpy())
-            ids = right["ids"].tolist()
-            for q, v in zip(left["q"], left["qv"]):
-                d = np.sqrt(((x - np.asarray(v)) ** 2).sum(axis=1))
-                # The k + 1 nearest classes and all that tie with the last of them hold the k nearest rows of this leaf.
+            right = right.sort_values("leaf", kind="stable")
+            x, ids, leaf = np.stack(right["v"].to_numpy()), right["ids"].tolist(), right["leaf"].to_numpy()
+            for q, v, leaves in zip(left["q"], left["v"], left["leaves"]):
+                some = np.concatenate([np.arange(a, b) for a, b in zip(np.searchsorted(leaf, leaves), np.searchsorted(leaf, leaves, "right"))])
+                if not len(some):
+                    continue
+                d = np.sqrt(((x[some] - np.asarray(v)) ** 2).sum(axis=1))
+                # The k + 1 nearest classes and all that tie with the last of them hold the k nearest rows of this block.
                 edge = np.partition(d, k)[k] if len(d) > k + 1 else np.inf
                 for i in np.flatnonzero(d <= edge):
-                    out += [(q, c, float(d[i])) for c in ids[i] if c != q]
+                    out += [(q, c, float(d[i])) for c in ids[some[i]] if c != q]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    near = opened.groupBy("tree", "leaf", "part").cogroup(stored.select("tree", "leaf", "part", "v", "ids").groupBy("tree", "leaf", "part")).applyInPandas(
-        rank, "query_id long, vec_id long, score double")
+    at = ["tree", "block", "part", "turn"]
+    near = left.groupBy(*at).cogroup(right.select(*at, "leaf", "v", "ids").groupBy(*at)).applyInPandas(rank, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     best = near.dropDuplicates(["query_id", "vec_id"]).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
