@@ -28,7 +28,9 @@ def build_session(app: str = "tallyloom", master: str | None = None, **conf: str
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
 
 
 _SHIPPED: set[str] = set()
@@ -54,9 +56,14 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder named by the cluster; where none is set, one below the session's warehouse, which executors share as well."""
+    """Shared folder named by the cluster. Where none is set it is one below the warehouse, unless that is a local folder of a machine of a cluster."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    return root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
+    if root:
+        return root
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if not spark.sparkContext.master.startswith("local") and (":" not in warehouse or warehouse.startswith("file:")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{warehouse}/_stages"
 
 
 # Folders written by this process, per application, until they are dropped.
