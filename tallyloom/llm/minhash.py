@@ -14,7 +14,7 @@ A document's set holds its distinct word shingles; two documents are linked when
 4. Components by local union-find inside tasks and star contraction between them.
 
 Defined results: null, empty or blank texts have no shingles and link to nothing; rows without doc_id are returned unlinked with a
-null component and are kept; rows that share a doc_id are one document; extra columns are ignored.
+null component and are kept; rows that share a doc_id are one document; extra columns are ignored, or stay as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.blocks import blocks, mix, pairs_within, shingles
-from tallyloom.llm.common import columns
-from tallyloom.operators.graph import connected_components
+from tallyloom.llm.common import columns, unused
+from tallyloom.llm.grouping import components, small
 from tallyloom.runtime import stage
 
 ROWS = 5
@@ -39,8 +39,6 @@ ERRORS = 4.5
 PART = 1_000
 # Rows of the buckets that one call in a task handles together.
 BIN = 4_000
-# Ids that are broadcast to pick documents for verification (8 bytes each); more are joined by shuffle.
-BROADCAST_IDS = 1_000_000
 
 
 def signatures(offsets: np.ndarray, items: np.ndarray, m: int = SLOTS) -> np.ndarray:
@@ -106,11 +104,6 @@ def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return wanted.mapInPandas(run, "id long, items array<long>").dropDuplicates(["id"])
 
 
-def small(df: DataFrame) -> DataFrame:
-    """Broadcast, if a count shows that it is small enough."""
-    return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
-
-
 def verified(sets: DataFrame, pairs: DataFrame, similarity: int) -> DataFrame:
     """The pairs (u, v) of representatives whose full sets are similar enough. Few u for many v: only the sets of v are copied."""
     near = sets.select(F.col("id").alias("v"), F.col("items").alias("b")).join(small(pairs), "v")
@@ -120,11 +113,6 @@ def verified(sets: DataFrame, pairs: DataFrame, similarity: int) -> DataFrame:
     return both.filter(100 * F.col("n") >= similarity * (F.col("na") + F.col("nb") - F.col("n"))).select("u", "v")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(id, component) of every node that has an edge."""
-    return connected_components(edges.select(F.lit(0).alias("scope"), "u", "v")).select(F.col("node").alias("id"), "component")
-
-
 def _placed(members: DataFrame, grouped: DataFrame) -> DataFrame:
     """(key, id, c): the members of every bucket with their component so far."""
     return members.join(grouped, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
@@ -257,5 +245,6 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: int = 80) -> Da
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, similarity: int = 80) -> DataFrame:
     """The input rows, all columns untouched, without documents whose group has a smaller id."""
-    gone = near_duplicates(docs, width, similarity).filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    name = unused(docs, "_gone")
+    gone = near_duplicates(docs, width, similarity).filter("NOT kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, docs["doc_id"] == F.col(name), "left_anti")
