@@ -6,7 +6,8 @@ window with the words around it; only true hits leave the task. A blank word put
 so documents without hits come through the same pass.
 
 Defined results: null or wordless text has no words, no hits and is not contaminated; an empty benchmark hits nothing; items
-without words have no window; rows that repeat a doc_id count as one document in `judge` and are kept or dropped together.
+without words have no window; rows that repeat a doc_id count as one document in `judge` and are kept or dropped together; further columns stay as
+they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import columns, lower_ascii, sha256_of
+from tallyloom.llm.common import columns, lower_ascii, sha256_of, unused
 
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # Windows per broadcast block: about 30 MB. A larger benchmark is answered in several blocks.
@@ -80,18 +81,20 @@ def judge(docs: DataFrame, benchmark: DataFrame, n: int = 13, share: int = 20) -
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, n: int = 13, share: int = 20) -> DataFrame:
     """The rows whose document is not contaminated, all columns untouched."""
-    bad = judge(docs, benchmark, n, share).filter("contaminated").select(F.col("doc_id").alias("_bad"))
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_bad")), "left_anti")
+    name = unused(docs, "_bad")
+    bad = judge(docs, benchmark, n, share).filter("contaminated").select(F.col("doc_id").alias(name))
+    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col(name)), "left_anti")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = 13) -> DataFrame:
     """All rows; words inside a window occurrence are cut out of `text`, what stands between words stays."""
-    at = judge(docs, benchmark, n).filter("n_hit > 0").select(F.col("doc_id").alias("_id"), F.col("spans").alias("_spans"))
-    joined = docs.join(at, docs["doc_id"].eqNullSafe(F.col("_id")), "left")
+    key, spans, word, gap = (unused(docs, c) for c in ("_id", "_spans", "_w", "_g"))
+    at = judge(docs, benchmark, n).filter("n_hit > 0").select(F.col("doc_id").alias(key), F.col("spans").alias(spans))
+    joined = docs.join(at, docs["doc_id"].eqNullSafe(F.col(key)), "left")
     # Words before lower-casing, and what stands around them.
     words = F.array_remove(F.split(F.col("text"), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", -1), "")
-    joined = joined.withColumn("_w", F.when(F.col("_spans").isNotNull(), words)).withColumn(
-        "_g", F.when(F.col("_spans").isNotNull(), F.split(F.col("text"), r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", -1)))
-    kept = F.expr("""array_join(transform(_g, (g, i) -> concat(
-        g, if(i >= size(_w) OR exists(_spans, x -> i + 1 >= x.s AND i + 1 <= x.e), '', _w[i]))), '')""")
-    return joined.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(kept)).drop("_id", "_spans", "_w", "_g")
+    joined = joined.withColumn(word, F.when(F.col(spans).isNotNull(), words)).withColumn(
+        gap, F.when(F.col(spans).isNotNull(), F.split(F.col("text"), r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", -1)))
+    kept = F.expr(f"""array_join(transform({gap}, (g, i) -> concat(
+        g, if(i >= size({word}) OR exists({spans}, x -> i + 1 >= x.s AND i + 1 <= x.e), '', {word}[i]))), '')""")
+    return joined.withColumn("text", F.when(F.col(spans).isNull(), F.col("text")).otherwise(kept)).drop(key, spans, word, gap)
