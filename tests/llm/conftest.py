@@ -2,7 +2,8 @@ import pytest
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 # Names that the operators use inside; as columns of the input they must not interfere.
-CLASHES = ["id", "key", "uid", "u", "v", "c", "n", "s", "e", "pos", "items", "spans", "bands", "component", "leaf", "rank", "epoch", "tokens", "marks", "w"]
+CLASHES = ["id", "key", "uid", "u", "v", "c", "n", "s", "e", "pos", "items", "spans", "bands", "component", "leaf", "rank", "epoch", "tokens", "marks", "w",
+           "_id", "_bad", "_gone", "_kept", "_rejected", "_severity", "_grade", "_spans", "_judged", "_w", "_g", "_epoch", "_take", "take_tokens"]
 
 
 @pytest.fixture(scope="session")

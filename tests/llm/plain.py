@@ -53,17 +53,23 @@ def edits(a, b):
     return row[-1]
 
 
-def repeated_lines(rows, tau=2, least=32):
-    """doc_id -> numbers of the lines that go."""
+def tolerance(length):
+    """Edits allowed to a pair of lines by the length of the shorter one."""
+    return 2 if length >= 48 else 1 if length >= 32 else 0
+
+
+def repeated_lines(rows):
+    """doc_id -> numbers of the lines that go: equal lines of any length but 0, and near ones by their tolerance."""
     seen = defaultdict(list)
     for d, t in rows:
         for i, line in enumerate(t.split("\n") if t is not None else []):
-            if len(line) >= least and d is not None:
+            if line and d is not None:
                 seen[line].append((d, i))
     lines = sorted(seen, key=len)
     links = []
     for i, a in enumerate(lines):
-        for b in lines[i + 1:]:
+        tau = tolerance(len(a))
+        for b in lines[i + 1:] if tau else ():
             if len(b) - len(a) > tau:
                 break
             if sum(abs(a.count(x) - b.count(x)) for x in set(a + b)) <= 2 * tau and edits(a, b) <= tau:
@@ -77,15 +83,6 @@ def repeated_lines(rows, tau=2, least=32):
     return gone
 
 
-def repeated_lines_of_any_length(rows, tau=2, least=32):
-    """doc_id -> numbers of the lines that go: near copies from `least` code points on, equal ones below; empty lines stay."""
-    gone, seen = repeated_lines(rows, tau, least), {}
-    for d, i, line in sorted((d, i, x) for d, t in rows if d is not None and t is not None for i, x in enumerate(t.split("\n")) if 0 < len(x) < least):
-        if seen.setdefault(line, (d, i)) != (d, i):
-            gone[d].add(i)
-    return gone
-
-
 def _members(named):
     out = defaultdict(list)
     for x, r in named.items():

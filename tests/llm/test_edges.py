@@ -6,7 +6,7 @@ import numpy as np
 import plain
 import pytest
 
-from tallyloom.llm import ann, decontaminate, langid, linededup, minhash, mixing, secrets, substrings, toxicity, urlfilter
+from tallyloom.llm import ann, decontaminate, grouping, jaccard, langid, linededup, minhash, mixing, ranked, resample, secrets, substrings, toxicity, urlfilter
 from tallyloom.llm.common import DOCUMENT
 from tallyloom.llm.suffixarray import shares_prefix, suffix_array
 
@@ -190,13 +190,27 @@ def test_edit_band_against_plain():
         right.append("".join(b))
     for tau in (0, 1, 2, 3):
         assert linededup.within(left, right, tau).tolist() == [plain.edits(a, b) <= tau for a, b in zip(left, right)]
+    each = rng.integers(0, 4, len(left))
+    assert linededup.within(left, right, each).tolist() == [plain.edits(a, b) <= t for a, b, t in zip(left, right, each)]
+    assert linededup.within([], [], 2).tolist() == []
+
+
+def test_tolerance_grows_with_length(spark, documents):
+    assert linededup.edits_allowed(np.array([0, 31, 32, 47, 48, 500])).tolist() == [0, 0, 1, 1, 2, 2] == [plain.tolerance(n) for n in (0, 31, 32, 47, 48, 500)]
+    one, two = words(60, 5), words(61, 7)
+    rows = [(1, one), (2, "#" + one), (3, "##" + one), (4, two), (5, "#" + two + "#"), (6, two[:-9] + "###" + two[-9:]), (7, "z" * 31), (8, "y" + "z" * 31), (9, "z" * 33)]
+    got = {r["doc_id"]: r["removed"] for r in linededup.removed_lines(documents(rows)).collect()}
+    # Line 3 is one edit from line 2, line 9 one from no line of 32 code points but line 8's.
+    assert {d for d, x in got.items() if x} == set(plain.repeated_lines(rows)) == {2, 3, 5, 6 if plain.edits(rows[4][1], rows[5][1]) <= 2 else 5}
+    none = {r["doc_id"]: r["removed"] for r in linededup.removed_lines(documents(rows), ((1_000, 1),)).collect()}
+    assert not any(none.values())
 
 
 @pytest.mark.parametrize("part", [1_000, 5])
 def test_lines_against_plain(spark, documents, monkeypatch, part):
     monkeypatch.setattr(linededup, "PART", part)
     rng = np.random.default_rng(4)
-    base = [words(40 + i, 6) for i in range(8)] + ["é" * 33, "a" * 32, "a" * 31]
+    base = [words(40 + i, 5 + i % 3) for i in range(9)] + ["é" * 33, "a" * 32, "a" * 31, "ü" * 47, "o" * 48, "e" * 50]
     rows = []
     for i in range(60):
         lines = []
@@ -221,7 +235,7 @@ def test_short_lines_go_when_equal(spark, documents):
     notice = "Released under the MIT License."
     rows = [(1, f"{notice}\n\nYes."), (2, f"Yes.\n{notice}\n\nNo.\nYes."), (3, f"{notice[:-1]}!\nYes!\nab"), (4, "ab"), (5, "a" * 32), (6, "a" * 31), (7, "a" * 33), (8, "a" * 31),
             (9, "\n" + "b" * 40), (10, None), (11, ""), (None, "Yes."), (12, "ab\n\nnew"), (12, "ab\n\nnew")]
-    want = plain.repeated_lines_of_any_length(rows)
+    want = plain.repeated_lines(rows)
     df = documents(rows, clash=True)
     got = {r["doc_id"]: set(r["removed"]) for r in linededup.removed_lines(df).collect()}
     assert got == {d: want.get(d, set()) for d, _ in rows if d is not None}
@@ -233,7 +247,8 @@ def test_short_lines_go_when_equal(spark, documents):
 def test_lines_edges(spark, documents, edge_rows):
     df = documents(edge_rows, clash=True)
     kept = linededup.drop_repeated_lines(df)
-    assert kept.columns == df.columns and sorted(map(str, (r["doc_id"] for r in kept.collect()))) == sorted(str(d) for d, *_ in edge_rows)
+    # The document 8 holds nothing but a line of document 4.
+    assert kept.columns == df.columns and sorted(map(str, (r["doc_id"] for r in kept.collect()))) == sorted(str(d) for d, *_ in edge_rows if d != 8)
     assert linededup.removed_lines(df.limit(0)).count() == 0
     counts = {r["doc_id"]: r["n_lines"] for r in linededup.removed_lines(df).collect()}
     assert counts[1] == 0 and counts[2] == 1 and counts[9] == 4
@@ -309,7 +324,7 @@ def test_mixing_edges(spark, documents, edge_rows):
     again = mixing.select(df.repartition(7), levels, {}, F.expr("total * 3 div 2"), 3).collect()
     assert sorted(map(str, got)) == sorted(map(str, again))
     out = mixing.mixed(df, levels, {}, F.expr("total div 2"))
-    assert out.columns == [c for c in df.columns if c != "epoch"] + ["epoch", "take_tokens"]
+    assert out.columns == [c for c in df.columns if c not in ("epoch", "take_tokens")] + ["epoch", "take_tokens"]
     assert mixing.select(df.limit(0), levels, {}, F.expr("total"), 2).count() == 0
 
 
@@ -325,16 +340,62 @@ def test_toxicity(spark, documents, edge_rows):
         labels.append((i, 1, int(bad)))
     marks = spark.createDataFrame([*labels, (None, 1, 1), (0, 0, 0), (7, 1, None)], "doc_id long, quality int, toxic int").selectExpr("*", "5 AS text", "6 AS x")
     model = toxicity.fit(toxicity.sample(documents(rows), marks))
-    assert (np.diff(model[1]) > 0).all()
+    assert (np.diff(model.thresholds) > 0).all() and 0 < model.limit < 1
     more = documents([(1000, "so VILE, rotten and awful"), (1001, words(9, 30)), (1002, "vile " + words(10, 400)), *[(2000 + (d or 0), t) for d, t in edge_rows]], clash=True)
-    got = {r["doc_id"]: r for r in toxicity.score(more, model).collect()}
+    got = {r["doc_id"]: r for r in toxicity.score(more.drop(*toxicity.NAMES), model).collect()}
+    assert {r["doc_id"]: r["b"] for r in toxicity.score(more, model, ("a", "b", "d")).collect()} == {d: r["_grade"] for d, r in got.items()}
     assert got[1000]["_rejected"] and got[1002]["_rejected"] and not got[1001]["_rejected"] and not got[2001]["_rejected"]
     assert got[1000]["_severity"] > got[1002]["_severity"] > got[1001]["_severity"] and 0 <= got[1000]["_severity"] <= 3
     kept = toxicity.drop_toxic(more, marks)
-    assert kept.columns == more.columns
+    assert kept.columns == more.columns and {r["_rejected"] for r in kept.collect()} == {7}
     blank = toxicity.fit(toxicity.sample(documents(rows).limit(0), marks.limit(0)))
-    assert {(r["_severity"], r["_grade"], r["_rejected"]) for r in toxicity.score(more, blank).collect()} == {(0.0, 0, False)}
-    assert toxicity.score(more.limit(0), model).count() == 0
+    assert {(r["_severity"], r["_grade"], r["_rejected"]) for r in toxicity.score(more.drop(*toxicity.NAMES), blank).collect()} == {(0.0, 0, False)}
+    assert toxicity.score(more.limit(0), model, ("a", "b", "d")).count() == 0
+
+
+def test_ordinal_likelihood_and_gradient():
+    rng = np.random.default_rng(11)
+    n, m = 60, 7
+    x = rng.random((n, m)) < 0.3
+    y = rng.integers(0, toxicity.GRADES, n)
+    owner, feature = np.nonzero(x)
+    theta = np.concatenate((rng.normal(size=m), [-0.5], rng.normal(size=toxicity.GRADES - 2) / 3))
+
+    def plainly(theta):
+        """The likelihood row by row."""
+        t = [theta[m]]
+        for gap in theta[m + 1:]:
+            t.append(t[-1] + np.exp(gap))
+        total = 0.0
+        for row, grade in zip(x, y):
+            s = sum(theta[:m][row])
+            below = [0.0] + [1 / (1 + np.exp(s - a)) for a in t] + [1.0]
+            total -= np.log(below[grade + 1] - below[grade])
+        return total + 0.7 / 2 * (theta[:m] ** 2).sum() + 1e-3 / 2 * (theta[m:] ** 2).sum()
+
+    value, slope = toxicity.loss(theta, owner, feature, y, m, 0.7)
+    assert abs(value - plainly(theta)) < 1e-9
+    for i in range(len(theta)):
+        step = np.zeros_like(theta)
+        step[i] = 1e-6
+        assert abs((plainly(theta + step) - plainly(theta - step)) / 2e-6 - slope[i]) < 1e-4
+    best = toxicity.lowest(lambda a: toxicity.loss(a, owner, feature, y, m, 0.7), theta)
+    assert np.abs(toxicity.loss(best, owner, feature, y, m, 0.7)[1]).max() < 1e-2
+
+
+def test_features_by_share_of_words():
+    (_, cuts, found), = toxicity.bags(["worthless worthlessly " + "pad " * 50, "worthless worthlessly", "worthless " + "pad " * 300, ""])
+    sets = [set(found[a:b].tolist()) for a, b in zip(cuts[:-1], cuts[1:])]
+    # Two words and their stem; the stem at 1, 2 and 4 per cent; a single word of a stem is no share.
+    assert [len(s) for s in sets] == [3 + 1 + 2, 2 + 1 + 3, 1 + 1 + 1, 0] and len(sets[0] & sets[1]) == 2 + 1 + 2
+
+
+def test_rejection_limit():
+    chance = np.array([0.9, 0.8, 0.8, 0.4, 0.3, 0.1] + [0.01] * 94)
+    toxic = np.array([1, 1, 1, 1, 0, 0] + [0] * 94)
+    assert 0.3 < toxicity.best_limit(chance, toxic) < 0.4
+    toxic[4] = 1
+    assert 0.1 < toxicity.best_limit(chance, toxic) < 0.3
 
 
 # Secrets

@@ -16,9 +16,8 @@ FOLDER = "/root/testdata/sf0.001"
 
 
 def plain_rejects(text, model):
-    weights, thresholds = model
-    (_, found), = toxicity.bags([text])
-    return 1 / (1 + np.exp(-(thresholds[0] - sum(weights[b] for b in found[0])))) < 0.5
+    (_, _, found), = toxicity.bags([text])
+    return 1 - 1 / (1 + np.exp(-(model.thresholds[0] - sum(model.weights[b] for b in found)))) >= model.limit
 
 
 def plain_mix(rows):
@@ -71,6 +70,14 @@ def test_pipeline_against_plain(spark):
     assert all(r["text"] == texts[r["doc_id"]] and r["n_chars"] == len(r["text"]) for r in got)
 
 
+def test_stages_with_clashing_columns(spark, documents, edge_rows):
+    """Further columns, whatever their names, neither break a stage nor change what it keeps."""
+    for _, stage in corpus_pipeline.STAGES:
+        clean, clash = (stage(spark, documents(edge_rows, clash=c), FOLDER) for c in (False, True))
+        assert clash.columns == clean.columns
+        assert sorted(map(str, clash.collect())) == sorted(map(str, clean.collect()))
+
+
 def test_stages_keep_the_columns_and_survive_edges(spark, documents, edge_rows):
     docs = documents(edge_rows)
     before = docs.count()

@@ -22,7 +22,7 @@ def test_oracle(spark, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_op1_recall_and_scores(spark):
@@ -51,17 +51,10 @@ def test_op4_whole_table(spark):
 
 
 def test_op5_whole_table(spark):
-    want = plain.repeated_lines(rows_of("documents", "doc_id", "text"))
-    got = {r["doc_id"]: r["removed_lines"] for r in QUERIES["op5_line_dedup"](spark, FOLDER).collect()}
-    assert got == {d: ",".join(map(str, sorted(want.get(d, ())))) for d, in rows_of("documents", "doc_id")} and want
-
-
-def test_op5_short_lines_whole_table(spark):
     rows = rows_of("documents", "doc_id", "text")
-    want = plain.repeated_lines_of_any_length(rows)
+    want = plain.repeated_lines(rows)
     got = {r["doc_id"]: r["removed_lines"] for r in QUERIES["op5_line_dedup"](spark, FOLDER).collect()}
-    assert got == {d: ",".join(map(str, sorted(want.get(d, ())))) for d, _ in rows}
-    assert sum(map(len, want.values())) > sum(map(len, plain.repeated_lines(rows).values()))
+    assert got == {d: ",".join(map(str, sorted(want.get(d, ())))) for d, _ in rows} and want
 
 
 def test_op6_held_out_accuracy(spark):
@@ -73,11 +66,27 @@ def test_op6_held_out_accuracy(spark):
     assert len(held) > 100 and np.mean([r["lang_pred"] == lang[r["doc_id"]] for r in held]) > 0.97
 
 
-def test_op9_agrees_with_labels(spark):
-    folder = "/root/testdata/sf0.01"
-    toxic = dict(duckdb.connect().execute(f"SELECT doc_id, toxic FROM '{folder}/labels.parquet'").fetchall())
-    rows = [r for r in QUERIES["op9_toxicity"](spark, folder).collect() if r["doc_id"] in toxic]
-    assert np.mean([r["rejected"] == bool(toxic[r["doc_id"]]) for r in rows]) > 0.98
+def test_op9_on_unseen_labels(spark):
+    """Fitted on one half of the labels, judged on the other, by turns."""
+    from pyspark.sql import functions as F
+
+    from tallyloom.llm import toxicity
+    read = lambda name: spark.read.parquet(f"/root/testdata/sf0.1/{name}.parquet")
+    labels = read("labels").filter("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    half = F.pmod(F.xxhash64("doc_id", F.lit(77)), F.lit(2))
+    caught, toxic, left, clean, by = 0, 0, 0, 0, {}
+    for side in (0, 1):
+        model = toxicity.fit(toxicity.sample(read("documents"), labels.filter(half == side)))
+        unseen = read("documents").join(labels.filter(half != side), "doc_id").select("text", "lang", "toxic")
+        for r in toxicity.score(unseen, model).select("lang", "toxic", "_rejected").collect():
+            if r["toxic"]:
+                toxic, caught = toxic + 1, caught + r["_rejected"]
+                n, k = by.get(r["lang"], (0, 0))
+                by[r["lang"]] = (n + 1, k + r["_rejected"])
+            else:
+                clean, left = clean + 1, left + (not r["_rejected"])
+    assert caught >= 0.85 * toxic and left >= 0.99 * clean, (caught, toxic, left, clean)
+    assert all(k >= 0.75 * n for n, k in by.values()), by
 
 
 def test_op10_base_spans(spark):
