@@ -177,6 +177,21 @@ def completed(t):
     return stage(chained_equations(gappy_customers(t), "c_custkey", GAPPY, m=5, iterations=30))
 
 
+def pooled(sets, y: str, x: str):
+    """Pooled slope of y on x over the completed sets (imputation, ...): one grouped aggregate fits them all."""
+    from tallyloom.operators import linear
+    s = sets.groupBy("imputation").agg(
+        F.regr_slope(y, x).alias("estimate"), F.count(F.lit(1)).alias("n"), F.regr_sxx(y, x).alias("sxx"),
+        (F.regr_syy(y, x) - F.pow(F.regr_sxy(y, x), F.lit(2)) / F.regr_sxx(y, x)).alias("rss"))
+    return linear.pool(s.select("imputation", F.lit(x).alias("term"), "estimate", F.sqrt(F.col("rss") / (F.col("n") - 2) / F.col("sxx")).alias("std_error")))
+
+
+@query("M33 F09")
+def pooled_imputed_fits(t):
+    """The five completed sets of chained imputation, each fitted and pooled: price of the dearest order on the mean price."""
+    return pooled(completed(t), "max_price", "avg_price")
+
+
 @query("F09")
 def chained_imputation(t):
     """Means of the imputed columns in each of five completed data sets."""

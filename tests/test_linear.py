@@ -146,3 +146,27 @@ def test_tail_probabilities():
     assert math.isclose(dist.chi2_tail(18.307038, 10), 0.05, abs_tol=1e-6)
     assert math.isclose(dist.f_tail(4.964603, 1, 10), 0.05, abs_tol=1e-6)
     assert math.isclose(dist.normal_two_sided(1.959964), 0.05, abs_tol=1e-6)
+
+
+def test_pooling_of_imputed_sets(spark):
+    """Rubin's rules over the sets that chained imputation gives, each fitted by NumPy."""
+    from tallyloom.operators.impute import chained_equations
+    from tallyloom.plans.features import pooled
+    from tallyloom.runtime import stage
+    rng = np.random.default_rng(31)
+    x = rng.normal(size=120)
+    y = 2 * x + rng.normal(size=120)
+    rows = [(i, None if i % 5 == 0 else float(a), None if i % 7 == 1 else float(b)) for i, (a, b) in enumerate(zip(x, y))]
+    sets = stage(chained_equations(spark.createDataFrame(rows, "id long, x double, y double"), "id", ["x", "y"], m=3, iterations=2))
+    slopes, variances = [], []
+    for _, part in sets.toPandas().groupby("imputation"):
+        a, b = part["x"].to_numpy(), part["y"].to_numpy()
+        sxx = ((a - a.mean()) ** 2).sum()
+        slope = ((a - a.mean()) * (b - b.mean())).sum() / sxx
+        e = b - b.mean() - slope * (a - a.mean())
+        slopes.append(slope)
+        variances.append((e @ e) / (len(a) - 2) / sxx)
+    got = pooled(sets, "y", "x").first()
+    between = np.var(slopes, ddof=1)
+    assert got["m"] == 3 and between > 0 and np.isclose(got["estimate"], np.mean(slopes)) and np.isclose(got["between"], between)
+    assert np.isclose(got["std_error"], math.sqrt(np.mean(variances) + (1 + 1 / 3) * between))
