@@ -29,6 +29,11 @@ def fits(columns: int, radii: list[float], farthest: float | None) -> bool:
     return 1 <= columns <= MAX_DIMENSIONS and min(radii) > 0 and farthest is not None and farthest * sqrt(columns) / min(radii) < FARTHEST
 
 
+def _wide(df: DataFrame) -> DataFrame:
+    """A side with rows for every radius or setting: its file is far smaller than its rows in memory, so it must not be broadcast by its size on disk."""
+    return df.hint("merge")
+
+
 def _offsets(d: int) -> list[tuple[int, ...]]:
     """Cells, relative to one, that come within the radius of it; the cell itself is the first."""
     reach = int(sqrt(d)) + 1
@@ -72,12 +77,12 @@ def density_labels(vectors: DataFrame, d: int, settings: list[tuple[float, int]]
     thin = F.col("total") < F.element_at(most, F.col("e") + 1)
     parts = F.ceil(F.col("rows") / PART).cast("int").alias("parts")
     links = cells.filter(thin).select("e", "cell", F.explode(_around("cell", offsets)).alias("next"))
-    links = stage(links.join(cells.select("e", F.col("cell").alias("next"), parts), ["e", "next"]))
-    asked = rows.filter(thin).drop("parts", "part").join(links, ["e", "cell"]).select("e", "eps", "key", *xs, "next", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"))
+    links = stage(links.join(_wide(cells.select("e", F.col("cell").alias("next"), parts)), ["e", "next"]))
+    asked = rows.filter(thin).drop("parts", "part").join(_wide(links), ["e", "cell"]).select("e", "eps", "key", *xs, "next", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"))
     held = rows.select("e", F.col("cell").alias("next"), "part", F.col("n").alias("m"), *[F.col(x).alias(f"y{x}") for x in xs])
     apart = _distance([F.col(x) for x in xs], [F.col(f"y{x}") for x in xs])
-    near = asked.join(held, ["e", "next", "part"]).filter(apart <= F.col("eps")).groupBy("e", "key").agg(F.sum("m").alias("near"))
-    counted = stage(rows.join(near, ["e", "key"], "left").withColumn("near", F.when(thin, F.coalesce("near", F.lit(0))).otherwise(F.col("total"))).drop("total", "n"))
+    near = asked.join(_wide(held), ["e", "next", "part"]).filter(apart <= F.col("eps")).groupBy("e", "key").agg(F.sum("m").alias("near"))
+    counted = stage(rows.join(_wide(near), ["e", "key"], "left").withColumn("near", F.when(thin, F.coalesce("near", F.lit(0))).otherwise(F.col("total"))).drop("total", "n"))
 
     # From here on everything carries the number of its setting, in the place of its radius.
     names = F.broadcast(spark.createDataFrame([(i, radii.index(e), m) for i, (e, m) in enumerate(settings)], "setting int, e int, least int"))
@@ -92,7 +97,7 @@ def density_labels(vectors: DataFrame, d: int, settings: list[tuple[float, int]]
                        parts)
     halves = offsets[1:][: (len(offsets) - 1) // 2]
     pairs = groups.select("setting", "eps", "cell", F.col("node").alias("u"), "low", "high", "ends", F.explode(_around("cell", halves)).alias("next"))
-    pairs = pairs.join(to, ["setting", "next"])
+    pairs = pairs.join(_wide(to), ["setting", "next"])
     gap = _distance([F.greatest(F.col("vlow")[j] - F.col("high")[j], F.col("low")[j] - F.col("vhigh")[j], F.lit(0.0)) for j in range(d)], [F.lit(0.0)] * d)
     # Two cells are linked if two of their outermost rows are neighbours; where not, and only between clusters so far, all rows are asked.
     close = F.exists("ends", lambda a: F.exists("vends", lambda b: _distance([a[x] for x in xs], [b[x] for x in xs]) <= F.col("eps")))
@@ -101,25 +106,25 @@ def density_labels(vectors: DataFrame, d: int, settings: list[tuple[float, int]]
     found = stage(connected_components(sure))
     for end in ("u", "v"):
         named = found.select(F.col("scope").alias("setting"), F.col("node").alias(end), F.col("component").alias(f"{end}c"))
-        pairs = pairs.join(named, ["setting", end], "left")
+        pairs = pairs.join(_wide(named), ["setting", end], "left")
     open_pairs = stage(pairs.filter(~F.col("close") & (F.coalesce("uc", "u") != F.coalesce("vc", "v"))))
     if open_pairs.limit(1).count():
-        mine = core.select("setting", "cell", *xs).join(open_pairs.drop("low", "high"), ["setting", "cell"])
+        mine = core.select("setting", "cell", *xs).join(_wide(open_pairs.drop("low", "high")), ["setting", "cell"])
         mine = mine.filter(_to_box([F.col(x) for x in xs], [F.col("vlow")[j] for j in range(d)], [F.col("vhigh")[j] for j in range(d)]) <= F.col("eps"))
         mine = mine.select("setting", "eps", "u", "v", "next", *xs, F.explode(F.expr("sequence(0, parts - 1)")).alias("part"))
         theirs = core.select("setting", F.col("cell").alias("next"), "part", *[F.col(x).alias(f"y{x}") for x in xs])
-        more = mine.join(theirs, ["setting", "next", "part"]).filter(apart <= F.col("eps")).select(F.col("setting").alias("scope"), "u", "v").distinct()
+        more = mine.join(_wide(theirs), ["setting", "next", "part"]).filter(apart <= F.col("eps")).select(F.col("setting").alias("scope"), "u", "v").distinct()
         found = stage(connected_components(sure.unionByName(stage(more))))
     found = found.select(F.col("scope").alias("setting"), "node", "component")
-    groups = stage(groups.join(found, ["setting", "node"], "left").withColumn("component", F.coalesce("component", "node")))
+    groups = stage(groups.join(_wide(found), ["setting", "node"], "left").withColumn("component", F.coalesce("component", "node")))
     inner = hot_split_join(core.select("setting", "cell", F.col("key").alias("node")), groups.select("setting", "cell", "component", "rows"), ["setting", "cell"], "rows")
 
     # Border rows: the smallest cluster with a core row around them.
     to = groups.select("setting", F.col("cell").alias("next"), "component", "low", "high", parts)
-    edge = rest.select("setting", "cell").distinct().select("setting", "cell", F.explode(_around("cell", offsets)).alias("next")).join(to, ["setting", "next"])
-    edge = rest.select("setting", "eps", "key", "cell", *xs).join(edge, ["setting", "cell"])
+    edge = rest.select("setting", "cell").distinct().select("setting", "cell", F.explode(_around("cell", offsets)).alias("next")).join(_wide(to), ["setting", "next"])
+    edge = rest.select("setting", "eps", "key", "cell", *xs).join(_wide(edge), ["setting", "cell"])
     edge = edge.filter(_to_box([F.col(x) for x in xs], [F.col("low")[j] for j in range(d)], [F.col("high")[j] for j in range(d)]) <= F.col("eps"))
     edge = edge.select("setting", "eps", "key", "component", "next", *xs, F.explode(F.expr("sequence(0, parts - 1)")).alias("part"))
     theirs = core.select("setting", F.col("cell").alias("next"), "part", *[F.col(x).alias(f"y{x}") for x in xs])
-    border = edge.join(theirs, ["setting", "next", "part"]).filter(apart <= F.col("eps")).groupBy("setting", F.col("key").alias("node")).agg(F.min("component").alias("component"))
+    border = edge.join(_wide(theirs), ["setting", "next", "part"]).filter(apart <= F.col("eps")).groupBy("setting", F.col("key").alias("node")).agg(F.min("component").alias("component"))
     return inner.select("setting", "node", "component").unionByName(border)
