@@ -174,10 +174,12 @@ def phrase_mentions(t):
     GROUP BY lang""")
 def distinct_token_lists(t):
     """Distinct token lists and distinct words per language (texts without words count in neither)."""
-    caps = docs(t).select("lang", X.clean_tokens("text", lower=False).alias("x")).filter(F.size("x") > 0)
-    lists = caps.groupBy("lang").agg(F.count_distinct(F.md5(F.array_join("x", " "))).alias("token_lists"))
-    words = O.unfold(caps, ["lang"], "x", "w").groupBy("lang").agg(F.count_distinct("w").alias("words"))
-    return lists.join(words, on="lang")
+    caps = docs(t).filter("lang IS NOT NULL").select("lang", X.clean_tokens("text", lower=False).alias("x"))
+    # Tokens are made once, so nothing is filtered by them: a text gives its words and the digest of its list (null without words), which no word of letters equals.
+    digest = F.when(F.size("x") > 0, F.concat(F.lit("#"), F.md5(F.array_join("x", " "))))
+    items = O.unfold(caps, ["lang"], F.concat(F.array_distinct("x"), F.array(digest)), "item").groupBy("lang", "item").agg(F.first(F.lit(1)).alias("_one"))
+    is_list = F.col("item").startswith("#")
+    return items.groupBy("lang").agg(F.count_if(is_list).alias("token_lists"), F.count_if(~is_list).alias("words"))
 
 
 _BASE = rf"""
