@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -62,10 +63,12 @@ def helpfulness_scores(t):
     labelled = t.labels.select("doc_id", F.col("quality").cast("double").alias("label"))
     docs = X.with_ngrams(spread(t.documents, "doc_id"), "text", "grams", stemmed=True).select(
         "doc_id", "grams", F.col("n_chars").cast("double").alias("n_chars"))
-    docs = stage(docs.join(labelled, on="doc_id", how="left"))
+    # Hashed once: the fits and scores below read the counted terms, not the n-grams.
+    weigh = K.text_pipeline(["grams"], ["n_chars"], min_df=5).getStages()
+    docs = stage(weigh[0].transform(docs).drop("grams").join(labelled, on="doc_id", how="left"))
     parts = hash_split(docs.filter("label IS NOT NULL"), "doc_id", {"train": 0.7, "test": 0.3}, "help")
     train, test = downsample_class(parts.filter("split = 'train'"), "label", 1.0, "doc_id", 0.6, "thin"), parts.filter("split = 'test'")
-    prep = K.text_pipeline(["grams"], ["n_chars"], min_df=5).fit(train)
+    prep = Pipeline(stages=weigh[1:]).fit(train)
     model = K.logistic().fit(prep.transform(train))
     prob = vector_to_array("probability")[1].alias("score")
     auc = E.auc_rank(model.transform(prep.transform(test)).select("label", prob), "label", "score").first()["auc"]
