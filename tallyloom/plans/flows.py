@@ -62,7 +62,7 @@ def helpfulness_scores(t):
     """Split, thin the larger class of the training part, weigh terms, fit, report AUC on untouched rows, and score the unlabelled documents."""
     labelled = t.labels.select("doc_id", F.col("quality").cast("double").alias("label"))
     docs = X.with_ngrams(spread(t.documents, "doc_id"), "text", "grams", stemmed=True).select(
-        "doc_id", "grams", F.col("n_chars").cast("double").alias("n_chars"))
+        "doc_id", F.coalesce("grams", F.array().cast("array<string>")).alias("grams"), F.col("n_chars").cast("double").alias("n_chars"))
     # Hashed once: the fits and scores below read the counted terms, not the n-grams.
     weigh = K.text_pipeline(["grams"], ["n_chars"], min_df=5).getStages()
     docs = stage(weigh[0].transform(docs).drop("grams").join(labelled, on="doc_id", how="left"))
