@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions import text as X
@@ -150,18 +150,44 @@ def tfidf(df: DataFrame, row_id: str, tokens: str, min_df: int = 10) -> DataFram
     return joined.select(row_id, "term", "tf", (F.col("tf") * F.col("idf")).alias("weight"))
 
 
+# Hash buckets in which `top_vocabulary` counts all terms before it looks at any of them.
+TERM_BUCKETS = 1 << 18
+
+
+def top_vocabulary(df: DataFrame, row_id: str, tokens: str, min_df: int, max_terms: int) -> DataFrame:
+    """(term, df, corpus_tf) of the `max_terms` most frequent terms of at least `min_df` documents, ties to the smaller term.
+
+    Only terms that can be among them are counted by document, which is what would shuffle every term of every row. All occurrences are counted in hash
+    buckets first, and no term occurs more often than its bucket. The terms of the fullest buckets tell how often one of the `max_terms` has to occur; where
+    buckets that were left out reach that, a second count takes them in.
+    """
+    rows = token_rows(df, [row_id], tokens).withColumn("_b", F.pmod(F.xxhash64("term"), F.lit(TERM_BUCKETS)))
+    buckets = stage(rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")))  # at most TERM_BUCKETS rows
+    least = buckets.orderBy(F.desc("_n")).limit(4 * max_terms).agg(F.min("_n")).first()[0] or 0
+    while True:
+        # A term of min_df documents occurs that often at least.
+        least = max(least, min_df, 1)
+        tf = rows.join(F.broadcast(buckets.filter(F.col("_n") >= least).select("_b")), "_b", "left_semi").groupBy(row_id, "term").agg(F.count(F.lit(1)).alias("tf"))
+        found = stage(document_frequencies(tf).filter(F.col("df") >= min_df).orderBy(F.desc("corpus_tf"), "term").limit(max_terms))
+        n, reached = found.agg(F.count(F.lit(1)), F.min("corpus_tf")).first()
+        reached = reached if n == max_terms else 0
+        if reached >= least or least <= max(min_df, 1):
+            return found
+        least = reached
+
+
 def tfidf_top_terms(df: DataFrame, row_id: str, tokens: str, min_df: int = 15, max_terms: int = 1000) -> DataFrame:
     """(row_id, term, weight): smoothed idf + 1, rows of unit length, vocabulary = the most frequent terms.
 
-    The vocabulary is a top-k of stated size, which is what bounds the broadcast.
+    The vocabulary is a top-k of stated size, which is what bounds the broadcast; its terms are shuffled as numbers.
     """
-    tf = stage(term_frequencies(df, row_id, tokens))
     n = df.count()
-    vocabulary = document_frequencies(tf).filter(F.col("df") >= min_df).orderBy(F.desc("corpus_tf"), "term").limit(max_terms)
     idf = F.ln((F.lit(n) + 1.0) / (F.col("df") + 1.0)) + 1.0
-    raw = tf.join(F.broadcast(vocabulary.select("term", idf.alias("idf"))), on="term").select(
-        row_id, "term", (F.col("tf") * F.col("idf")).alias("_w"))
+    numbered = F.row_number().over(Window.orderBy("term")).alias("_no")  # max_terms rows
+    vocabulary = stage(top_vocabulary(df, row_id, tokens, min_df, max_terms).select("term", idf.alias("idf"), numbered))
+    hits = token_rows(df, [row_id], tokens).join(F.broadcast(vocabulary.select("term", "_no")), on="term").groupBy(row_id, "_no").agg(F.count(F.lit(1)).alias("tf"))
+    raw = hits.join(F.broadcast(vocabulary.select("_no", "idf")), on="_no").select(row_id, "_no", (F.col("tf") * F.col("idf")).alias("_w"))
     # A document has at most max_terms terms here, so it is one bounded row.
-    rows = raw.groupBy(row_id).agg(F.collect_list(F.struct("term", "_w")).alias("_t"), F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_len"))
-    return rows.select(row_id, F.explode("_t").alias("t"), "_len").select(
-        row_id, "t.term", (F.col("t._w") / F.col("_len")).alias("weight"))
+    rows = raw.groupBy(row_id).agg(F.collect_list(F.struct("_no", "_w")).alias("_t"), F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_len"))
+    flat = rows.select(row_id, F.explode("_t").alias("t"), "_len").select(row_id, "t._no", (F.col("t._w") / F.col("_len")).alias("weight"))
+    return flat.join(F.broadcast(vocabulary.select("_no", "term")), on="_no").select(row_id, "term", "weight")

@@ -296,5 +296,6 @@ def tfidf_tidy(t):
     w AS (SELECT doc_id, term, tf * idf AS w FROM tf JOIN v USING (term))
     SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w""")
 def tfidf_l2_top_terms(t):
-    grams = X.with_ngrams(docs(t), "text", "g")
-    return rounded(O.tfidf_top_terms(grams, "doc_id", "g"), 6, "weight")
+    # The tokens are the dear part of the n-grams, which are read more than once.
+    clean = stage(docs(t).select("doc_id", X.clean_tokens("text").alias("tk")))
+    return rounded(O.tfidf_top_terms(clean.select("doc_id", X.ngrams("tk").alias("g")), "doc_id", "g"), 6, "weight")

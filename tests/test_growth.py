@@ -110,3 +110,32 @@ def test_linkage_takes_few_exact_distances(monkeypatch):
     monkeypatch.setitem(C.METRICS, "euclidean", lambda a, b: asked.append(len(b)) or exact(a, b))
     got = C._tree(x, np.arange(len(x)), "euclidean")
     assert got.equals(want) and sum(asked) < len(x) ** 2 / 4
+
+
+def test_rare_terms_are_not_counted_by_document(spark, monkeypatch):
+    """The vocabulary and its weights, with ids that repeat or are null; terms that cannot be in it are never written, even if a second count is needed."""
+    rng = np.random.default_rng(9)
+    rows = [(None if i % 20 == 0 else i % 150, [f"w{int(x)}" for x in rng.zipf(1.6, 30) if x < 40] + [f"rare{i}_{j}" for j in range(40)]) for i in range(200)]
+    df = spark.createDataFrame([*rows, (900, []), (901, None)], "id long, g array<string>")
+    counts = {}
+    for i, terms in rows:
+        for term in terms:
+            counts[(i, term)] = counts.get((i, term), 0) + 1
+    docs, total = {}, {}
+    for (_, term), n in counts.items():
+        docs[term], total[term] = docs.get(term, 0) + 1, total.get(term, 0) + n
+    kept, written = O.stage, []
+    monkeypatch.setattr(O, "stage", lambda d: (written.append(kept(d)), written[-1])[1])
+    for most, buckets in ((6, 1 << 18), (6, 7), (1000, 64)):
+        monkeypatch.setattr(O, "TERM_BUCKETS", buckets, raising=False)
+        chosen = sorted((t for t in docs if docs[t] >= 10), key=lambda t: (-total[t], t))[:most]
+        idf = {t: np.log((len(rows) + 3.0) / (docs[t] + 1.0)) + 1 for t in chosen}
+        raw = {(i, t): n * idf[t] for (i, t), n in counts.items() if t in idf}
+        length = {}
+        for (i, _), w in raw.items():
+            length[i] = length.get(i, 0.0) + w * w
+        got = {(r["id"], r["term"]): r["weight"] for r in O.tfidf_top_terms(df, "id", "g", min_df=10, max_terms=most).collect()}
+        assert got.keys() == raw.keys()
+        assert all(np.isclose(got[k], raw[k] / length[k[0]] ** 0.5) for k in raw)
+        if buckets == 1 << 18:
+            assert all("term" not in d.columns or d.filter("term LIKE 'rare%'").count() == 0 for d in written)
