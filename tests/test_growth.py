@@ -2,13 +2,19 @@
 
 import numpy as np
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans, LDAModel
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.feature import StandardScaler
+from pyspark.ml.linalg import DenseVector
 from pyspark.sql import functions as F
 
 from tallyloom import runtime
 from tallyloom.functions import text as X
 from tallyloom.functions import wordlists as W
+from tallyloom.operators import classify as K
 from tallyloom.operators import cluster as C
+from tallyloom.operators import evaluate as E
 from tallyloom.operators import impute
 from tallyloom.operators import text as O
 from tallyloom.operators.features import as_vector
@@ -139,3 +145,29 @@ def test_rare_terms_are_not_counted_by_document(spark, monkeypatch):
         assert all(np.isclose(got[k], raw[k] / length[k[0]] ** 0.5) for k in raw)
         if buckets == 1 << 18:
             assert all("term" not in d.columns or d.filter("term LIKE 'rare%'").count() == 0 for d in written)
+
+
+def test_models_of_a_fold_share_what_is_prepared(spark):
+    """The same scores as with a scaler inside every estimator, fitted once a fold and not once for every model."""
+    fitted = []
+
+    class Counted(StandardScaler):
+        def fit(self, df, params=None):
+            fitted.append(1)
+            return super().fit(df, params)
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 2))
+    rows = [(float(a + 0.5 * rng.normal() > 0), i % 3, DenseVector([a, 5 * b])) for i, (a, b) in enumerate(x)]
+    df = spark.createDataFrame(rows, ["label", "fold", "plain"]).persist()
+    models = {"logistic": K.logistic(), "tree": K.tree()}
+    ev = BinaryClassificationEvaluator(metricName="areaUnderROC")
+    scaler = Counted(inputCol="plain", outputCol="features", withMean=True)
+    got = E.compare_models(spark, df, models, ev, 3, "fold", prepare=scaler).collect()
+    assert len(fitted) == 3
+    whole = {n: Pipeline(stages=[StandardScaler(inputCol="plain", outputCol="features", withMean=True), m]) for n, m in models.items()}
+    for row in got:
+        scores = E.cross_validate(df, whole[row["model"]], ev, 3, "fold")
+        assert np.isclose(row["mean_score"], np.mean(scores)) and np.isclose(row["std_score"], np.std(scores))
+    assert [r["model"] for r in E.compare_models(spark, df.withColumnRenamed("plain", "features"), models, ev, 3, "fold").collect()] == [r["model"] for r in got]
+    df.unpersist()
