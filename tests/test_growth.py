@@ -1,5 +1,8 @@
 """Steps that have to stay bounded where tables grow."""
 
+from itertools import count
+from threading import Barrier
+
 import numpy as np
 import pytest
 from pyspark.ml import Pipeline
@@ -19,6 +22,8 @@ from tallyloom.operators import impute
 from tallyloom.operators import text as O
 from tallyloom.operators.features import as_vector
 from tallyloom.operators.topics import fit_topics
+from tallyloom.plans import flows
+from tallyloom.plans.registry import QUERIES
 
 
 def points(spark, x):
@@ -171,3 +176,23 @@ def test_models_of_a_fold_share_what_is_prepared(spark):
         assert np.isclose(row["mean_score"], np.mean(scores)) and np.isclose(row["std_score"], np.std(scores))
     assert [r["model"] for r in E.compare_models(spark, df.withColumnRenamed("plain", "features"), models, ev, 3, "fold").collect()] == [r["model"] for r in got]
     df.unpersist()
+
+
+def test_parts_of_the_risk_model_do_not_wait_for_each_other(spark, tmp_path, monkeypatch):
+    """Two folds are over-sampled at the same time, and every part of the report comes out."""
+    n = 240
+    customers = [(i, f"c{i}", 0, float((i * 37) % 500 - 60), "A") for i in range(n)]
+    orders = [(j, j % n, "O", 100.0 + (j * 7919) % 9000, "1-URGENT" if (j * 31 + j // n * 17) % 10 < 2 + 3 * (j % n % 2) else "5-LOW") for j in range(6 * n)]
+    spark.createDataFrame(customers, "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    both, first, smote = Barrier(2), count(), flows.N.smote
+
+    def met(*args, **kw):
+        if next(first) < 2:
+            both.wait(timeout=60)
+        return smote(*args, **kw)
+
+    monkeypatch.setattr(flows.N, "smote", met)
+    rows = QUERIES["risk_model_report"](spark, str(tmp_path)).collect()
+    assert {r["model"] for r in rows} == {"tree", "logistic"}
+    assert all(0 <= r[c] <= 1 for r in rows for c in ("mean_score", "held_out_auc"))
