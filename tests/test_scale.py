@@ -60,6 +60,33 @@ def test_depths_share_a_fit(rows, monkeypatch):
     assert table.count() == 6 and len(fits) == 2 * 2 + 1
 
 
+def test_searched_trees_share_fits_and_scores(rows, monkeypatch):
+    space = {"maxDepth": [0, 1, 2, 4], "minInfoGain": [0.0, 0.01, 0.05], "minInstancesPerNode": [5, 40]}
+    ev = MulticlassClassificationEvaluator(metricName="precisionByLabel", metricLabel=1.0)
+    marked = rows.withColumn("fold", E.hash_fold("key", 5, "rung-fold"))
+    want = {}
+    for rung, share in enumerate((0.5, 1.0)):
+        part = marked.filter(E.unit_hash("key", F.lit("rung")) < share).persist()
+        for i, s in enumerate(E.drawn_settings(space, 24, 1)):
+            want[rung, i] = ev.evaluate(K.tree(**s).fit(part.filter("fold <> 0")).transform(part.filter("fold = 0")))
+    fits, fit = [], MC.DecisionTreeClassifier._fit
+    monkeypatch.setattr(MC.DecisionTreeClassifier, "_fit", lambda self, data: fits.append(1) or fit(self, data))
+    best, model, rungs, trials = E.halving_search(rows, "key", K.tree, space, ev, draws=24, factor=2, rungs=2)
+    got = {(r["rung"], r["draw"]): r["score"] for r in trials.collect()}
+    assert len(got) == 36 and all(np.isclose(x, want[k]) for k, x in got.items()) and len(set(got.values())) > 4
+    assert [r["settings"] for r in rungs.orderBy("rung").collect()] == [24, 12]
+    # One fit a rung for every value of the one parameter that changes a tree throughout, and the last.
+    assert len(fits) <= 2 + 2 + 1
+    assert model.toDebugString.split("\n")[1:] == K.tree(**best).fit(rows).toDebugString.split("\n")[1:]
+
+
+def test_counted_score_is_that_of_the_rows(rows):
+    scored = K.tree().fit(rows).transform(rows)
+    for name in ("precisionByLabel", "f1", "accuracy", "hammingLoss"):
+        ev = MulticlassClassificationEvaluator(metricName=name, metricLabel=1.0)
+        assert np.isclose(E.counted_score(ev, scored), ev.evaluate(scored))
+
+
 def test_random_features_in_slices(spark, rows, monkeypatch):
     lifted = lambda: [r["f"] for r in K.random_features(rows.select("key", *COLUMNS), COLUMNS, size=20, name="f").orderBy("key").collect()]
     whole = lifted()
