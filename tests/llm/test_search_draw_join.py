@@ -212,6 +212,25 @@ def test_jaccard_against_plain(spark, documents, monkeypatch, cost, part):
         assert dropped.count() > 0 and index.filter("role = 1").count() > 0 and index.filter("role = 2").count() > 0
 
 
+def test_buckets_with_the_same_members_meet_once(spark, documents, monkeypatch):
+    met, across = [], jaccard.across
+    monkeypatch.setattr(jaccard, "across", lambda rows, costs, *more: met.append((rows.collect(), costs.collect())) or across(rows, costs, *more))
+    # Pairs that share three quarters of their words in a row: many segments in common, but no link; and one document that comes twice.
+    rows = []
+    for k in range(30):
+        held = [f"w{k}x{i}" for i in range(60)]
+        rows += [(2 * k, " ".join(held)), (2 * k + 1, " ".join(held[:50] + [f"v{k}x{i}" for i in range(10)]))]
+    rows.append(rows[0])
+    got = jaccard.jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85).collect()
+    assert len(got) == 61 and all(r["component_id"] == r["doc_id"] for r in got)
+    (members, costs), = met
+    held = {}
+    for r in members:
+        held.setdefault(r["key"], []).append((r["id"], r["role"]))
+    sets = [tuple(sorted(x)) for x in held.values()]
+    assert len(sets) > 20 and len(set(sets)) == len(sets) == len(costs)
+
+
 def test_one_deletion_finds_what_dropped_keys_hid(spark, monkeypatch):
     """Pairs that agree in dropped segments only: random sets that differ by as much as their scheme allows."""
     monkeypatch.setattr(jaccard, "COST", 0)
