@@ -71,3 +71,22 @@ def test_cuts_are_exact_quantiles_of_all_rows(spark):
     wide, two = ensembles.quantile_cuts(rows.repartition(5), 3_000, 2, 32)
     assert np.array_equal(wide, np.unique(np.sort(x)[[k * 2_999 // 32 for k in range(1, 32)]]))
     assert list(two) == [0.0]
+
+
+def test_the_forest_sees_all_rows(lines, monkeypatch):
+    _no_sample(monkeypatch)
+    fits, counted = [], ensembles._Cells.__init__
+    monkeypatch.setattr(ensembles._Cells, "__init__", lambda self, *a: counted(self, *a) or fits.append(self.counts.sum()))
+    importances, cells = models.forest_fit(lines)
+    train, test = models.split_rows(lines)
+    assert fits == [train.count()] and sum(c[2] for c in cells) == test.count()
+    assert abs(sum(v for _, v in importances) - 1) < 1e-9 and max(importances, key=lambda r: r[1])[0] == "qty"
+
+
+def test_the_forest_learns_what_one_tree_cannot(steps):
+    model = K.forest(numTrees=30, maxDepth=6).fit(steps)
+    right = model.transform(steps).filter("label = prediction").count()
+    spark_right = MC.RandomForestClassifier(numTrees=30, maxDepth=6, seed=1).fit(steps).transform(steps).filter("label = prediction").count()
+    assert right > 0.75 * 4_000 and abs(right - spark_right) < 0.03 * 4_000
+    assert [t.value.tolist() for t in model.trees] == [t.value.tolist() for t in K.forest(numTrees=30, maxDepth=6).fit(steps.repartition(5)).trees]
+    assert model.featureImportances[:2].sum() > 0.8
