@@ -90,3 +90,29 @@ def test_the_forest_learns_what_one_tree_cannot(steps):
     assert right > 0.75 * 4_000 and abs(right - spark_right) < 0.03 * 4_000
     assert [t.value.tolist() for t in model.trees] == [t.value.tolist() for t in K.forest(numTrees=30, maxDepth=6).fit(steps.repartition(5)).trees]
     assert model.featureImportances[:2].sum() > 0.8
+
+
+def test_the_kernel_machine_sees_all_rows(lines, monkeypatch):
+    _no_sample(monkeypatch)
+    seen, sums = [], K.KernelMachine._sums
+    monkeypatch.setattr(K.KernelMachine, "_sums", lambda self, blocks, of, width: seen.append(sums(self, blocks, lambda z, y: np.array([len(y)]), 1)[0])
+                        or sums(self, blocks, of, width))
+    monkeypatch.setattr(K, "kernel_svm", lambda columns: K.KernelMachine(columns, maxIter=2))
+    cells = models.svm_cells(lines)
+    train, test = models.split_rows(lines)
+    assert set(seen) == {train.count()} and sum(c[2] for c in cells) == test.count()
+
+
+def test_the_kernel_machine_reaches_the_loss_of_sparks(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(1_500, 2))
+    y = ((x ** 2).sum(1) < 1.4) ^ (rng.random(1_500) < 0.1)
+    rows = spark.createDataFrame([(float(c), *map(float, r)) for c, r in zip(y, x)], "label double, a double, b double").repartition(3).persist()
+    ours = K.kernel_svm(["a", "b"], size=40, regParam=1e-3).fit(rows)
+    lifted = K.random_features(rows, ["a", "b"], size=40)
+    theirs = MC.LinearSVC(maxIter=100, regParam=1e-3).fit(lifted)
+    z, sign = np.array([r[0].toArray() for r in lifted.select("features").collect()]), np.array([r[0] for r in lifted.select("label").collect()]) * 2 - 1
+    loss = lambda w, b: np.maximum(0, 1 - sign * (z @ w + b)).mean() + 5e-4 * ((w * z.std(axis=0)) ** 2).sum()
+    assert loss(ours.weights, ours.intercept) <= loss(theirs.coefficients.toArray(), theirs.intercept) * 1.005
+    right = [m.transform(d).filter("label = prediction").count() for m, d in ((ours, rows), (theirs, lifted))]
+    assert abs(right[0] - right[1]) < 15 and right[0] > 1_250
