@@ -116,3 +116,16 @@ def test_the_kernel_machine_reaches_the_loss_of_sparks(spark):
     assert loss(ours.weights, ours.intercept) <= loss(theirs.coefficients.toArray(), theirs.intercept) * 1.005
     right = [m.transform(d).filter("label = prediction").count() for m, d in ((ours, rows), (theirs, lifted))]
     assert abs(right[0] - right[1]) < 15 and right[0] > 1_250
+
+
+def test_starts_of_all_fits_are_found_together(spark, monkeypatch):
+    from tallyloom.operators import cluster as C
+    rng = np.random.default_rng(7)
+    x = np.concatenate([rng.normal(loc=c, scale=0.3, size=(120, 2)) for c in ((0, 0), (5, 0), (0, 5), (5, 5), (9, 9))])
+    rows = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id long, a double, b double").repartition(3)
+    spark_costs = {k: C.best_kmeans(rows, ["a", "b"], k, restarts=4).cost for k in (2, 5)}
+    monkeypatch.setattr(C, "KMeans", lambda **kw: pytest.fail("a fit of its own for every start"))
+    got = {r["k"]: r["cost"] for r in C.elbow(rows, "id", ["a", "b"], [2, 5], restarts=4).collect()}
+    assert all(got[k] <= spark_costs[k] * 1.01 for k in got) and set(got) == {2, 5}
+    few = spark.createDataFrame([(1, 1.0, 2.0)] * 5 + [(2, 3.0, 4.0)] * 5, "id long, a double, b double")
+    assert [len(s) for s in C._starts(few.select("a", "b"), [(2, 0), (4, 0)], 1)] == [2, 2]
